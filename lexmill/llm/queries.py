@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import decontaminate, language, licenses, media, packing, quality, token_counts, url_filters
+from lexmill.llm import decontaminate, language, licenses, media, near_duplicates, packing, quality, token_counts, url_filters
 from lexmill.llm.tables import documents
 
 
@@ -77,6 +77,10 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.evaluate(captures, _list(captures))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.jaccard_components(documents(spark, sf_dir), words=4, percent=85)
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -85,7 +89,7 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digests(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_language_id, op4_token_counts, op5_license_scan, op6_quality, op7_url_filters, op9_decontamination, op10_media)}
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_language_id, op4_token_counts, op5_license_scan, op6_quality, op7_url_filters, op8_jaccard_join, op9_decontamination, op10_media)}
 
 
 def queries() -> dict:
