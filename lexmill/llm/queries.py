@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import decontaminate, language, licenses, media, near_duplicates, packing, quality, token_counts, url_filters
+from lexmill.llm import decontaminate, language, licenses, media, near_duplicates, packing, quality, suffix_dedup, token_counts, url_filters
 from lexmill.llm.tables import documents
 
 
@@ -19,6 +19,10 @@ def _fold(n: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed_repeats(documents(spark, sf_dir))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(documents(spark, sf_dir), _tokenizer("byte_bpe_50k.json")))
 
@@ -89,7 +93,7 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digests(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_language_id, op4_token_counts, op5_license_scan, op6_quality, op7_url_filters, op8_jaccard_join, op9_decontamination, op10_media)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_best_fit_packing, op3_language_id, op4_token_counts, op5_license_scan, op6_quality, op7_url_filters, op8_jaccard_join, op9_decontamination, op10_media)}
 
 
 def queries() -> dict:
