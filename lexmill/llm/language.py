@@ -111,9 +111,13 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     return Model(languages, np.log(table / table.sum(axis=1, keepdims=True)))
 
 
-def predict(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, lang_pred, score, languages): languages holds the chosen set with its proportions."""
+def predict(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(key, lang_pred, score, languages): languages holds the chosen set with its proportions.
+
+    The columns named in carry come along under their own names, without a join.
+    """
     spark = df.sparkSession
+    carried = [f"carried{k}" for k in range(len(carry))]
     shared = spark.sparkContext.broadcast(model)
     out_type = pa.struct([("lang", pa.string()), ("share", pa.float64())])
 
@@ -130,9 +134,10 @@ def predict(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
                 names.append(model.languages[best])
                 scores.append(float(min(1.0, max(0.0, share[best] * odds if share[best] == 1 else share[best]))))
                 sets.append([{"lang": model.languages[k], "share": float(share[k])} for k in np.argsort(-share, kind="stable") if share[k] > 0])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(sets, pa.list_(out_type))], names=["key", "lang_pred", "score", "languages"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(sets, pa.list_(out_type)), *batch.columns[3:]], names=["key", "lang_pred", "score", "languages", *carried])
 
-    rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.select("key", F.col("text").cast("binary").alias("text"), F.col("text").rlike(r"\p{L}").alias("lettered"))
-    out = rows.mapInArrow(run, f"key {dict(df.dtypes)[key]}, lang_pred string, score double, languages array<struct<lang: string, share: double>>")
-    return out.withColumnRenamed("key", key)
+    rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"), *(F.col(c).alias(k) for c, k in zip(carry, carried)))
+    rows = rows.select("key", F.col("text").cast("binary").alias("text"), F.col("text").rlike(r"\p{L}").alias("lettered"), *carried)
+    schema = f"key {dict(df.dtypes)[key]}, lang_pred string, score double, languages array<struct<lang: string, share: double>>"
+    out = rows.mapInArrow(run, ", ".join([schema, *(f"{k} {dict(df.dtypes)[c]}" for c, k in zip(carry, carried))]))
+    return out.withColumnsRenamed({"key": key} | dict(zip(carried, carry)))

@@ -23,8 +23,12 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removed_repeats(documents(spark, sf_dir))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    return packing.pack(packing.token_pieces(docs, _tokenizer("byte_bpe_50k.json"), ranks_path=_tokenizer("byte_bpe_50k.tiktoken")))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(packing.token_pieces(documents(spark, sf_dir), _tokenizer("byte_bpe_50k.json")))
+    return packed(documents(spark, sf_dir))
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,7 +97,13 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digests(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_best_fit_packing, op3_language_id, op4_token_counts, op5_license_scan, op6_quality, op7_url_filters, op8_jaccard_join, op9_decontamination, op10_media)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_best_fit_packing, op3_language_id, op4_token_counts, op5_license_scan, op6_quality, op7_url_filters, op8_jaccard_join, op9_decontamination, op10_media, pipeline)}
 
 
 def queries() -> dict:
