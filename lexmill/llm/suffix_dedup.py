@@ -42,7 +42,7 @@ from pyspark.sql import types as T
 
 from lexmill.llm.hashing import BYTE, MIX_A, MIX_B, blocks, mix
 from lexmill.llm.near_duplicates import _cells, _whole_cells
-from lexmill.llm.tables import as_bytes, keep
+from lexmill.llm.tables import as_bytes, keep, shuffles_go
 
 #: Bytes of a repeated string, of an anchor's own string, and window starts that share an anchor at most.
 LENGTH, SHALLOW = 100, 32
@@ -441,9 +441,10 @@ def _repeats(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(id, intervals) and the bucketed (id, text) that they cut, for rows (id, text) of unique ids."""
     spark = rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = recurring_anchors(rows).groupBy("id").agg(F.collect_list("anchor").alias("anchors"))
+    found = keep(recurring_anchors(rows).groupBy("id").agg(F.collect_list("anchor").alias("anchors")))
     name = f"lexmill_texts_{uuid.uuid4().hex}"
-    rows.join(found, "id").write.option("compression", "zstd").bucketBy(parts, "id").saveAsTable(name, format="parquet")
+    with shuffles_go(spark):
+        rows.join(found, "id").write.option("compression", "zstd").bucketBy(parts, "id").saveAsTable(name, format="parquet")
     texts = spark.table(name)
     judged = keep(sort_pieces(cut_pieces(texts)))
     intervals = judged.filter("piece is null").select("id", "begin", "end")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +29,19 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+@contextmanager
+def shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """Within it, the shuffle files of a finished query are deleted at once. For writes only: what
+    is written is read from the table, so nothing reads those files again."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def keep(df: DataFrame) -> DataFrame:
     """Cuts lineage: writes df as a table in the shared folder and reads it back.
 
@@ -34,7 +49,8 @@ def keep(df: DataFrame) -> DataFrame:
     readers share one computation.
     """
     path = f"{shared_dir(df.sparkSession)}/kept-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_go(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
