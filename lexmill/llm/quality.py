@@ -1,13 +1,15 @@
 """Operator 6, a compression classifier for text quality.
 
-`fit` builds one zstandard dictionary from good and one from bad labelled texts, and calibrates the
-normalised difference of the two compressed sizes on other labelled texts (a logistic curve).
+`fit` builds one zstandard dictionary from good and one from bad labelled texts. The normalised
+difference of the two compressed sizes becomes a score by a logistic curve, calibrated on other
+labelled texts; as the difference means less where a text is short or repeats itself, the curve also
+takes the smaller compressed size against the length, and the length.
 `score` compresses each whole text with both dictionaries: no shuffle, bounded memory.
 
 The sample of labelled rows is bounded: about `per_class` texts of each class, drawn by the hash of
 the key, of at most `longest` bytes each; half of them build the dictionaries and half calibrate.
-Scoring has no bound. Defined results: a null or empty text scores as its calibrated difference 0;
-labels other than 0 and 1 are ignored; a key with several labels is used once for each; without
+Scoring has no bound. Defined results: a null text scores as an empty one, which both dictionaries compress to almost nothing;
+labels other than 0 and 1 are ignored; a key with several labels is used once for each of them; without
 labelled texts of both classes every score is 0.5; equal texts get equal scores; other columns are
 not read, so they cannot clash.
 """
@@ -25,15 +27,16 @@ from pyspark.sql import functions as F
 from lexmill.llm.tables import as_bytes, hash_fraction
 
 PER_CLASS, LONGEST = 2000, 65536
-DICTIONARY_BYTES, LEVEL = 112640, 3
+DICTIONARY_BYTES, LEVEL = 32768, 3
+#: Bytes added to lengths, so that the shortest texts do not stand far out.
+LEAST = 16
 
 
 @dataclass
 class Model:
     good: bytes
     bad: bytes
-    bias: float = 0.0
-    weight: float = 0.0
+    weights: np.ndarray | None = None
 
     def compressors(self):
         for raw in (self.good, self.bad):
@@ -42,10 +45,10 @@ class Model:
             yield zstandard.ZstdCompressor(level=LEVEL, dict_data=one, write_content_size=False, write_dict_id=False)
 
 
-def difference(good, bad, text: bytes) -> float:
-    """Near 1 where the good dictionary helps more, near -1 where the bad one does."""
-    g, b = len(good.compress(text)), len(bad.compress(text))
-    return (b - g) / (b + g)
+def measures(good, bad, text: bytes) -> tuple[float, float, float, float]:
+    """1; the difference, near 1 where the good dictionary helps more; the compressed share; the length."""
+    g, b, n = len(good.compress(text)), len(bad.compress(text)), len(text) + LEAST
+    return 1.0, (b - g) / (b + g), min(b, g) / n, float(np.log(n))
 
 
 def _dictionary(samples: list[bytes]) -> bytes:
@@ -56,19 +59,20 @@ def _dictionary(samples: list[bytes]) -> bytes:
         return b"".join(samples)[-DICTIONARY_BYTES:]
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Bias and weight by Newton's method with a light ridge; both classes weigh alike."""
+def _logistic(a: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights by Newton's method with a light ridge on scaled columns; both classes weigh alike."""
+    scale = np.maximum(a.std(axis=0), 1e-6)
+    scale[0] = 1.0
+    a = a / scale
     w = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
-    a, beta = np.stack([np.ones_like(x), x], axis=1), np.zeros(2)
-    for _ in range(50):
+    beta = np.zeros(a.shape[1])
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(a @ beta, -30, 30)))
-        grad = a.T @ (w * (y - p)) - 1e-3 * beta
-        hess = (a * (w * p * (1 - p))[:, None]).T @ a + 1e-3 * np.eye(2)
-        step = np.linalg.solve(hess, grad)
+        step = np.linalg.solve((a * (w * p * (1 - p))[:, None]).T @ a + 1e-3 * np.eye(len(beta)), a.T @ (w * (y - p)) - 1e-3 * beta)
         beta += step
         if np.abs(step).max() < 1e-8:
             break
-    return float(beta[0]), float(beta[1])
+    return beta / scale
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", per_class: int = PER_CLASS, longest: int = LONGEST) -> Model:
@@ -78,16 +82,19 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         return Model(b"", b"")
     share = F.create_map(*(F.lit(x) for one, n in sizes.items() for x in (one, min(1.0, per_class / n))))
     drawn = wanted.filter(hash_fraction(F.col("key"), 6) < share[F.col("label")]).withColumn("half", hash_fraction(F.col("key"), 7) < 0.5)
+    drawn = drawn.distinct()
+    if (n := drawn.count()) > 8 * per_class:
+        raise ValueError(f"{n} labelled keys were drawn: keys repeat too often for a bounded sample")
     texts = docs.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("text")).filter(F.octet_length("text").between(1, longest))
-    rows = texts.join(drawn, "key").orderBy("key").collect()
+    rows = texts.join(F.broadcast(drawn), "key").orderBy("key", "label", "text").collect()
     parts = {(c, h): [bytes(r["text"]) for r in rows if r["label"] == c and r["half"] == h] for c in (0, 1) for h in (True, False)}
     if not all(parts.values()):
         return Model(b"", b"")
     model = Model(_dictionary(parts[1, True]), _dictionary(parts[0, True]))
     good, bad = model.compressors()
-    x = np.array([difference(good, bad, t) for c in (0, 1) for t in parts[c, False]])
+    x = np.array([measures(good, bad, t) for c in (0, 1) for t in parts[c, False]])
     y = np.array([c for c in (0, 1) for _ in parts[c, False]], float)
-    model.bias, model.weight = _logistic(x, y)
+    model.weights = _logistic(x, y)
     return model
 
 
@@ -97,10 +104,17 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
 
     def run(batches):
         model = shared.value
-        good, bad = model.compressors() if model.good and model.bad else (None, None)
+        if model.weights is not None:
+            good, bad = model.compressors()
         for batch in batches:
-            x = np.array([difference(good, bad, t.as_py()) if good and len(t.as_py()) else 0.0 for t in batch.column(1)])
-            p = 1 / (1 + np.exp(-np.clip(model.bias + model.weight * x, -30, 30)))
+            if not batch.num_rows:
+                continue
+            if model.weights is None:
+                p = x = np.zeros(batch.num_rows)
+            else:
+                found = np.array([measures(good, bad, t.as_py()) for t in batch.column(1)])
+                p, x = found @ model.weights, found[:, 1]
+            p = 1 / (1 + np.exp(-np.clip(p, -30, 30)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p), pa.array((p >= 0.5).astype(np.int32)), pa.array(x)], names=["key", "score", "predicted", "difference"])
 
     rows = df.select(F.col(key).alias("key"), as_bytes(text).alias("text"))
