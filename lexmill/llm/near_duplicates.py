@@ -40,7 +40,7 @@ WORDS, PERCENT = 5, 80
 #: A shingle in so many prefixes is frequent; the list that orders has so many of them at most.
 FREQUENT, FREQUENT_LISTED = 64, 500_000
 #: Rows of a cell at most, and shingles of a cluster's cell.
-CELL, CELL_SHINGLES = 2000, 4_000_000
+CELL, CELL_SHINGLES = 2000, 2_000_000
 RANGES = 128
 
 
