@@ -334,6 +334,39 @@ S12 = """WITH r AS (SELECT source, (doc_id % 7 = 0)::INT + (doc_id % 13 = 0)::IN
 SELECT count(*) || '건 개정 — ' || array_to_string((list(source ORDER BY source))[1:3], ', ') || ' · 별표 ' || sum(n) || '건' AS subject FROM r"""
 
 
+def p14_clean_converted(spark, d) -> DataFrame:
+    body = F.concat(F.lit("<colgroup><col/></colgroup>\n<table>\n<tbody><tr class='x'><td>"), "p_name", F.lit("\n\n\n\n"), "p_type", F.lit("</td></tr></tbody></table>\n"))
+    return table(spark, d, "part").select("p_partkey", markup.clean_converted(body).alias("text"))
+
+
+P14 = "SELECT p_partkey, p_name || chr(10) || chr(10) || p_type AS text FROM part"
+
+
+def c9_deleted_annexes(spark, d) -> DataFrame:
+    k = F.col("p_size") % 3
+    outside = F.when(k == 0, "삭제 <2009.4.29>").when(k == 1, "본문").otherwise("삭제 " + "가" * 200)
+    annexes = table(spark, d, "part").select("p_partkey", F.concat(F.lit("<table><tr><td>삭제</td></tr></table>"), outside).alias("body"))
+    return ck.drop_deleted_annexes(annexes).select("p_partkey")
+
+
+C9 = "SELECT p_partkey FROM part WHERE p_size % 3 != 0"
+
+
+def c12_annex_chunks(spark, d) -> DataFrame:
+    """Parts as short annexes of the law that bears their brand."""
+    part = table(spark, d, "part")
+    attached = part.select(
+        F.concat(F.lit("annex "), F.col("p_partkey").cast("string")).alias("stem"), F.col("p_name").alias("title"), F.concat(F.lit("[별표 "), F.col("p_size").cast("string"), F.lit("] "), "p_type").alias("body"),
+        F.array(F.lit("제3조제1항"), F.lit("제3조")).alias("delegating_articles"), F.lit("").alias("parse_note"), F.col("p_partkey").cast("string").alias("doc_id"), F.col("p_brand").alias("doc_title"),
+        *(F.lit(c).alias(c) for c in ("version_key", "class", "ministry", "enforce_date", "promulgate_date", "status", "source")),
+    )
+    c = ck.annex_chunks(attached)
+    return c.select("chunk_id", F.md5(F.col("content").cast("binary")).alias("content_md5"), "metadata.article", F.array_join("metadata.delegating_articles", ",").alias("articles"))
+
+
+C12_ANNEX = """SELECT p_partkey || '#별표' || p_size AS chunk_id, md5('「' || p_brand || '」 별표' || p_size || ' ' || p_name || chr(10) || chr(10) || '[별표 ' || p_size || '] ' || p_type) AS content_md5, '제3조' AS article, '제3조' AS articles FROM part"""
+
+
 def v1_duplicates(spark, d) -> DataFrame:
     rows = table(spark, d, "documents").select((F.col("doc_id") - F.when(F.col("doc_id") % 10 == 1, 1).otherwise(0)).alias("chunk_id"), F.col("source"))
     return guards.duplicate_report(rows, "chunk_id", F.col("source"))
@@ -352,12 +385,12 @@ V2 = "SELECT doc_id FROM documents WHERE doc_id % 9 = 0"
 
 
 QUERIES = {f.__name__: f for f in (
-    p1_split_header, p2_p3_header_values, p4_header_map, p5_manifest, p7_p8_articles, p9_p10_annex_names, p11_refs, p12_html_plain, p12_html_unescape, p13_table_rows, p15_sanitize, p16_sniff,
+    p1_split_header, p2_p3_header_values, p4_header_map, p5_manifest, p7_p8_articles, p9_p10_annex_names, p11_refs, p12_html_plain, p12_html_unescape, p13_table_rows, p14_clean_converted, c9_deleted_annexes, c12_annex_chunks, p15_sanitize, p16_sniff,
     c1_split_articles, c2_fallback_heading, c3_drop_deleted, c4_c6_split_long, c7_annex_segments, c10_attach_parent, c11_article_links, c12_chunks, c13_chunk_stats, c14_index_scope,
     j1_article_table, j2_diff_articles, j3_line_diff, j4_changed_documents, j5_manifest_diff, j6_diff_files, j7_file_profile, j8_report, s12_report_markdown, s12_report_subject, v1_duplicates, v2_empty_documents, v3_orphans,
 )}
 ORACLES = {
-    "p1_split_header": P1, "p2_p3_header_values": P2, "p4_header_map": P4, "p5_manifest": P5, "p7_p8_articles": P7, "p9_p10_annex_names": P9, "p11_refs": P11, "p12_html_plain": P12, "p13_table_rows": P13, "p15_sanitize": P15, "p16_sniff": P16,
+    "p1_split_header": P1, "p2_p3_header_values": P2, "p4_header_map": P4, "p5_manifest": P5, "p7_p8_articles": P7, "p9_p10_annex_names": P9, "p11_refs": P11, "p12_html_plain": P12, "p13_table_rows": P13, "p14_clean_converted": P14, "c9_deleted_annexes": C9, "c12_annex_chunks": C12_ANNEX, "p15_sanitize": P15, "p16_sniff": P16,
     "c1_split_articles": C1, "c2_fallback_heading": C2, "c3_drop_deleted": C3, "c10_attach_parent": C10, "c11_article_links": C11, "c12_chunks": C12, "c13_chunk_stats": C13, "c14_index_scope": C14,
     "j1_article_table": J1, "j2_diff_articles": J2, "j3_line_diff": J3, "j4_changed_documents": J4, "j5_manifest_diff": J5, "j6_diff_files": J6, "j7_file_profile": J7, "j8_report": J8, "s12_report_subject": S12, "v1_duplicates": V1, "v2_empty_documents": V2, "v3_orphans": V3,
 }
