@@ -32,7 +32,7 @@ def match_sources(questions: DataFrame, units: DataFrame, qid: str = "qid", expe
     laws = keys.select("law").distinct()
     if strict:
         alike = (F.contains("law", F.col("name")) | F.contains("name", F.col("law"))) & (F.length("law") > 3)
-        bare = e.filter("kind = 'law'").join(laws, alike)
+        bare = laws.join(F.broadcast(e.filter("kind = 'law'")), alike)  # a question set is small by its nature
     else:
         # one is a prefix of the other: they share the shorter one's characters, so meet on each prefix
         prefixes = lambda c: F.explode(F.transform(F.sequence(F.lit(2), F.greatest(F.length(c), F.lit(2))), lambda n: F.substring(F.col(c), F.lit(1), n)))

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from lexmill.functions.text import has_one, norm_text, numbers
 
 
+MOST_WORDINGS = 100_000
+
+
 class IntegrityError(ValueError):
     """Rows that must not be written."""
 
@@ -53,8 +56,9 @@ def assert_dim(df: DataFrame, dim: int, vector: str = "embedding") -> DataFrame:
 def missing_keys(questions: DataFrame, corpus: DataFrame, qid: str = "qid", keys: str = "answer_keys", body: str = "text") -> DataFrame:
     """(qid, key): answer keys of which no alternative stands in any single text of the corpus.
 
-    Numeric keys meet the numbers of the texts by equality; the few distinct wordings are looked for
-    in one pass over the corpus, as an aggregation with a flag for each.
+    Numeric keys meet the numbers of the texts by equality; the few distinct wordings of a question
+    set (at most MOST_WORDINGS, so that they can be broadcast) are looked for in one pass over the
+    corpus.
     """
     from lexmill.functions.text import canon, strip
 
@@ -63,8 +67,10 @@ def missing_keys(questions: DataFrame, corpus: DataFrame, qid: str = "qid", keys
     present = corpus.select(F.explode(numbers(body)).alias("_c")).distinct()
     by_number = each.filter("_numeric").join(present, "_c", "left_semi").select(qid, "_k")
     wordings = each.filter("not _numeric").select("_plain").distinct()
+    if (n := wordings.count()) > MOST_WORDINGS:
+        raise IntegrityError(f"{n} wordings are too many to look for in one pass")
     plain = corpus.select(norm_text(body).alias("_body"))
-    found = wordings.join(plain, F.contains("_body", F.col("_plain")), "left_semi")
+    found = plain.join(F.broadcast(wordings), F.contains("_body", F.col("_plain"))).select("_plain").distinct()
     by_word = each.filter("not _numeric").join(found, "_plain", "left_semi").select(qid, "_k")
     lost = each.join(by_number.union(by_word).distinct(), [qid, "_k"], "left_anti")
     return lost.groupBy(qid, "_k").agg(F.first(F.array_join("_alternatives", "|")).alias("key")).select(qid, "key")
