@@ -110,11 +110,11 @@ MANIFEST = """manifest AS (SELECT o_custkey % 10 = 0 AS is_rule, 'law ' || o_cus
 
 
 def rankings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(qid, retriever, rank, doc): every 25th vector asks; 'vector' ranks by cosine, 'label' by how near the ids are."""
+    """(qid, retriever, rank, doc): every 100th vector asks; 'vector' ranks by cosine, 'label' by how near the ids are."""
     from lexmill.operators import embeddings, lexical
 
     v = table(spark, sf_dir, "embeddings")
-    asked = v.filter("vec_id % 25 = 0")
+    asked = v.filter("vec_id % 100 = 0")
     near = embeddings.knn(asked, v, 20, "vec_id", "vec_id").select("qid", F.lit("vector").alias("retriever"), "rank", "doc")
     # the other ranking: within ten buckets of ids, by distance of ids
     pairs = asked.select(F.col("vec_id").alias("qid"), (F.col("vec_id") % 10).alias("b")).join(v.select(F.col("vec_id").alias("doc"), (F.col("vec_id") % 10).alias("b")), "b")
@@ -124,19 +124,19 @@ def rankings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 RANKINGS = """sims AS (SELECT q.vec_id AS qid, d.vec_id AS doc, round(list_dot_product(CAST(q.embedding AS DOUBLE[]), CAST(d.embedding AS DOUBLE[]))
     / ((sqrt(list_dot_product(CAST(q.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[]))) + 1e-9) * (sqrt(list_dot_product(CAST(d.embedding AS DOUBLE[]), CAST(d.embedding AS DOUBLE[]))) + 1e-9)), 6) AS similarity, d.label
-  FROM embeddings q JOIN embeddings d ON q.vec_id % 25 = 0),
+  FROM embeddings q JOIN embeddings d ON q.vec_id % 100 = 0),
 nearest AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY similarity DESC, doc) AS rank FROM sims),
 by_id AS (SELECT q.vec_id AS qid, d.vec_id AS doc, row_number() OVER (PARTITION BY q.vec_id ORDER BY abs(q.vec_id - d.vec_id), d.vec_id) AS rank
-  FROM embeddings q JOIN embeddings d ON q.vec_id % 25 = 0 AND q.vec_id % 10 = d.vec_id % 10),
+  FROM embeddings q JOIN embeddings d ON q.vec_id % 100 = 0 AND q.vec_id % 10 = d.vec_id % 10),
 rankings AS (SELECT qid, 'vector' AS retriever, rank, doc FROM nearest WHERE rank <= 20 UNION ALL SELECT qid, 'label', rank, doc FROM by_id WHERE rank <= 20),
-relevant AS (SELECT q.vec_id AS qid, d.vec_id AS doc FROM embeddings q JOIN embeddings d ON q.vec_id % 25 = 0 AND q.label = d.label AND q.vec_id != d.vec_id)"""
+relevant AS (SELECT q.vec_id AS qid, d.vec_id AS doc FROM embeddings q JOIN embeddings d ON q.vec_id % 100 = 0 AND q.label = d.label AND q.vec_id != d.vec_id)"""
 
 
 def relevant(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = table(spark, sf_dir, "embeddings")
-    return v.filter("vec_id % 25 = 0").select(F.col("vec_id").alias("qid"), "label").join(v.select(F.col("vec_id").alias("doc"), "label"), "label").filter("qid != doc").select("qid", "doc")
+    return v.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("qid"), "label").join(v.select(F.col("vec_id").alias("doc"), "label"), "label").filter("qid != doc").select("qid", "doc")
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = table(spark, sf_dir, "embeddings")
-    return v.filter("vec_id % 25 = 0").select(F.col("vec_id").alias("qid"), F.when(F.col("label") % 2 == 0, "provisional").otherwise("final").alias("status"), F.col("label"))
+    return v.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("qid"), F.when(F.col("label") % 2 == 0, "provisional").otherwise("final").alias("status"), F.col("label"))

@@ -56,7 +56,7 @@ SELECT vec_id, round(v[1] / norm, 6) AS first, round(v[16] / norm, 6) AS last, C
 
 def r5_knn(spark: SparkSession, d: str) -> DataFrame:
     v = table(spark, d, "embeddings")
-    return emb.knn(v.filter("vec_id % 25 = 0"), v, 10, "vec_id", "vec_id")
+    return emb.knn(v.filter("vec_id % 100 = 0"), v, 10, "vec_id", "vec_id")
 
 
 R5 = f"WITH {RANKINGS} SELECT qid, doc, similarity, CAST(rank AS INTEGER) AS rank FROM nearest WHERE rank <= 10"
@@ -64,7 +64,7 @@ R5 = f"WITH {RANKINGS} SELECT qid, doc, similarity, CAST(rank AS INTEGER) AS ran
 
 def r6_knn_filtered(spark: SparkSession, d: str) -> DataFrame:
     v = table(spark, d, "embeddings")
-    return emb.knn(v.filter("vec_id % 25 = 0"), v, 5, "vec_id", "vec_id", where=F.col("label") < 3)
+    return emb.knn(v.filter("vec_id % 100 = 0"), v, 5, "vec_id", "vec_id", where=F.col("label") < 3)
 
 
 R6 = f"WITH {RANKINGS}, f AS (SELECT qid, doc, similarity, row_number() OVER (PARTITION BY qid ORDER BY similarity DESC, doc) AS rank FROM sims WHERE label < 3) SELECT qid, doc, similarity, CAST(rank AS INTEGER) AS rank FROM f WHERE rank <= 5"
@@ -101,7 +101,7 @@ def e5_recall_at_k(spark: SparkSession, d: str) -> DataFrame:
     return ev.recall_at_k(_best(spark, d))
 
 
-_BEST = f"""{RANKINGS}, qs AS (SELECT vec_id AS qid, CASE WHEN label % 2 = 0 THEN 'provisional' ELSE 'final' END AS status, label FROM embeddings WHERE vec_id % 25 = 0),
+_BEST = f"""{RANKINGS}, qs AS (SELECT vec_id AS qid, CASE WHEN label % 2 = 0 THEN 'provisional' ELSE 'final' END AS status, label FROM embeddings WHERE vec_id % 100 = 0),
 rs AS (SELECT DISTINCT retriever FROM rankings), hit AS (SELECT retriever, qid, min(rank) AS best FROM rankings SEMI JOIN relevant USING (qid, doc) GROUP BY ALL),
 best AS (SELECT retriever, qid, best FROM qs CROSS JOIN rs LEFT JOIN hit USING (retriever, qid)), ks(k) AS (VALUES (1), (3), (5), (10))"""
 E5 = f"WITH {_BEST} SELECT retriever, k, count(*) FILTER (best <= k) AS hits, count(*) AS n, CAST(round_even(100 * count(*) FILTER (best <= k) / count(*), 0) AS INTEGER) AS percent FROM best, ks GROUP BY retriever, k"
