@@ -352,6 +352,17 @@ def q6_audit(spark, d) -> DataFrame:
     return quality.audit_extraction(_pairs(spark, d)).select("stem", "note")
 
 
+_TEXT_LEN = lambda c: f"length(regexp_replace(regexp_replace(regexp_replace(coalesce({c}, ''), '<[^>]+>', '', 'g'), '[#*|\\\\_-]', '', 'g'), '[\\s\\p{{Z}}]+', '', 'g'))"
+_AUDIT = f"""{_PAIRS}, bags AS (SELECT stem, n FROM ({Q3.split("WITH ", 1)[0]}WITH {Q3.split(_PAIRS + ", ", 1)[1]})),
+measured AS (SELECT p.*, {_TEXT_LEN("body")} AS mine, {_TEXT_LEN("pdf_text")} AS theirs, coalesce(n, 0) AS chars, length(regexp_replace(body, '[^가-힣0-9A-Za-z]', '', 'g')) AS total,
+  len(list_filter({_NUMS("pdf_text")}, lambda x: NOT list_contains({_NUMS("body")}, x))) AS nums FROM pairs p LEFT JOIN bags b ON b.stem = p.stem),
+audited AS (SELECT *, CASE WHEN pdf_text IS NULL THEN CASE WHEN mine < 100 THEN 'short_no_pdf' ELSE '' END WHEN theirs > mine * 1.8 AND theirs - mine > 150 THEN 'pdf_fallback' WHEN chars > 120 AND chars > total * 0.15 THEN 'char_diverge' WHEN nums >= 5 THEN 'num_diverge' ELSE '' END AS note FROM measured)"""
+Q6 = f"WITH {_AUDIT} SELECT stem, note FROM audited"
+Q7 = f"""WITH {_AUDIT}, kept AS (SELECT *, CASE WHEN note = 'pdf_fallback' THEN pdf_text ELSE body END AS t FROM audited)
+SELECT source_format, count(*) FILTER (t != '') AS n_ok, count(*) FILTER (t = '') AS n_failed, {", ".join(f"count(*) FILTER (note = '{f}') AS n_{f}" for f in ("pdf_fallback", "char_diverge", "num_diverge", "short_no_pdf", "math_loss", "corrected", "correction_stale"))},
+  count(*) FILTER (NOT contains(t, '<table') AND NOT contains(t, '|')) AS n_without_table, round(avg(strlen(t)), 3) AS mean_bytes FROM kept GROUP BY source_format"""
+
+
 def q7_summary(spark, d) -> DataFrame:
     return quality.extraction_summary(quality.audit_extraction(_pairs(spark, d))).withColumn("mean_bytes", F.round("mean_bytes", 3))
 
@@ -561,9 +572,9 @@ _PAIRED = {
     "j9_last_version_change": J9, "j10_reconcile": J10, "j10_totals": J10_TOTALS, "j11_pair_match": J11, "j12_impact": J12, "j13_group_fragments": J13, "j14_align": J14, "j15_three_way": J15, "j16_j18_freshness": J16, "j17_latest_version": J17,
     "j19_review_changed": J19, "j20_pair_check": J20, "j21_collection_plan": J21, "j21_skipped": J21_SKIPPED, "j22_forms_registry": J22, "j23_fetch_list": J23, "j24_select_versions": J24, "j25_select_rules": J25, "j26_prefer_source": J26,
     "h1_markers": H1, "h2_addenda_history": H2, "h3_revision_profile": H3, "h4_lifecycle": H4, "h5_untrusted": H5, "h6_noise_ratio": H6, "h7_branches": H7,
-    "q1_corrections": Q1, "q2_text_len": Q2, "q3_char_bag": Q3, "q4_num_set": Q4, "q5_math_loss": Q5, "r1_ingest_rows": R1, "r2_changed_rows": R2, "r14_units": R14, "r15_profile": R15, "s10_upsert": S10,
+    "q1_corrections": Q1, "q2_text_len": Q2, "q3_char_bag": Q3, "q4_num_set": Q4, "q5_math_loss": Q5, "q6_audit": Q6, "q7_summary": Q7, "r1_ingest_rows": R1, "r2_changed_rows": R2, "r14_units": R14, "r15_profile": R15, "s10_upsert": S10,
     "v4_dimensions": V4, "v5_missing_keys": V5, "v6_count_check": V6, "v7_coverage": V7, "v8_stale_corrections": V8, "v9_name_collisions": V9,
     "e1_norm_name": E1, "e2_subsequence": E2, "e3_match_sources": E3, "e4_match_strict": E3, "e8_canon": E8, "e9_e10_numbers": E9, "e11_has_all": E11, "e15_values": E15, "e16_unsupported": E16, "e17_format": E17, "e18_summary": E18,
 }
-QUERIES = {name: globals()[name] for name in (*_PAIRED, "s13_forms_markdown", "q6_audit", "q7_summary")}
+QUERIES = {name: globals()[name] for name in (*_PAIRED, "s13_forms_markdown")}
 ORACLES = _PAIRED
