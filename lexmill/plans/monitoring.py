@@ -95,6 +95,10 @@ def s13_forms_markdown(spark, d) -> DataFrame:
     return sinks.forms_registry_markdown(j22_forms_registry(spark, d))
 
 
+S13 = f"""WITH r AS ({J22}), l AS (SELECT parent, kind, num, '| ' || kind || ' | ' || num || ' | ' || title || ' | ' || articles || ' | ' || CASE WHEN orig_url = '' THEN '' ELSE '[원본](' || orig_url || ')' END || ' | ' || CASE WHEN pdf_url = '' THEN '' ELSE '[PDF](' || pdf_url || ')' END || ' |' AS line FROM r)
+SELECT parent, '## ' || parent || chr(10) || chr(10) || '| 구분 | 번호 | 제목 | 근거조 | 원본 | PDF |' || chr(10) || '|---|---|---|---|---|---|' || chr(10) || string_agg(line, chr(10) ORDER BY kind, num, line) AS markdown FROM l GROUP BY parent"""
+
+
 def v9_name_collisions(spark, d) -> DataFrame:
     return guards.name_collisions(monitor.collection_plan(manifest(spark, d), watchlist(spark, d)))
 
@@ -570,11 +574,11 @@ V7 = "SELECT CASE WHEN item_id % 10 = 0 THEN 'excluded' WHEN item_id % 3 = 0 THE
 
 _PAIRED = {
     "j9_last_version_change": J9, "j10_reconcile": J10, "j10_totals": J10_TOTALS, "j11_pair_match": J11, "j12_impact": J12, "j13_group_fragments": J13, "j14_align": J14, "j15_three_way": J15, "j16_j18_freshness": J16, "j17_latest_version": J17,
-    "j19_review_changed": J19, "j20_pair_check": J20, "j21_collection_plan": J21, "j21_skipped": J21_SKIPPED, "j22_forms_registry": J22, "j23_fetch_list": J23, "j24_select_versions": J24, "j25_select_rules": J25, "j26_prefer_source": J26,
+    "j19_review_changed": J19, "j20_pair_check": J20, "j21_collection_plan": J21, "j21_skipped": J21_SKIPPED, "j22_forms_registry": J22, "j23_fetch_list": J23, "s13_forms_markdown": S13, "j24_select_versions": J24, "j25_select_rules": J25, "j26_prefer_source": J26,
     "h1_markers": H1, "h2_addenda_history": H2, "h3_revision_profile": H3, "h4_lifecycle": H4, "h5_untrusted": H5, "h6_noise_ratio": H6, "h7_branches": H7,
     "q1_corrections": Q1, "q2_text_len": Q2, "q3_char_bag": Q3, "q4_num_set": Q4, "q5_math_loss": Q5, "q6_audit": Q6, "q7_summary": Q7, "r1_ingest_rows": R1, "r2_changed_rows": R2, "r14_units": R14, "r15_profile": R15, "s10_upsert": S10,
     "v4_dimensions": V4, "v5_missing_keys": V5, "v6_count_check": V6, "v7_coverage": V7, "v8_stale_corrections": V8, "v9_name_collisions": V9,
     "e1_norm_name": E1, "e2_subsequence": E2, "e3_match_sources": E3, "e4_match_strict": E3, "e8_canon": E8, "e9_e10_numbers": E9, "e11_has_all": E11, "e15_values": E15, "e16_unsupported": E16, "e17_format": E17, "e18_summary": E18,
 }
-QUERIES = {name: globals()[name] for name in (*_PAIRED, "s13_forms_markdown")}
+QUERIES = {name: globals()[name] for name in _PAIRED}
 ORACLES = _PAIRED
