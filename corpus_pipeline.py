@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.llm import decontaminate, language, near_duplicates, packing, queries, suffix_dedup
-from lexmill.llm.tables import keep
+from lexmill.llm.tables import keep, small_batches
 
 #: Least share of its main language that a kept document has.
 MAIN_LANGUAGE = 0.5
@@ -19,6 +19,7 @@ MAIN_LANGUAGE = 0.5
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language of their own (no letters, or no main language), and gives
     the others the language found. The model learns from the labelled rows of docs."""
+    small_batches(spark)
     model = language.fit(docs)
     found = language.predict(docs, model, carry=tuple(c for c in docs.columns if c not in ("doc_id", "lang")))
     kept = found.filter((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= MAIN_LANGUAGE))
@@ -26,20 +27,24 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each group that similarity of 0.8 over five-word shingles links."""
+    """Keeps the document with the least id of each group that similarity of 0.8 over five-word shingles
+    links; documents without an id stay."""
+    small_batches(spark)
     groups = near_duplicates.jaccard_components(docs, words=near_duplicates.WORDS, percent=near_duplicates.PERCENT)
-    first = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi")
+    others = groups.filter("doc_id != component_id").select("doc_id").distinct()
+    return docs.join(others, "doc_id", "left_anti")
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes repeated substrings from the texts; documents that have no word left go."""
+    small_batches(spark)
     out = suffix_dedup.remove_repeats(docs).filter(F.col("text").rlike(r"\S"))
     return out.select(*(F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that overlap with a benchmark item."""
+    small_batches(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontaminate.overlaps(docs, benchmark).select("doc_id").distinct()
     return docs.join(found, "doc_id", "left_anti")
@@ -47,6 +52,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places every token of the kept documents in sequences."""
+    small_batches(spark)
     return queries.packed(docs)
 
 

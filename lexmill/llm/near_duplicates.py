@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from lexmill.llm.graph import components
 from lexmill.llm.hashing import BASE, blocks, mix, shingle_hashes, span_hashes, word_spans
-from lexmill.llm.tables import as_bytes, drop_kept, keep
+from lexmill.llm.tables import as_bytes, drop_kept, keep, release
 
 WORDS, PERCENT = 5, 80
 #: A shingle in so many prefixes is frequent; the list that orders has so many of them at most.
@@ -95,6 +95,7 @@ def features(rows: DataFrame, words: int, percent: int, frequent: tuple[np.ndarr
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefix])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(prefix) if prefix else np.zeros(0, np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), lists, pa.array(counts, pa.binary())], names=["key", "n", "node", "prefix", "counts"])
+        release()
 
     return rows.mapInArrow(run, f"key {dict(rows.dtypes)['key']}, n long, node long, prefix array<long>, counts binary")
 
@@ -224,7 +225,8 @@ def verified_edges(rows: DataFrame, members: DataFrame, words: int, percent: int
 
     rows (key, text); members (key, node, n, cluster): one key for each node.
     """
-    size = members.groupBy("cluster").agg(F.count("*").alias("size"), F.sum("n").alias("total")).filter("size > 1")
+    # kept, so that the join below has plain exchanges on both sides and Spark can split a large cluster
+    size = keep(members.groupBy("cluster").agg(F.count("*").alias("size"), F.sum("n").alias("total")).filter("size > 1"))
     wanted = members.join(size, "cluster")
     texts = rows.join(wanted.select("key", "node", "cluster", "size", "total"), "key")
 
@@ -291,7 +293,7 @@ def jaccard_components(df: DataFrame, key: str = "doc_id", text: str = "text", w
     clusters = components(candidate_edges(groups, percent))
     member_of = nodes.select("node", "n", "key", "prefix_hash").join(groups.select("gid", "n", "prefix_hash"), ["n", "prefix_hash"])
     members = member_of.join(clusters.withColumnRenamed("node", "gid"), "gid", "left").select("key", "node", "n", F.coalesce("component", "gid").alias("cluster"))
-    linked = components(verified_edges(rows, members, words, percent))
+    linked = components(verified_edges(rows, keep(members), words, percent))
     drop_kept(spark, groups)
     component = nodes.select("node", "key").join(linked, "node").groupBy("component").agg(F.min("key").alias("component_id"))
     by_node = linked.join(component, "component").select("node", "component_id")

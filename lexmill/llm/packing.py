@@ -35,10 +35,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.tables import drop_kept, keep
+from lexmill.llm.tables import drop_kept, keep, release
 
 CAPACITY, END_TOKEN = 1024, 2
-CACHE_WORDS = 800_000
+CACHE_WORDS = 200_000
 
 
 # --- tokens -------------------------------------------------------------------------------------
@@ -92,10 +92,8 @@ class _Parts(dict):
         self.encode = encode
 
     def __missing__(self, part: str) -> bytes:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
         found = self.encode(part)
-        if len(part) < 64:
+        if len(part) < 64 and len(self) < CACHE_WORDS:  # frequent parts come early and stay
             self[part] = found
         return found
 
@@ -123,6 +121,7 @@ def token_pieces(df: DataFrame, tokenizer_path: str, key: str = "doc_id", text:
                         column.append(value)
             kinds = [batch.schema.field(0).type, pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["key", "piece", "start", "length", "ids_crc32"])
+        release()
 
     rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     return rows.mapInArrow(run, f"key {dict(df.dtypes)[key]}, piece int, start long, length long, ids_crc32 long").withColumnRenamed("key", key)

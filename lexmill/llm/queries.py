@@ -147,5 +147,15 @@ SELECT page_id, any_value(host) AS host, count(name) > 0 AS blocked, CAST(count(
 FROM captures LEFT JOIN hits USING (page_id) GROUP BY page_id"""
 
 
+_JACCARD_SQL = """
+WITH RECURSIVE split AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x != '') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) >= 4 THEN list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM split),
+each AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM each a JOIN each b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN edges l ON l.a = r.other)
+SELECT doc_id, len(s) AS n_shingles, min(other) AS component_id FROM reach JOIN sets USING (doc_id) GROUP BY doc_id, len(s)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_license_scan": _license_sql(), "op7_url_filters": _url_sql()}
+    return {"op8_jaccard_join": _JACCARD_SQL, "op5_license_scan": _license_sql(), "op7_url_filters": _url_sql()}

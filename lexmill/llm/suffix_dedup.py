@@ -42,7 +42,7 @@ from pyspark.sql import types as T
 
 from lexmill.llm.hashing import BYTE, MIX_A, MIX_B, blocks, mix
 from lexmill.llm.near_duplicates import _cells, _whole_cells
-from lexmill.llm.tables import as_bytes, keep, shuffles_go
+from lexmill.llm.tables import as_bytes, keep, release, shuffles_go
 
 #: Bytes of a repeated string, of an anchor's own string, and window starts that share an anchor at most.
 LENGTH, SHALLOW = 100, 32
@@ -126,6 +126,7 @@ def recurring_anchors(rows: DataFrame) -> DataFrame:
                 packed = (at << 18) | ((at - first) << 10) | (n << 2) | kind
                 route = np.where(kind == PASSING, mix(h ^ packed.astype(np.uint64) ^ (text.astype(np.uint64) << np.uint64(40))), h)
             yield pa.RecordBatch.from_arrays([pa.array(route.view(np.int64)), pa.array(ids[text]), pa.array(packed)], names=["hash", "id", "anchor"])
+        release()
 
     def meet(batches):
         for table in _whole_cells(batches, 1):
@@ -341,7 +342,7 @@ def _by_pairs(pieces, left, windows) -> list[tuple[int, int, int]]:
     return out
 
 
-def sort_pieces(pieces: DataFrame) -> DataFrame:
+def sort_pieces(pieces: DataFrame, most: int = GROUP) -> DataFrame:
     """(id, begin, end, left, piece): repeated byte intervals; with piece set, a piece of a group too
     large to hold, whose windows [begin, end) are still to be judged."""
 
@@ -371,7 +372,7 @@ def sort_pieces(pieces: DataFrame) -> DataFrame:
                 if r != route:
                     if len(met) > 1:
                         held += met.values()
-                    if len(held) > GROUP:
+                    if len(held) > most:
                         rows += (x for group in groups(held) for x in judged(group))
                         held = []
                     route, met, over = r, {}, False
@@ -381,7 +382,7 @@ def sort_pieces(pieces: DataFrame) -> DataFrame:
                     rows.append((id_, first, first + n - 1 + LENGTH, -1, None))
                 else:
                     met[left, piece] = (id_, first, n, left, piece)
-                    if len(met) > GROUP:
+                    if len(met) > most:
                         rows += ((g[0], g[1], g[1] + g[2], g[3], g[4]) for g in met.values())
                         met, over = {}, True
             if rows:
@@ -437,7 +438,7 @@ def _cut(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "id long, n_removed long, kept binary, n_spans long")
 
 
-def _repeats(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _repeats(rows: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
     """(id, intervals) and the bucketed (id, text) that they cut, for rows (id, text) of unique ids."""
     spark = rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -446,7 +447,7 @@ def _repeats(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     with shuffles_go(spark):
         rows.join(found, "id").write.option("compression", "zstd").bucketBy(parts, "id").saveAsTable(name, format="parquet")
     texts = spark.table(name)
-    judged = keep(sort_pieces(cut_pieces(texts)))
+    judged = keep(sort_pieces(cut_pieces(texts), most))
     intervals = judged.filter("piece is null").select("id", "begin", "end")
     large = judged.filter("piece is not null")
     if large.limit(1).count():
@@ -472,16 +473,16 @@ def _tagged(df: DataFrame, key: str, text: str) -> tuple[DataFrame, str, bool]:
     return keep(joined.select(*(df[c] for c in df.columns), numbers[name])), name, False
 
 
-def _cut_texts(tagged: DataFrame, name: str, text: str, once: bool) -> DataFrame:
+def _cut_texts(tagged: DataFrame, name: str, text: str, once: bool, most: int) -> DataFrame:
     documents = tagged.select(F.col(name).alias("id"), as_bytes(text).alias("text"))
     if not once:
         documents = documents.dropDuplicates(["id"])
-    intervals, texts = _repeats(documents)
+    intervals, texts = _repeats(documents, most)
     return _cut(texts.join(intervals, "id").select("id", "text", "intervals"))
 
 
-def removed_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_bytes, n_removed, n_spans, kept_sha256) of each row."""
+def removed_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", most: int = GROUP) -> DataFrame:
+    """(key, n_bytes, n_removed, n_spans, kept_sha256) of each row. most: pieces of a group in memory."""
     tagged, name, once = _tagged(df, key, text)
 
     def digest(batches):
@@ -489,7 +490,7 @@ def removed_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
             digests = [hashlib.sha256(k.as_py()).hexdigest() for k in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), pa.array(digests, pa.string())], names=["id", "n_removed", "n_spans", "kept_sha256"])
 
-    changed = _cut_texts(tagged, name, text, once).mapInArrow(digest, "id long, n_removed long, n_spans long, kept_sha256 string")
+    changed = _cut_texts(tagged, name, text, once, most).mapInArrow(digest, "id long, n_removed long, n_spans long, kept_sha256 string")
     data = as_bytes(text)
     facts = tagged.select(F.col(name).alias("id"), F.col(key).alias("key"), F.octet_length(data).cast("long").alias("n_bytes"), F.sha2(data, 256).alias("sha"))
     none = F.lit(0).cast("long")
@@ -498,7 +499,7 @@ def removed_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     )
 
 
-def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", most: int = GROUP) -> DataFrame:
     """df with the repeated substrings gone from its text; a character that lost some of its bytes
     goes whole. Other columns stay as they are."""
     tagged, name, once = _tagged(df, key, text)
@@ -507,6 +508,6 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([k.as_py().decode("utf-8", "ignore") for k in batch.column(2)], pa.string())], names=["id", "kept"])
 
-    kept = _cut_texts(tagged, name, text, once).filter("n_removed > 0").mapInArrow(decode, "id long, kept string")
+    kept = _cut_texts(tagged, name, text, once, most).filter("n_removed > 0").mapInArrow(decode, "id long, kept string")
     joined = tagged.join(kept.select(F.col("id").alias(name), F.col("kept").alias(f"{name}_kept")), name, "left")
     return joined.select(*(F.coalesce(f"{name}_kept", c).alias(c) if c == text else F.col(c) for c in df.columns))

@@ -10,7 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts have some KB each, so that Arrow batches of a thousand rows keep a task's memory to some
+    MB on both sides, however many operators run in one session."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -65,6 +72,13 @@ def drop_kept(spark: SparkSession, *frames: DataFrame) -> None:
                 path.getFileSystem(conf).delete(path, True)
 
 
+def release() -> None:
+    """At the end of a task: gives Arrow's free memory back, as Python workers live on."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+
+
 def hash_fraction(key: Column, seed: int = 0) -> Column:
     """A number in [0, 1) that depends on the key alone."""
     return F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1_000_000)) / F.lit(1_000_000.0)

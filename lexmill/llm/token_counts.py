@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 BLANK = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 500_000
 
 
 @dataclass(frozen=True)
@@ -53,9 +53,9 @@ class _Words(dict):
         self.search = search
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        found = self[word] = self.search(BLANK + word)
+        found = self.search(BLANK + word)
+        if len(self) < CACHE_WORDS:  # frequent words come early and stay
+            self[word] = found
         return found
 
 

@@ -35,7 +35,12 @@ def test_repeats_match_brute_force(spark):
     assert as_repeats(suffix_dedup.removed_repeats(df)) == brute_repeats([(r.doc_id, r.text) for r in df.collect()])
 
 
-def test_groups_too_large_to_hold_give_the_same(spark, monkeypatch):
+def test_small_limits_give_the_same(spark):
+    df = cases.frame(spark, cases.texts(11, 24))
+    assert as_repeats(suffix_dedup.removed_repeats(df, most=1)) == brute_repeats([(r.doc_id, r.text) for r in df.collect()])
+
+
+def test_groups_too_large_to_hold_give_the_same(spark):
     rng = random.Random(3)
     common = cases.words(rng, 20)[:105]
     rows = [cases.words(rng, 30) + common + cases.words(rng, 30) for _ in range(40)]
