@@ -7,7 +7,8 @@ evaluated as of its fetch time against the entries then active.
 The captures' distinct hosts are found first (summed before the shuffle), so a host with a third of
 all captures costs the list side one row; their suffixes are joined with the intervals, and each
 host's intervals come back as one array that is bounded by the list, not by the captures. The
-captures then take one join on host, in which Spark splits a hot host, and no row is multiplied.
+captures then take one join on host and a salt of SALTS values, which deals a hot host out to as many
+tasks; the few host rows are repeated for each salt, captures never.
 
 Defined results: a capture with a null URL, a URL without a host or a null time matches nothing and
 is kept with blocked = false; list entries with a null date, rule or value are ignored; at equal
@@ -21,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+SALTS = 16
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
 PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^#]*)"
 
@@ -63,8 +65,10 @@ def evaluate(captures: DataFrame, entries: DataFrame, key: str = "page_id", url:
         .filter(same)
         .groupBy("host")
         .agg(F.array_sort(F.collect_list(active)).alias("intervals"))
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     )
-    joined = seen.join(by_host, "host", "left")
+    salted = seen.withColumn("salt", F.pmod(F.xxhash64("key", "path", "at"), F.lit(SALTS)).cast("int"))
+    joined = salted.join(by_host, ["host", "salt"], "left")
     hits = F.filter(
         F.coalesce("intervals", F.array().cast(joined.schema["intervals"].dataType)),
         lambda e: (e["valid_from"] <= F.col("at")) & (e["valid_to"].isNull() | (F.col("at") < e["valid_to"])) & F.coalesce(F.startswith(F.col("path"), e["path"]), F.lit(False)),
