@@ -9,7 +9,7 @@ documents link when 100 * intersection >= percent * union.
    a shingle in the prefixes that this order gives. Nodes with identical prefix and size become one
    group, which stands for its members.
 3. Prefix shingles of two or more groups make cells. In a cell, group pairs are filtered by an
-   upper bound of their intersection (counts of the set in 128 hash ranges); only a spanning forest
+   upper bound of their intersection (counts of the set in hash ranges, more for larger sets); only a spanning forest
    of the surviving pairs leaves the cell, so a cell's output grows with its rows, not its pairs.
 4. The forest's components are candidate clusters. Groups are expanded to their members, whose whole
    sets meet once in their cluster's cell and are verified exactly, walking from set to set so that
@@ -41,7 +41,8 @@ WORDS, PERCENT = 5, 80
 FREQUENT, FREQUENT_LISTED = 64, 500_000
 #: Rows of a cell at most, and shingles of a cluster's cell.
 CELL, CELL_SHINGLES = 2000, 2_000_000
-RANGES = 128
+#: Hash ranges whose counts bound an intersection: about one for 4 to 8 shingles, within these limits.
+RANGES, MOST_RANGES, IN_RANGE = 128, 8192, 8
 
 
 def shingle_sets(texts: list[bytes], words: int):
@@ -91,7 +92,10 @@ def features(rows: DataFrame, words: int, percent: int, frequent: tuple[np.ndarr
                         if late.any():
                             s = s[np.argsort(late, kind="stable")]
                     prefix.append(_signed(s[:length]))
-                    counts.append(np.minimum(np.bincount((s >> np.uint64(57)).astype(np.int64), minlength=RANGES), 255).astype(np.uint8).tobytes())
+                    ranges = RANGES
+                    while ranges < MOST_RANGES and IN_RANGE * ranges < size:
+                        ranges *= 2
+                    counts.append(np.minimum(np.bincount((s >> np.uint64(65 - ranges.bit_length())).astype(np.int64), minlength=ranges), 255).astype(np.uint8).tobytes())
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefix])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(prefix) if prefix else np.zeros(0, np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), lists, pa.array(counts, pa.binary())], names=["key", "n", "node", "prefix", "counts"])
@@ -163,6 +167,11 @@ def forest(size: int, side: np.ndarray, cross: bool, linked):
             left = left[~np.isin(left, found, assume_unique=True)]
 
 
+def _folded(counts: np.ndarray, ranges: int) -> np.ndarray:
+    """Counts of a finer division as those of a coarser one."""
+    return counts.reshape(ranges, -1).sum(axis=1, dtype=np.int64)
+
+
 def _in_blocks(df: DataFrame, cell, node: str, parts) -> DataFrame:
     """Adds bi, bj, side: a row of a cell of `parts` blocks goes to each pair that holds its block."""
     side = F.pmod(F.xxhash64(F.lit(8), F.col(node)), parts).cast("int")
@@ -189,15 +198,26 @@ def candidate_edges(groups: DataFrame, percent: int) -> DataFrame:
             edges = _cells(table, 3)
             crossed = (table["bi"].to_numpy() != table["bj"].to_numpy())[edges[:-1]]
             side, gid, n = (table[c].to_numpy() for c in ("side", "gid", "n"))
-            counts = np.frombuffer(b"".join(table["counts"].to_pylist()), np.uint8).reshape(-1, RANGES)
-            full = (counts == 255).any(axis=1)
+            fine = [np.frombuffer(c, np.uint8) for c in table["counts"].to_pylist()]
+            counts = np.stack([c if len(c) == RANGES else _folded(c, RANGES) for c in fine])
+            full = np.array([c.max() == 255 for c in fine])
             out_a, out_b = [], []
 
-            def may_link(i, j):
-                bound = np.minimum(counts[i], counts[j]).sum(axis=-1, dtype=np.int64)
-                bound = np.where(full[i] | full[j], np.minimum(n[i], n[j]), np.minimum(bound, np.minimum(n[i], n[j])))
+            def enough(bound, i, j):
                 return bound * (100 + percent) >= percent * (n[i] + n[j])
 
+            def may_link(i, j):
+                """i: a row or rows; j: rows. By few ranges first, then by as many as both have."""
+                bound = np.minimum(np.minimum(counts[i], counts[j]).sum(axis=-1, dtype=np.int64), np.minimum(n[i], n[j]))
+                known = ~(full[i] | full[j])
+                passed = np.where(known, enough(bound, i, j), enough(np.minimum(n[i], n[j]), i, j))
+                i = np.broadcast_to(i, j.shape)
+                for k in np.flatnonzero(passed & known).tolist():
+                    a, b = fine[i[k]], fine[j[k]]
+                    if (ranges := min(len(a), len(b))) > RANGES:
+                        passed[k] = enough(int(np.minimum(_folded(a, ranges), _folded(b, ranges)).sum()), i[k], j[k])
+                return passed
+
             two = np.flatnonzero(np.diff(edges) == 2)
             for k in range(0, len(two), 20_000):
                 i = edges[two[k : k + 20_000]]
