@@ -173,6 +173,16 @@ def test_large_cells_are_cut_in_blocks(spark, monkeypatch):
     assert got == brute_components([(r.doc_id, r.text) for r in df.collect()], 4, 85)
 
 
+def test_long_sets_meet_by_finer_ranges(spark):
+    rng = random.Random(6)
+    base = cases.words(rng, 5000).split(" ")
+    rows = [" ".join(base), " ".join([*base[:2400], "changed", *base[2401:4700]]), cases.words(rng, 5000), cases.words(rng, 4800), " ".join(base[:2500]), cases.words(rng, 1100)]
+    df = cases.frame(spark, rows)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates.jaccard_components(df, words=4, percent=85).collect()}
+    assert got == brute_components([(r.doc_id, r.text) for r in df.collect()], 4, 85)
+    assert got[1][1] == 0 and got[4][1] == 4
+
+
 def test_null_keys_link_with_nothing(spark):
     df = spark.createDataFrame([(None, "a b c d e f"), (3, "a b c d e f"), (2, "a b c d e f"), (2, "a b c d e f")], "doc_id long, text string")
     got = sorted((r.doc_id or -1, r.component_id) for r in near_duplicates.jaccard_components(df).collect())
