@@ -2,15 +2,21 @@
 
 Fixed masks choose some of SPAN consecutive words and ignore the others; equal chosen words give
 equal hashes even if an ignored word was substituted. The benchmark's hashes are joined with every
-position of every training text, and each hit is verified on its diagonal: the best stretch of
-aligned words, in which substitutions are tolerated.
+position of every training text. A hit counts if some stretch around it is within the limits of
+words and similarity; then its whole diagonal is judged, all stretches of aligned words, in which
+substitutions are tolerated.
+
+A stretch of 26 words or more within the limits has a shorter one within them (one of its halves),
+so stretches up to NEAR words around a hit decide whether a diagonal has any.
 
 The benchmark side travels in blocks of at most BLOCK_WORDS words (a checked size), one pass over
 the texts for each block, so any size of benchmark works and no broadcast grows with the data.
 Texts are never shuffled; only verified overlaps, a row for each text and item, are.
 
 Defined results: null and empty texts or items match nothing; items of fewer than SPAN words must
-occur whole and unaltered, items without words never match; repeated rows give repeated rows'
+occur whole and unaltered, items without words never match; of a diagonal's stretches within the
+limits the one of the best score is reported, or if the best-scored one is beyond them, the one with
+the most equal words (then the fewest words, then the first); repeated rows give repeated rows'
 overlaps once per key; empty tables give no rows. Only keys and texts are read, so other columns
 cannot clash.
 """
@@ -32,6 +38,10 @@ SPAN = 10
 #: Aligned words that make an overlap, share of them that must be equal, and the cost of a
 #: substituted word in units of an equal one.
 MIN_WORDS, MIN_SIMILARITY, SUBSTITUTED = 13, 0.8, 2
+#: Equal words that make up for another one at MIN_SIMILARITY, words of the stretches that are looked
+#: at around a hit, and hits looked at together.
+OTHER = round(MIN_SIMILARITY / (1 - MIN_SIMILARITY))
+NEAR, HITS = 2 * MIN_WORDS - 1, 1 << 14
 #: Benchmark words of a pass at most.
 BLOCK_WORDS = 1_000_000
 _BITS = 22
@@ -68,51 +78,63 @@ class Index:
         self.words, self.edges = word_hashes(texts)
         at = np.arange(len(self.words))
         item = np.searchsorted(self.edges, at, side="right") - 1
-        self.tables = {}
+        self.tables = []
         lengths = np.diff(self.edges)
         short = sorted({int(n) for n in lengths if 0 < n < SPAN})
-        for mask in (*MASKS, *("1" * n for n in short)):
+        for mask, whole in (*((m, False) for m in MASKS), *(("1" * n, True) for n in short)):
             n, h = len(mask), seeds(self.words, mask)
             fits = at[: len(h)] + n <= self.edges[item[: len(h)] + 1]
-            fits &= (lengths[item[: len(h)]] == n) if n < SPAN else (lengths[item[: len(h)]] >= SPAN)
+            fits &= (lengths[item[: len(h)]] == n) if whole else (lengths[item[: len(h)]] >= SPAN)
             h, places = h[fits], at[: len(h)][fits]
             order = np.argsort(h, kind="stable")
             quick = np.zeros(1 << _BITS, bool)
             quick[h >> np.uint64(64 - _BITS)] = True
-            self.tables[mask] = (h[order], places[order], quick)
+            self.tables.append((mask, h[order], places[order], quick))
         self.item = item
 
-    def hits(self, words: np.ndarray) -> np.ndarray:
-        """Pairs (position in words, position in the benchmark) that share a seed."""
-        found = []
-        for mask, (h, places, quick) in self.tables.items():
+    def hits(self, words: np.ndarray):
+        """Pairs (position in words, position in the benchmark) that share a seed, HITS at most at a time."""
+        for mask, h, places, quick in self.tables:
             s = seeds(words, mask)
             at = np.flatnonzero(quick[s >> np.uint64(64 - _BITS)])
             low, high = np.searchsorted(h, s[at], "left"), np.searchsorted(h, s[at], "right")
-            n = high - low
-            if n.any():
-                k = np.repeat(np.arange(len(at)), n)
-                found.append(np.stack([at[k], places[low[k] + np.arange(len(k)) - np.repeat(np.cumsum(n) - n, n)]], axis=1))
-        return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+            stops = np.cumsum(high - low)
+            total = int(stops[-1]) if len(stops) else 0
+            for first in range(0, total, HITS):
+                n = np.arange(first, min(first + HITS, total))
+                k = np.searchsorted(stops, n, side="right")
+                yield np.stack([at[k], places[high[k] - stops[k] + n]], axis=1)
+
+    def diagonals(self, words: np.ndarray, edges: np.ndarray) -> np.ndarray:
+        """(text, item, diagonal) of the hits that lie near a stretch within the limits."""
+        found, around = [], np.arange(-NEAR, NEAR)
+        for hits in self.hits(words):
+            text = np.searchsorted(edges, hits[:, 0], side="right") - 1
+            item = self.item[hits[:, 1]]
+            size = self.edges[item + 1] - self.edges[item]
+            good = (size < SPAN) & (hits[:, 0] + size <= edges[text + 1])
+            p, q = hits[:, :1] + around, hits[:, 1:] + around
+            inside = (p >= edges[text, None]) & (p < edges[text + 1, None]) & (q >= self.edges[item, None]) & (q < self.edges[item + 1, None])
+            equal = words[np.where(inside, p, 0)] == self.words[np.where(inside, q, 0)]
+            total = np.zeros((len(hits), 2 * NEAR + 1), np.int32)
+            np.cumsum(np.where(inside, np.where(equal, 1, -OTHER), -NEAR), axis=1, out=total[:, 1:])
+            for n in range(SPAN, NEAR + 1):
+                good |= (size >= SPAN) & (n >= np.minimum(MIN_WORDS, size)) & (total[:, n:] >= total[:, :-n]).any(axis=1)
+            found.append(np.unique(np.stack([text, item, hits[:, 0] - hits[:, 1]], axis=1)[good], axis=0))
+        return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
 
     def overlaps(self, words: np.ndarray, edges: np.ndarray):
         """(text, item, text's word, item's word, words, equal words) of each verified diagonal."""
-        hits = self.hits(words)
-        if not len(hits):
-            return
-        text = np.searchsorted(edges, hits[:, 0], side="right") - 1
-        item = self.item[hits[:, 1]]
-        for t, i, diagonal in np.unique(np.stack([text, item, hits[:, 0] - hits[:, 1]], axis=1), axis=0):
+        for t, i, diagonal in self.diagonals(words, edges):
             first = max(self.edges[i], edges[t] - diagonal)
             last = min(self.edges[i + 1], edges[t + 1] - diagonal)
             size = int(self.edges[i + 1] - self.edges[i])
-            if last <= first:
-                continue
             equal = self.words[first:last] == words[first + diagonal : last + diagonal]
-            begin, end = best_stretch(equal)
-            same, n = int(equal[begin:end].sum()), end - begin
-            if n >= min(MIN_WORDS, size) and same >= MIN_SIMILARITY * n and (size >= SPAN or same == size):
-                yield int(t), int(i), int(first + diagonal + begin - edges[t]), int(first + begin - self.edges[i]), n, same
+            if size < SPAN and (len(equal) < size or not equal.all()):
+                continue
+            if stretch := valid_stretch(equal, min(MIN_WORDS, size)):
+                begin, end = stretch
+                yield int(t), int(i), int(first + diagonal + begin - edges[t]), int(first + begin - self.edges[i]), end - begin, int(equal[begin:end].sum())
 
 
 def best_stretch(equal: np.ndarray) -> tuple[int, int]:
@@ -123,6 +145,29 @@ def best_stretch(equal: np.ndarray) -> tuple[int, int]:
     return int(np.argmin(total[: end + 1])), end
 
 
+def valid_stretch(equal: np.ndarray, least: int) -> tuple[int, int] | None:
+    """The best stretch if it has at least `least` words and MIN_SIMILARITY; else, of all that have, the
+    one with the most equal words, then the fewest words, then the first; None if there is none."""
+    same = np.concatenate([[0], np.cumsum(equal)])
+    total = (1 + OTHER) * same - OTHER * np.arange(len(same))
+    begin, end = best_stretch(equal)
+    if end - begin >= least and total[end] >= total[begin]:
+        return begin, end
+    # for each end the earliest begin within the limit is a record low of the total
+    lows = np.flatnonzero(np.diff(np.minimum.accumulate(total), prepend=1) < 0)
+    ends = np.arange(least, len(same))
+    begins = lows[np.searchsorted(-total[lows], -total[ends])]
+    fits = ends - begins >= least
+    if not fits.any():
+        return None
+    begins, ends = begins[fits], ends[fits]
+    most = same[ends] - same[begins]
+    begins, ends = begins[most == most.max()], ends[most == most.max()]
+    begins = np.minimum(np.searchsorted(same, same[begins], side="right") - 1, ends - least)
+    k = np.lexsort((begins, ends - begins))[0]
+    return int(begins[k]), int(ends[k])
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """(key, item, word_start, item_start, n_words, n_equal, similarity): the best overlap of each text and item."""
     spark = docs.sparkSession

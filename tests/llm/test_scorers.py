@@ -157,3 +157,29 @@ def test_overlaps_match_brute_force(spark, sf):
     whole = {(d.doc_id, b.item_id) for d in docs for b in bench if norm(b.text) in norm(d.text)}
     got = queries.op9_decontamination(spark, sf).collect()
     assert whole and whole <= {(r.doc_id, r.item_id) for r in got}
+
+
+def brute_stretch(equal, least):
+    n = len(equal)
+    fits = [(a, b) for a in range(n) for b in range(a + 1, n + 1) if b - a >= least and 5 * sum(equal[a:b]) >= 4 * (b - a)]
+    best = max(((a, b) for a in range(n + 1) for b in range(a, n + 1)), key=lambda x: (3 * sum(equal[x[0] : x[1]]) - 2 * (x[1] - x[0]), -x[1], -x[0]))
+    return best if best in fits else max(fits, key=lambda x: (sum(equal[x[0] : x[1]]), x[0] - x[1], -x[0]), default=None)
+
+
+def test_every_stretch_of_a_diagonal_is_judged():
+    import numpy as np
+
+    rng = random.Random(9)
+    cases_ = ["1" * 13 + "0" * 6 + "1" * 13 + "0" * 6 + "1" * 13, "1" * 12 + "0" * 7 + "1" * 6 + "0" + "1" * 6, "0110111111", "0" * 30, ""]
+    cases_ += ["".join("01"[rng.random() < share] for _ in range(rng.randint(1, 45))) for share in (0.6, 0.75, 0.85) for _ in range(60)]
+    for case in cases_:
+        equal = np.array([c == "1" for c in case], bool)
+        for least in (10, 13):
+            got = decontaminate.valid_stretch(equal, least)
+            want = brute_stretch(equal.tolist(), least)
+            assert (got is None) == (want is None), case
+            if want:
+                a, b = got
+                assert b - a >= least and 5 * equal[a:b].sum() >= 4 * (b - a), case
+                assert (b - a, equal[a:b].sum()) == (want[1] - want[0], equal[want[0] : want[1]].sum()), case
+    assert decontaminate.valid_stretch(np.array([c == "1" for c in cases_[0]]), 13) and decontaminate.valid_stretch(np.array([c == "1" for c in cases_[1]]), 13)
