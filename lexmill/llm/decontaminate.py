@@ -1,6 +1,6 @@
 """Operator 9, benchmark decontamination by spaced-seed hashing.
 
-Fixed masks choose some of SPAN consecutive words and ignore the others; equal chosen words give
+Fixed masks choose some of a few consecutive words and ignore the others; equal chosen words give
 equal hashes even if an ignored word was substituted. The benchmark's hashes are joined with every
 position of every training text. A hit counts if some stretch around it is within the limits of
 words and similarity; then its whole diagonal is judged, all stretches of aligned words, in which
@@ -32,8 +32,10 @@ from pyspark.sql import functions as F
 
 from lexmill.llm.hashing import BASE, blocks, mix, span_hashes, word_spans
 
-#: Words that a mask looks at (1) or ignores (0): fixed values.
-MASKS = ("1110110101", "1101011011", "1011101011")
+#: Words that a mask looks at (1) or ignores (0): every stretch of 10 to 25 words with at most a fifth
+#: substituted, wherever they are, has one of these (a test enumerates them).
+MASKS = ("1111", "11101")
+#: Items of fewer words must occur unaltered.
 SPAN = 10
 #: Aligned words that make an overlap, share of them that must be equal, and the cost of a
 #: substituted word in units of an equal one.

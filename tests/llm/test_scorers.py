@@ -183,3 +183,48 @@ def test_every_stretch_of_a_diagonal_is_judged():
                 assert b - a >= least and 5 * equal[a:b].sum() >= 4 * (b - a), case
                 assert (b - a, equal[a:b].sum()) == (want[1] - want[0], equal[want[0] : want[1]].sum()), case
     assert decontaminate.valid_stretch(np.array([c == "1" for c in cases_[0]]), 13) and decontaminate.valid_stretch(np.array([c == "1" for c in cases_[1]]), 13)
+
+
+def test_masks_find_every_substitution_pattern():
+    import itertools
+    import re
+
+    masks = re.compile("|".join(m.replace("0", ".") for m in decontaminate.MASKS))
+    for n in range(decontaminate.SPAN, decontaminate.NEAR + 1):
+        for changed in itertools.combinations(range(n), n // 5):
+            pattern = ["1"] * n
+            for k in changed:
+                pattern[k] = "0"
+            assert masks.search("".join(pattern)), (n, changed)
+
+
+def test_substituted_items_match_brute_force(spark):
+    rng = random.Random(12)
+    vocabulary = [f"w{k}" for k in range(400)]
+    items = [rng.choices(vocabulary, k=n) for n in (4, 9, 10, 11, 12, 13, 15, 20, 40, 60) for _ in range(3)]
+    rows = []
+    for _ in range(120):
+        words = rng.choices(vocabulary, k=rng.randint(0, 30))
+        for _ in range(2):
+            item = rng.choice(items)
+            rate = rng.choice((0, 0.1, 0.2, 0.25))
+            words += [rng.choice(vocabulary) if rng.random() < rate else w for w in item] + rng.choices(vocabulary, k=rng.randint(0, 9))
+        rows.append(words)
+    adjacent = items[21][:9] + ["x", "y"] + items[21][11:]
+    ends = ["x", *items[6][1:9], "y"]
+    rows += [adjacent, ends]
+
+    want = {}
+    for d, text in enumerate(rows):
+        for i, item in enumerate(items):
+            least = min(13, len(item))
+            for diagonal in range(-len(item), len(text)):
+                equal = [0 <= k + diagonal < len(text) and text[k + diagonal] == w for k, w in enumerate(item)]
+                a, b = max(0, -diagonal), min(len(item), len(text) - diagonal)
+                if b - a >= least and sum(equal) >= 0.7 * least:
+                    if len(item) >= 10 and brute_stretch(equal[a:b], least) or len(item) < 10 and all(equal):
+                        want[d, i] = True
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    got = decontaminate.overlaps(cases.frame(spark, [" ".join(t) for t in rows]), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == set(want)
+    assert (120, 21) in want and (121, 6) in want
