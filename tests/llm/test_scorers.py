@@ -102,6 +102,24 @@ def test_license_blocks(spark):
     assert licenses.license_blocks(cases.empty(spark)).count() == 0
 
 
+def test_notices_within_long_lines(spark):
+    rng = random.Random(8)
+    ids = sorted(licenses.TEMPLATES)
+    rows = [cases.words(rng, n) + " " + licenses.TEMPLATES[k] + " " + cases.words(rng, n) for k in ids for n in (5, 2500)]
+    rows.append("Released under the MIT License. Licensed under CC BY 4.0. " + cases.words(rng, 30) + " All rights reserved.")
+    got = sorted((r.doc_id, r.license_id, r.n_differences) for r in licenses.license_blocks(cases.frame(spark, rows)).collect())
+    assert got == [(k, ids[k // 2], 0) for k in range(2 * len(ids))] + [(2 * len(ids), k, 0) for k in ("All-Rights-Reserved", "CC-BY-4.0", "MIT")]
+
+
+@pytest.mark.parametrize("most", (0, 1, 2, 3))
+def test_differences_within(most):
+    rng = random.Random(most)
+    for _ in range(300):
+        block, template = (rng.choices("abcd", k=rng.randint(1, n)) for n in (9, 4))
+        n = licenses.wording_differences(block, template)
+        assert licenses.differences_within(block, template, most) == (n if n <= most else None)
+
+
 @pytest.mark.parametrize("block,template,want", [("a b c", "b", 0), ("a x c", "a b c", 2), ("", "a b", 2), ("a b", "", 0)])
 def test_wording_differences(block, template, want):
     assert licenses.wording_differences(block.split(), template.split()) == want
