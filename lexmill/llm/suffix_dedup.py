@@ -89,20 +89,22 @@ def anchors(buf: np.ndarray, ends: np.ndarray):
 
 def text_anchors(texts: list[bytes]):
     """(text, hash, anchor, first window, windows) over a list of texts, positions within each text."""
-    out = []
+    # an empty text would share the block of a long one after it
+    full, out = np.array([k for k, t in enumerate(texts) if t], np.int64), []
+    texts = [t for t in texts if t]
     for i, j in blocks([len(t) for t in texts], 1 << 17):
         if j == i + 1 and len(texts[i]) > _PART:
             whole = np.frombuffer(texts[i], np.uint8)
             for a in range(0, len(whole) - LENGTH + 1, _PART):
                 part = whole[a : a + _PART + LENGTH - 1]
                 h, at, first, n = anchors(part, np.full(len(part), len(part)))
-                out.append((np.full(len(h), i), h, at + a, first + a, n))
+                out.append((np.full(len(h), full[i]), h, at + a, first + a, n))
             continue
         sizes = np.array([len(t) for t in texts[i:j]])
         edges = np.concatenate([[0], np.cumsum(sizes)])
         h, at, first, n = anchors(np.frombuffer(b"".join(texts[i:j]), np.uint8), np.repeat(edges[1:], sizes))
         text = np.searchsorted(edges, first, side="right") - 1
-        out.append((text + i, h, at - edges[text], first - edges[text], n))
+        out.append((full[text + i], h, at - edges[text], first - edges[text], n))
     return [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 5
 
 

@@ -85,6 +85,18 @@ def test_tries_and_pairs_agree(seed, monkeypatch):
     assert flags(suffix_dedup.repeated_windows(pieces, np.array(left), np.array(windows))) == want
 
 
+def test_empty_texts_before_a_very_long_one(spark):
+    rng = random.Random(14)
+    long = "".join(rng.choices("abcdefgh ", k=1_200_000))
+    long += long[1_100_000:1_100_400] + long[1_060_000:1_060_250]
+    for before in (["", None], ["".join(rng.choices("xyz ", k=200_000)), ""]):
+        rows = [*before, long, "so " + long[1_150_000:1_150_300], ""]
+        df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").coalesce(1)
+        got = as_repeats(suffix_dedup.removed_repeats(df))
+        assert got == brute_repeats(list(enumerate(rows)))
+        assert got[2][1] == 650 and got[3][1] == 300
+
+
 def test_blind_trie_orders():
     rng = random.Random(1)
     strings = [bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 12))) for _ in range(200)]
