@@ -34,12 +34,13 @@ def attachment_lines() -> Column:
 def render_subject(report: DataFrame) -> DataFrame:
     """(subject): one line for a whole report."""
     rows = report.select("doc_title", amended_articles().alias("articles"), F.size(attachment_lines()).alias("n"))
-    total = rows.agg(F.count("*").alias("docs"), F.sum("n").alias("n"), F.min_by(F.struct("doc_title", "articles"), "doc_title").alias("one"), F.slice(F.array_sort(F.collect_list("doc_title")), 1, 3).alias("names"))
+    total = rows.agg(F.count("*").alias("docs"), F.sum("n").alias("n"), F.min_by(F.struct("doc_title", "articles"), "doc_title").alias("one"))
+    names = report.select("doc_title").filter("doc_title is not null").orderBy("doc_title").limit(3).agg(F.array_sort(F.collect_list("doc_title")).alias("names"))
     tail = F.when(F.col("n") > 0, F.concat(F.lit(" · 별표 "), F.col("n").cast("string"), F.lit("건"))).otherwise("")
     first = F.array_join(F.slice("one.articles", 1, 2), ", ")
     single = F.concat("one.doc_title", F.lit(" "), F.when(first != "", first).otherwise("부칙"), F.when(F.size("one.articles") > 2, " 외").otherwise(""), F.lit(" 개정"), tail)
     many = F.concat(F.col("docs").cast("string"), F.lit("건 개정 — "), F.array_join(F.transform("names", lambda n: F.element_at(F.split(n, " "), 1)), ", "), tail)
-    return total.select(F.when(F.col("docs") == 0, "개정 없음").when(F.col("docs") == 1, single).otherwise(many).alias("subject"))
+    return total.crossJoin(names).select(F.when(F.col("docs") == 0, "개정 없음").when(F.col("docs") == 1, single).otherwise(many).alias("subject"))
 
 
 def render_markdown(report: DataFrame) -> DataFrame:

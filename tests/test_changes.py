@@ -42,6 +42,14 @@ def test_report(spark):
     assert ch.amendment_report(*snapshots(spark, {"a": (doc(1, body), doc(1, body))})).count() == 0
 
 
+def test_subject_takes_three_titles_without_collecting_all(spark):
+    schema = "doc_title string, changed array<string>, added array<string>, removed array<string>, titles map<string, string>, attachments array<struct<kind: string, no: string, branch: string, change: string, old_title: string, new_title: string>>"
+    report = spark.createDataFrame([(t, ["1"], [], [], {}, None) for t in ("d x", "b y", None, "c z", "a w", "e v")], schema)
+    subject = sinks.render_subject(report)
+    assert subject.first()[0] == "6건 개정 — a, b, c"
+    assert "TakeOrderedAndProject" in subject._jdf.queryExecution().executedPlan().toString()
+
+
 def test_diff_of_itself_is_empty_and_swaps(spark):
     a = spark.createDataFrame([(1, "##### 제1조\na\n##### 제10조\nb\n##### 제2조\nc\n##### 제2조\nagain")], "k long, body string")
     b = spark.createDataFrame([(1, "##### 제 2조\nagain\n#### 제3조 (t) tail\nd")], "k long, body string")
