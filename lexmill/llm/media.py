@@ -230,6 +230,30 @@ def pages(blob: bytes) -> Iterator[tuple[np.ndarray, int]]:
         yield read_page(blob, tags), tags.get(COMPRESSION, [STORED])[0]
 
 
+#: What damaged or unsupported files raise.
+ERRORS = (ValueError, KeyError, IndexError, struct.error, zlib.error)
+
+
+def page_rows(blob: bytes) -> Iterator[tuple[int, np.ndarray | None, int | None, str | None]]:
+    """(page, samples, compression scheme, error) of each page; a page that fails has its error alone,
+    page -1 says that the directories cannot be read any further."""
+    walk, n = directories(blob), 0
+    while True:
+        try:
+            tags = next(walk, None)
+        except ERRORS as e:
+            yield -1, None, None, str(e)[:200] or type(e).__name__
+            return
+        if tags is None:
+            return
+        try:
+            row = n, read_page(blob, tags), tags.get(COMPRESSION, [STORED])[0], None
+        except ERRORS as e:
+            row = n, None, None, str(e)[:200] or type(e).__name__
+        yield row
+        n += 1
+
+
 # --- writing ------------------------------------------------------------------------------------
 
 
@@ -288,13 +312,13 @@ def tiff_pages(df: DataFrame, key: str = "id", blob: str = "media") -> DataFrame
     def run(batches):
         for batch in batches:
             for one_key, data in zip(batch.column(0), batch.column(1)):
-                rows, data, n = [], data.as_py(), 0
-                try:
-                    for n, (page, scheme) in enumerate(pages(data) if data else ()):
+                rows, data = [], data.as_py()
+                for n, page, scheme, error in page_rows(data) if data else ():
+                    if page is None:
+                        rows.append((n, None, None, None, None, None, None, error))
+                    else:
                         h, w, spp = page.shape
                         rows.append((n, w, h, spp, page.dtype.itemsize * 8, scheme, page.tobytes(), None))
-                except (ValueError, KeyError, IndexError, struct.error, zlib.error) as e:
-                    rows = [(-1, None, None, None, None, None, None, str(e)[:200])]
                 if rows:
                     names = ["page", "width", "height", "samples_per_pixel", "bits", "compression", "samples", "error"]
                     types = [pa.int32()] * 6 + [pa.binary(), pa.string()]
@@ -332,7 +356,11 @@ def digests(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
             for data in batch.column(1):
                 data = data.as_py()
                 blob = stored(data)
-                found = [page for page, _ in pages(blob)]
+                found = []
+                for _, page, _, error in page_rows(blob):
+                    if page is None:
+                        raise ValueError(error)
+                    found.append(page)
                 payload = b"".join(p.tobytes() for p in found)
                 samples = np.frombuffer(payload, np.uint8)
                 feature = f"pages={len(found)};height={sum(p.shape[0] for p in found)};sum={int(samples.sum(dtype=np.int64))};edges={int(np.count_nonzero(np.diff(samples)))};distinct={int(np.count_nonzero(np.bincount(samples)))}"

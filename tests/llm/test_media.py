@@ -44,6 +44,21 @@ def test_pages_operator(spark):
     assert media.tiff_pages(df.limit(0)).count() == 0
 
 
+def test_a_failing_page_keeps_the_others(spark):
+    import numpy as np
+
+    planes = [np.full((4, 5), k, np.uint8) for k in range(10)]
+    blob = bytearray(media.write_tiff(planes))
+    tags = list(media.directories(bytes(blob)))
+    blob[tags[6][media.STRIP_OFFSETS][0]] ^= 0xFF  # the strip is no deflate stream any more
+    lost = bytes(blob[: tags[9][media.STRIP_OFFSETS][0]])  # the last page and its directory are cut off
+    df = spark.createDataFrame([(1, bytes(blob)), (2, lost)], "id long, media binary")
+    got = {(r.id, r.page): r for r in media.tiff_pages(df).collect()}
+    assert set(got) == {(1, k) for k in range(10)} | {(2, k) for k in (*range(9), -1)}
+    assert {k for k, r in got.items() if r.error} == {(1, 6), (2, 6), (2, -1)}
+    assert all(r.samples == bytes([r.page]) * 20 for r in got.values() if not r.error)
+
+
 def test_digests(spark):
     df = cases.frame(spark, [*cases.texts(), "y" * 3_000_000])
     for r, d in zip(sorted(media.digests(df).collect(), key=lambda r: r.doc_id), sorted(df.collect(), key=lambda r: r.doc_id)):
