@@ -158,9 +158,12 @@ def r13_excerpt(spark: SparkSession, d: str) -> DataFrame:
     return lx.excerpt(rows, ["doc_id"]).select("doc_id", F.array_join("lines", "\n").alias("lines"))
 
 
+def embedded(spark: SparkSession, d: str) -> DataFrame:
+    return emb.embed(table(spark, d, "documents").select("doc_id", "text"), "text", emb.hashing_embedder(32))
+
+
 def r4_embed(spark: SparkSession, d: str) -> DataFrame:
-    out = emb.embed(table(spark, d, "documents").select("doc_id", F.substring("text", 1, emb.CAP).alias("text")), "text", emb.hashing_embedder(32))
-    return out.select("doc_id", F.size("embedding").alias("dim"))
+    return embedded(spark, d).select("doc_id", F.size("embedding").alias("dim"))
 
 
 R4 = "SELECT doc_id, CAST(32 AS INTEGER) AS dim FROM documents"

@@ -162,3 +162,13 @@ def test_office_documents(spark):
     got = [r[0] for r in df.select(quality.parse_ooxml_sections("content")).collect()]
     assert got[0].body == '첫 줄\n\n<table>\n<tr>\n<td colspan="2">a\nb</td>\n</tr>\n</table>' and got[0].error is None
     assert got[1].body == "" and got[1].error and got[2].error
+
+
+def test_whole_texts_are_embedded(spark, sf):
+    from lexmill.plans import retrieval
+
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = {r.doc_id: r.embedding for r in retrieval.embedded(spark, sf).collect()}
+    assert got.keys() == texts.keys() and any(len(t) > embeddings.CAP for t in texts.values())
+    embed = embeddings.hashing_embedder(32)
+    assert all(np.allclose(got[k], embed([t])[0], atol=1e-6) for k, t in texts.items())
