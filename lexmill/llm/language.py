@@ -25,8 +25,8 @@ from lexmill.llm.tables import hash_fraction
 
 #: Hash buckets of the byte trigrams; languages at most; labelled texts expected per language.
 BUCKETS, MAX_LANGUAGES, SAMPLE_PER_LANGUAGE = 1 << 15, 256, 3000
-#: Rounds of expectation-maximisation; nats that one more language must gain per log of the length.
-ROUNDS, PENALTY = 12, 2.0
+#: Change of a share at which expectation-maximisation ends; nats that one more language must gain per log of the length.
+TOLERANCE, PENALTY = 1e-5, 2.0
 UNDETERMINED = "und"
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -64,9 +64,7 @@ class Model:
         order = np.argsort(-everything, kind="stable")
         chosen, penal = np.array([best]), PENALTY * np.log(n.sum() + 1)
         shares, gained = np.ones(1), alone[best] - top @ n
-        for m in range(2, min(k, 4) + 1):
-            if everything[order[m - 1]] < 0.02:
-                break
+        for m in range(2, k + 1):
             more, fit = _em(p[order[:m]], n, np.full(m, 1 / m))
             if fit - gained <= penal:
                 break
@@ -77,9 +75,11 @@ class Model:
 
 
 def _em(p: np.ndarray, n: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, float]:
-    for _ in range(ROUNDS):
+    change = 1.0
+    while change > TOLERANCE:
         of = share @ p
-        share = share * (p @ (n / of)) / n.sum()
+        last, share = share, share * (p @ (n / of)) / n.sum()
+        change = np.abs(share - last).max()
     return share, float(np.log(np.maximum(share @ p, 1e-300)) @ n)
 
 

@@ -246,3 +246,19 @@ def test_substituted_items_match_brute_force(spark):
     got = decontaminate.overlaps(cases.frame(spark, [" ".join(t) for t in rows]), bench).collect()
     assert {(r.doc_id, r.item_id) for r in got} == set(want)
     assert (120, 21) in want and (121, 6) in want
+
+
+def test_five_languages_and_a_small_share():
+    import numpy as np
+
+    rng = random.Random(21)
+    alphabets = ("abcde", "fghij", "klmno", "pqrst", "uvwxy", "zäöüß")
+    say = lambda k, n: " ".join("".join(rng.choices(alphabets[k], k=5)) for _ in range(n))
+    table = np.full((6, language.BUCKETS), 0.1)
+    for k in range(6):
+        table[k] += np.bincount(language.trigram_buckets(say(k, 4000).encode()), minlength=language.BUCKETS)
+    model = language.Model([f"l{k}" for k in range(6)], np.log(table / table.sum(axis=1, keepdims=True)))
+    shares, _ = model.proportions(" ".join(say(k, 200) for k in range(5)).encode())
+    assert np.allclose(shares[:5], 0.2, atol=0.02) and shares[5] == 0
+    shares, _ = model.proportions((say(0, 9850) + " " + say(1, 150)).encode())
+    assert 0.01 < shares[1] < 0.02 and (shares > 0).sum() == 2
