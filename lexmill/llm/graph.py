@@ -1,8 +1,9 @@
 """Connected components of an edge table, by alternating large-star and small-star steps.
 
-Each step is a minimum by node (summed before the shuffle) and a join on the node, in which Spark
-splits a node with very many edges; no neighbour list is ever collected. Every second step is
-written to the shared folder, so that the plan stays short and a lost executor repeats one step.
+Each step is a minimum by node (summed before the shuffle) and a join on the node. A node with very
+many edges takes its minimum by broadcast (tables.hub_join), so no task holds its edges; no
+neighbour list is ever collected. Every second step is written to the shared folder, so that the
+plan stays short and a lost executor repeats one step.
 """
 
 from __future__ import annotations
@@ -10,14 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.tables import drop_kept, keep
+from lexmill.llm.tables import drop_kept, hub_join, keep
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool, total: int) -> DataFrame:
     """Large: each node hangs its larger neighbours on its least one. Small: the others, and itself."""
     both = edges.select("a", "b").union(edges.select("b", "a")) if large else edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    hung = both.join(least, "a")
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("degree"))
+    hung = hub_join(both, least, "a", "degree", 2 * total)
     if large:
         out = hung.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
@@ -25,18 +26,22 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter("a != b").distinct()
 
 
+def settled(edges: DataFrame) -> bool:
+    """Whether each node hangs on one other that hangs on none."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).union(edges.select("b", F.lit(0), F.lit(1)))
+    by_node = ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+    return by_node.filter("hangs > 1 or (hangs = 1 and holds = 1)").isEmpty()
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", most: int = 60) -> DataFrame:
     """(node, component): the least node that each node of an edge reaches."""
-    now = keep(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a != b").distinct())
-    known = None
+    now = keep(edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter("a != b").distinct())
     for _ in range(most):
-        then = keep(_star(_star(now, True), False))
-        mark = then.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003)).first()
+        if settled(now):
+            break
+        then = keep(_star(_star(now, True, total := now.count()), False, total))
         drop_kept(then.sparkSession, now)
         now = then
-        if mark == known:
-            break
-        known = mark
     else:
         raise RuntimeError("components did not settle")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select("b", "b").distinct())

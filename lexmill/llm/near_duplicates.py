@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from lexmill.llm.graph import components
 from lexmill.llm.hashing import BASE, blocks, mix, shingle_hashes, span_hashes, word_spans
-from lexmill.llm.tables import as_bytes, drop_kept, keep, release
+from lexmill.llm.tables import as_bytes, drop_kept, fresh, hub_join, keep, listed, release
 
 WORDS, PERCENT = 5, 80
 #: A shingle in so many prefixes is frequent; the list that orders has so many of them at most.
@@ -72,42 +72,46 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def features(rows: DataFrame, words: int, percent: int, frequent: tuple[np.ndarray, np.ndarray] | None) -> DataFrame:
-    """(key, n, node, prefix, counts) of each (key, text)."""
+    """(key, mark, n, node, gid, prefix, counts) of each (key, text, mark): node stands for the set, gid for its size and prefix."""
     shared = rows.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches):
-        listed, level = shared.value or (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        known, level = shared.value or (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         for batch in batches:
-            n, node, prefix, counts = [], [], [], []
+            n, node, gid, prefix, counts = [], [], [], [], []
             with np.errstate(over="ignore"):
                 for s in shingle_sets(batch.column(1).to_pylist(), words):
                     size = len(s)
                     n.append(size)
                     node.append(xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63))
                     length = size - -(-percent * size // 100) + 1 if size else 0
-                    if len(listed) and size:
-                        at = np.searchsorted(listed, s)
-                        at[at == len(listed)] = 0
-                        late = np.where(listed[at] == s, level[at], 0)
+                    if len(known) and size:
+                        at = np.searchsorted(known, s)
+                        at[at == len(known)] = 0
+                        late = np.where(known[at] == s, level[at], 0)
                         if late.any():
                             s = s[np.argsort(late, kind="stable")]
                     prefix.append(_signed(s[:length]))
+                    gid.append(xxhash.xxh64_intdigest(s[:length].tobytes(), size) - (1 << 63))
                     ranges = RANGES
                     while ranges < MOST_RANGES and IN_RANGE * ranges < size:
                         ranges *= 2
                     counts.append(np.minimum(np.bincount((s >> np.uint64(65 - ranges.bit_length())).astype(np.int64), minlength=ranges), 255).astype(np.uint8).tobytes())
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefix])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(prefix) if prefix else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), lists, pa.array(counts, pa.binary())], names=["key", "n", "node", "prefix", "counts"])
+            numbers = [pa.array(c, pa.int64()) for c in (n, node, gid)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *numbers, lists, pa.array(counts, pa.binary())], names=["key", "mark", "n", "node", "gid", "prefix", "counts"])
         release()
 
-    return rows.mapInArrow(run, f"key {dict(rows.dtypes)['key']}, n long, node long, prefix array<long>, counts binary")
+    return rows.mapInArrow(run, f"key {dict(rows.dtypes)['key']}, mark long, n long, node long, gid long, prefix array<long>, counts binary")
 
 
 def frequent_shingles(rows: DataFrame, words: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """The shingles in the most prefixes (in the order of hashes), over all documents, and their place in the order."""
     seen = features(rows, words, percent, None).select(F.explode("prefix").alias("shingle"))
-    top = seen.groupBy("shingle").agg(F.count("*").alias("df")).filter(F.col("df") >= FREQUENT).orderBy(F.desc("df"), "shingle").limit(FREQUENT_LISTED).toPandas()
+    often = keep(seen.groupBy("shingle").agg(F.count("*").alias("df")).filter(F.col("df") >= FREQUENT))
+    top = often.orderBy(F.desc("df"), "shingle").limit(FREQUENT_LISTED).toPandas()
+    drop_kept(rows.sparkSession, often)
     token, df = top["shingle"].to_numpy(np.int64).view(np.uint64), top["df"].to_numpy(np.int64)
     order = np.argsort(token)
     return token[order], 1 + np.log2(np.maximum(df[order], 1)).astype(np.int64)
@@ -248,7 +252,8 @@ def verified_edges(rows: DataFrame, members: DataFrame, words: int, percent: int
     # kept, so that the join below has plain exchanges on both sides and Spark can split a large cluster
     size = keep(members.groupBy("cluster").agg(F.count("*").alias("size"), F.sum("n").alias("total")).filter("size > 1"))
     wanted = members.join(size, "cluster")
-    texts = rows.join(wanted.select("key", "node", "cluster", "size", "total"), "key")
+    wanted = keep(wanted.select("key", "node", "cluster", "size", "total"))
+    texts = rows.join(listed(wanted), "key")
 
     def sets(batches):
         for batch in batches:
@@ -299,25 +304,59 @@ def verified_edges(rows: DataFrame, members: DataFrame, words: int, percent: int
 # --- operator -----------------------------------------------------------------------------------
 
 
-def jaccard_components(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(key, n_shingles, component_id) of each row."""
+def labelled(df: DataFrame, key: str, text: str, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(key, mark, n) of the rows that link with nothing, and (key, mark, n, label, component_id) of the others.
+
+    mark is a hash of the text; label is the component's own number, as different components may
+    have the same least key where keys repeat.
+    """
     spark = df.sparkSession
-    every = df.select(F.col(key).alias("key"), as_bytes(text).alias("text"))
+    every = df.select(F.col(key).alias("key"), as_bytes(text).alias("text"), F.xxhash64(as_bytes(text)).alias("mark"))
     rows = every.filter("key is not null")
-    base = keep(features(every, words, percent, frequent_shingles(rows, words, percent)))
-    nodes = base.filter("key is not null and n > 0").groupBy("node", "n").agg(F.min("key").alias("key"), F.first("prefix").alias("prefix"), F.first("counts").alias("counts"))
-    nodes = keep(nodes.withColumn("prefix_hash", F.xxhash64("prefix")))
-    grouped = nodes.groupBy("n", "prefix_hash").agg(F.min("node").alias("gid"), F.count("*").alias("members"), F.first("prefix").alias("prefix"), F.first("counts").alias("counts"))
+    wide = keep(features(every, words, percent, frequent_shingles(rows, words, percent)))
+    base = keep(wide.select("key", "mark", "n", "node", "gid"))
+    # sets with one prefix and size are one group, with counts that exclude nothing if its sets differ
+    grouped = wide.filter("key is not null and n > 0").groupBy("gid").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("counts").alias("counts"), (F.min("node") != F.max("node")).alias("several"))
     anything = F.lit(bytes([255]) * RANGES)
-    groups = keep(grouped.withColumn("counts", F.when(F.col("members") > 1, anything).otherwise(F.col("counts"))))
+    groups = keep(grouped.withColumn("counts", F.when(F.col("several"), anything).otherwise(F.col("counts"))))
+    drop_kept(spark, wide)
     clusters = components(candidate_edges(groups, percent))
-    member_of = nodes.select("node", "n", "key", "prefix_hash").join(groups.select("gid", "n", "prefix_hash"), ["n", "prefix_hash"])
-    members = member_of.join(clusters.withColumnRenamed("node", "gid"), "gid", "left").select("key", "node", "n", F.coalesce("component", "gid").alias("cluster"))
-    linked = components(verified_edges(rows, keep(members), words, percent))
     drop_kept(spark, groups)
-    component = nodes.select("node", "key").join(linked, "node").groupBy("component").agg(F.min("key").alias("component_id"))
-    by_node = linked.join(component, "component").select("node", "component_id")
-    alone = nodes.select("node", F.col("key").alias("own"))
-    named = alone.join(by_node, "node", "left").select("node", F.coalesce("component_id", "own").alias("component_id"))
-    out = base.select("key", "n", F.when(F.col("key").isNotNull() & (F.col("n") > 0), F.col("node")).alias("node")).join(named, "node", "left")
-    return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key")).alias("component_id"))
+    linking = base.filter("key is not null and n > 0")
+    nodes = keep(linking.groupBy("node", "n", "gid").agg(F.min("key").alias("key"), F.count("*").alias("copies")))
+    members = nodes.join(clusters.withColumnRenamed("node", "gid"), "gid", "left").select("key", "node", "n", F.coalesce("component", "gid").alias("cluster"))
+    linked = components(verified_edges(rows, keep(members), words, percent))
+    joined = keep(nodes.join(linked, "node", "left").select("node", "copies", "key", F.coalesce("component", "node").alias("label")))
+    heads = joined.groupBy("label").agg(F.min("key").alias("component_id"), F.count("*").alias("sets"))
+    named = keep(hub_join(joined.select("node", "copies", "label"), heads, "label", "sets", joined.count()))
+    found = hub_join(linking, named, "node", "copies", base.count())
+    return base.filter("key is null or n = 0").select("key", "mark", "n"), found.select("key", "mark", "n", "label", "component_id")
+
+
+def jaccard_components(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(key, n_shingles, component_id) of each row."""
+    alone, found = labelled(df, key, text, words, percent)
+    names = [F.col("key").alias(key), F.col("n").alias("n_shingles")]
+    return alone.select(*names, F.col("key").alias("component_id")).unionByName(found.select(*names, "component_id"))
+
+
+def first_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """df with one row of each component: the least key's, and of its texts the one with the least hash.
+
+    Rows without a key or without words all stay; of rows that repeat key and text one stays. Texts
+    are not shuffled while the rows that go, or that repeat, are a list short enough to broadcast.
+    """
+    _, found = labelled(df, key, text, words, percent)
+    pairs = keep(found.groupBy("label", "key", "mark").agg(F.count("*").alias("rows")))
+    best = pairs.groupBy("label").agg(F.min(F.struct("key", "mark")).alias("best"), F.count("*").alias("pairs"))
+    told = hub_join(pairs, best, "label", "pairs", pairs.count())
+    stays = (F.col("key") == F.col("best.key")) & (F.col("mark") == F.col("best.mark"))
+    odd = keep(told.filter(~stays | (F.col("rows") > 1)).select("key", "mark", stays.alias("stays")))
+    mark, odd_key, odd_mark, stays = (fresh(df, c) for c in ("mark", "odd_key", "odd_mark", "stays"))
+    marked = df.withColumn(mark, F.xxhash64(as_bytes(text)))
+    side = listed(odd.select(F.col("key").alias(odd_key), F.col("mark").alias(odd_mark), F.col("stays").alias(stays)))
+    joined = marked.join(side, (F.col(key) == F.col(odd_key)) & (F.col(mark) == F.col(odd_mark)), "left")
+    kept = joined.filter(F.col(stays).isNull()).select(df.columns)
+    if odd.filter("stays").isEmpty():
+        return kept
+    return kept.unionByName(joined.filter(F.col(stays)).dropDuplicates([key, mark]).select(df.columns))

@@ -72,6 +72,35 @@ def drop_kept(spark: SparkSession, *frames: DataFrame) -> None:
                 path.getFileSystem(conf).delete(path, True)
 
 
+#: Rows of a narrow list that goes to every executor at most, and keys that count as hot at most.
+LISTED, HUBS, LEAST_HUB = 1_000_000, 4096, 256
+
+
+def listed(narrow: DataFrame) -> DataFrame:
+    """A narrow kept table as a join side: broadcast if it has LISTED rows at most, else shuffled."""
+    return F.broadcast(narrow) if narrow.limit(LISTED + 1).count() <= LISTED else narrow
+
+
+def hub_join(rows: DataFrame, facts: DataFrame, on: str, weight: str, total: int) -> DataFrame:
+    """rows joined with facts, which have one row for each `on` and in `weight` the number of its rows.
+
+    A key with more than a HUBS-th of the total rows would fill one task, so it comes by broadcast;
+    there are fewer than HUBS such keys. All others are shuffled.
+    """
+    level = max(LEAST_HUB, total // HUBS)
+    hubs = F.broadcast(facts.filter(F.col(weight) > level))
+    rest = rows.join(F.broadcast(hubs.select(on)), on, "left_anti").join(facts.filter(F.col(weight) <= level), on)
+    return rows.join(hubs, on).unionByName(rest)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def release() -> None:
     """At the end of a task: gives Arrow's free memory back, as Python workers live on."""
     import pyarrow as pa

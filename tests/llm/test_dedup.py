@@ -201,6 +201,29 @@ def test_null_keys_link_with_nothing(spark):
     assert got == [(-1, None), (2, 2), (2, 2), (3, 2)]
 
 
+def test_one_row_of_each_component_stays(spark):
+    a, b, c = ("a b c d e f g", "p q r s t u v", "k l m n o")
+    rows = [(None, a, 0), (1, a, 1), (1, a, 1), (2, a, 2), (1, b, 3), (3, b, 4), (3, c, 5), (5, "", 6), (5, "", 7), (6, None, 8), (None, b, 9), (7, c, 10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, mark int").withColumn("stays", F.lit(1)).withColumn("label", F.lit("x"))
+    out = near_duplicates.first_of_each(df)
+    assert out.columns == df.columns
+    assert sorted(r.mark for r in out.collect()) == [0, 1, 3, 5, 6, 7, 8, 9]
+    assert near_duplicates.first_of_each(df.limit(0)).count() == 0
+
+
+def test_long_lists_and_hubs_are_shuffled_or_broadcast_alike(spark, monkeypatch):
+    from lexmill.llm import tables
+
+    df = cases.frame(spark)
+    want = sorted(r.doc_id for r in near_duplicates.first_of_each(df).collect())
+    monkeypatch.setattr(tables, "LISTED", 3)
+    monkeypatch.setattr(tables, "LEAST_HUB", 1)
+    monkeypatch.setattr(tables, "HUBS", 8)
+    assert sorted(r.doc_id for r in near_duplicates.first_of_each(df).collect()) == want
+    star = spark.createDataFrame([(0, k) for k in range(1, 300)] + [(k, k + 1) for k in range(300, 310)] + [(299, 305)], "a long, b long")
+    assert {r.component for r in graph.components(star).collect()} == {0}
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(0, 40)] + [(100, 101)], "a long, b long")
     got = {r.node: r.component for r in graph.components(edges).collect()}
