@@ -9,28 +9,36 @@ substitutions are tolerated.
 A stretch of 26 words or more within the limits has a shorter one within them (one of its halves),
 so stretches up to NEAR words around a hit decide whether a diagonal has any.
 
-The benchmark side travels in blocks of at most BLOCK_WORDS words (a checked size), one pass over
-the texts for each block, so any size of benchmark works and no broadcast grows with the data.
-Texts are never shuffled; only verified overlaps, a row for each text and item, are.
+The benchmark side travels in blocks of at most BLOCK_BYTES bytes (measured; an item longer than that
+is a block of its own), one pass over the texts for each block, so any size of benchmark works and no
+broadcast grows with the data. Texts are never shuffled; only verified overlaps, a row for each text
+and item, are; `clean` drops texts without any shuffle or join.
+
+Words are runs of letters and digits, lower-cased; in scripts that are written without blanks
+(Chinese, Japanese, Thai, Lao, Burmese, Khmer) each character is a word.
 
 Defined results: null and empty texts or items match nothing; items of fewer than SPAN words must
 occur whole and unaltered, items without words never match; of a diagonal's stretches within the
 limits the one of the best score is reported, or if the best-scored one is beyond them, the one with
 the most equal words (then the fewest words, then the first); repeated rows give repeated rows'
-overlaps once per key; empty tables give no rows. Only keys and texts are read, so other columns
-cannot clash.
+overlaps once per key; a null key or item is one like any other; empty tables give no rows. `overlaps`
+reads only keys and texts, and `clean` judges each row by its own text and hands its other columns on,
+so other columns cannot clash and repeated or null keys play no part.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm.hashing import BASE, blocks, mix, span_hashes, word_spans
+from lexmill.llm.tables import drop_kept, keep
 
 #: Words that a mask looks at (1) or ignores (0): every stretch of 10 to 25 words with at most a fifth
 #: substituted, wherever they are, has one of these (a test enumerates them).
@@ -44,18 +52,30 @@ MIN_WORDS, MIN_SIMILARITY, SUBSTITUTED = 13, 0.8, 2
 #: at around a hit, and hits looked at together.
 OTHER = round(MIN_SIMILARITY / (1 - MIN_SIMILARITY))
 NEAR, HITS = 2 * MIN_WORDS - 1, 1 << 14
-#: Benchmark words of a pass at most.
-BLOCK_WORDS = 1_000_000
+#: Benchmark bytes of a pass at most.
+BLOCK_BYTES = 8_000_000
 _BITS = 22
 
+#: Characters of scripts without blanks, and the marks between their words.
+_ALONE = re.compile("[\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+_WIDE_MARKS = re.compile("[\u2010-\u205e\u3000-\u303f\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]+")
+
 #: Bytes between words: ASCII that is neither a letter nor a digit.
 _MARKS = np.ones(256, bool)
 _MARKS[48:58] = _MARKS[65:91] = _MARKS[97:123] = _MARKS[128:] = False
 
 
+def spaced(text: str) -> str:
+    """Blanks around each character of a script that is written without them, and for wide marks."""
+    if text.isascii():
+        return text
+    text = _WIDE_MARKS.sub(" ", text)
+    return _ALONE.sub(r" \g<0> ", text) if _ALONE.search(text) else text
+
+
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of the lower-cased words of all texts, and where each text's words begin."""
-    data = [t.lower().encode("utf-8", "surrogatepass") for t in texts]
+    data = [spaced(t).lower().encode("utf-8", "surrogatepass") for t in texts]
     buf = np.frombuffer(b"\n".join(data) + b"\n", np.uint8)
     starts, ends = word_spans(buf, _MARKS)
     edges = np.concatenate([[0], np.cumsum([len(d) + 1 for d in data])])
@@ -170,41 +190,82 @@ def valid_stretch(equal: np.ndarray, least: int) -> tuple[int, int] | None:
     return int(begins[k]), int(ends[k])
 
 
+def _passes(benchmark: DataFrame, item: str, item_text: str) -> Iterator[tuple[pa.Array, list[str]]]:
+    """The benchmark's different rows in blocks of BLOCK_BYTES at most, or of one row: (items, texts)."""
+    rows = benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("text")).filter("text is not null").distinct()
+    part = lambda n: F.pmod(F.xxhash64("item", "text"), F.lit(n))
+    n = 1
+    while True:
+        sizes = rows.groupBy(part(n).alias("part")).agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("rows"))
+        most = sizes.filter("rows > 1").agg(F.max("bytes")).first()[0] or 0
+        if most <= BLOCK_BYTES:
+            break
+        n = max(n + 1, int(n * most / BLOCK_BYTES * 1.2))
+    for k in range(n):
+        found = rows.filter(part(n) == k).orderBy("item", "text").toArrow()
+        if found.num_rows:
+            yield found["item"].combine_chunks(), found["text"].to_pylist()
+
+
+def _found(index: Index, texts: list) -> Iterator[tuple]:
+    """(text's number, item's number, ...) of each verified diagonal."""
+    texts = [t or "" for t in texts]
+    for i, j in blocks([len(t) for t in texts], 1 << 18):
+        for t, *rest in index.overlaps(*word_hashes(texts[i:j])):
+            yield i + t, *rest
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """(key, item, word_start, item_start, n_words, n_equal, similarity): the best overlap of each text and item."""
     spark = docs.sparkSession
     key_type, item_type = dict(docs.dtypes)[key], dict(benchmark.dtypes)[item]
     schema = f"key {key_type}, item {item_type}, word_start long, item_start long, n_words long, n_equal long"
     names = ["key", "item", "word_start", "item_start", "n_words", "n_equal"]
-    queries = benchmark.select(F.col(item).alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("text"))
-    sized = queries.withColumn("size", F.size(F.split("text", r"\s+")))
-    total = sized.agg(F.sum("size")).first()[0] or 0
-    passes = max(1, -(-total // (BLOCK_WORDS // 2)))
-    longest = sized.agg(F.max("size")).first()[0] or 0
-    if longest > BLOCK_WORDS:
-        raise ValueError("a benchmark item is longer than a block")
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-
-    def block(k: int) -> DataFrame:
-        some = queries.filter(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == k).orderBy("item", "text").collect()
-        shared = spark.sparkContext.broadcast(([r["item"] for r in some], [r["text"] for r in some]))
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+
+    def block(items: pa.Array, texts: list[str]) -> DataFrame:
+        shared = spark.sparkContext.broadcast((items, texts))
 
         def run(batches):
-            index = Index(*shared.value)
+            items, texts = shared.value
+            index = Index(range(len(texts)), texts)
             for batch in batches:
-                texts = batch.column(1).to_pylist()
-                keys = batch.column(0).to_pylist()
-                out = []
-                for i, j in blocks([len(t) for t in texts], 1 << 18):
-                    out += [(keys[i + t], index.ids[n], *rest) for t, n, *rest in index.overlaps(*word_hashes(texts[i:j]))]
-                if out:
-                    kinds = [batch.schema.field(0).type, pa.from_numpy_dtype(np.int64) if item_type in ("bigint",) else None, *[pa.int64()] * 4]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out), kinds)], names=names)
+                if out := list(_found(index, batch.column(1).to_pylist())):
+                    at, n, *rest = (pa.array(c, pa.int64()) for c in zip(*out))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(at), items.take(n), *rest], names=names)
 
         return rows.mapInArrow(run, schema)
 
-    found = reduce(DataFrame.unionAll, (block(k) for k in range(passes)))
+    found = reduce(DataFrame.unionAll, (block(*b) for b in _passes(benchmark, item, item_text)), spark.createDataFrame([], schema))
     best = F.max_by(F.struct("word_start", "item_start", "n_words", "n_equal"), F.struct(F.col("n_equal"), -F.col("word_start"), -F.col("item_start"))).alias("best")
     return found.groupBy("key", "item").agg(best).select(
         F.col("key").alias(key), F.col("item").alias(item if item != key else "benchmark_item"), "best.*", F.round(F.col("best.n_equal") / F.col("best.n_words"), 6).alias("similarity")
     )
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of docs whose texts overlap with no item, with all their columns."""
+    at = docs.columns.index(text)
+
+    def without(rows: DataFrame, items: pa.Array, texts: list[str]) -> DataFrame:
+        shared = rows.sparkSession.sparkContext.broadcast(texts)
+
+        def run(batches):
+            index = Index(range(len(shared.value)), shared.value)
+            for batch in batches:
+                stays = np.ones(batch.num_rows, bool)
+                stays[list({t for t, *_ in _found(index, batch.column(at).to_pylist())})] = False
+                yield batch.filter(pa.array(stays))
+
+        return rows.mapInArrow(run, rows.schema)
+
+    # a task holds one block's index, so what one pass leaves is written before the next
+    rows, written = docs, None
+    for k, block in enumerate(_passes(benchmark, item, item_text)):
+        if k:
+            before, written = written, keep(rows)
+            rows = written
+            if before is not None:
+                drop_kept(docs.sparkSession, before)
+        rows = without(rows, *block)
+    return rows
