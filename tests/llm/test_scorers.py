@@ -125,6 +125,68 @@ def test_wording_differences(block, template, want):
     assert licenses.wording_differences(block.split(), template.split()) == want
 
 
+def brute_differences(block, template):
+    best = list(range(len(template) + 1))
+    found = best[-1]
+    for w in block:
+        row = [0]
+        for k, t in enumerate(template, 1):
+            row.append(best[k - 1] if w == t else 1 + min(row[k - 1], best[k]))
+        best = row
+        found = min(found, best[-1])
+    return found
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_differences_match_brute_force(seed):
+    rng = random.Random(seed)
+    for _ in range(200):
+        block, template = (rng.choices("abcde", k=rng.randint(0, n)) for n in (14, 8))
+        assert licenses.wording_differences(block, template) == brute_differences(block, template)
+
+
+def altered(rng, wording, n):
+    """The words with n of them removed, doubled by another or put in."""
+    out = licenses.words(wording)
+    for _ in range(n):
+        at = rng.randrange(len(out))
+        out[at : at + 1] = rng.choice(([], [out[at], "other"], ["other", out[at]]))
+    return out
+
+
+def test_texts_with_differences_match_brute_force(spark):
+    rng = random.Random(31)
+    texts = licenses.TEXTS
+    rows, want = [], set()
+    for k, name in enumerate(sorted(texts)):
+        for n in (0, 3, 12, 40):
+            body = altered(rng, texts[name], n)
+            lines = [" ".join(body[i : i + 9]) for i in range(0, len(body), 9)]
+            rows.append("\n".join([cases.words(rng, 20), "A license:", *lines, cases.words(rng, 20)]))
+            block = licenses.words(rows[-1])
+            near = {other: brute_differences(block, licenses.words(t)) for other, t in texts.items()}
+            fits = {o: d for o, d in near.items() if d <= len(licenses.words(texts[o])) // 10}
+            if fits:
+                best = min(fits, key=lambda o: (fits[o] - len(licenses.words(texts[o])), fits[o]))
+                want.add((len(rows) - 1, best, fits[best]))
+    found = licenses.license_blocks(cases.frame(spark, rows), templates=((texts, 0.1),)).collect()
+    got = {(r.doc_id, r.license_id, r.n_differences) for r in found}
+    assert want <= got and len({r.doc_id for r in found} - {d for d, _, _ in want}) == 0
+    assert all(r.line >= 1 and r.last_line > r.line for r in found if r.license_id in ("MIT", "BSD-3-Clause", "Apache-2.0"))
+    assert any(d for _, _, d in want)
+
+
+def test_notices_over_line_ends_and_beside_each_other(spark):
+    rows = [
+        "All rights reserved. This work is licensed under the GNU General Public terms of use.",
+        "Released under\nthe MIT License.", "x " * 300_000 + "Licensed under\nCC BY 4.0. " + "y " * 300_000 + "All rights reserved.",
+        "MIT\n\n" + licenses.TEXTS["MIT"] + "\n\n" + licenses.TEXTS["MIT"].upper() + "\nReleased under the ISC License.",
+    ]
+    got = sorted((r.doc_id, r.line, r.last_line, r.license_id, r.n_differences) for r in licenses.license_blocks(cases.frame(spark, rows)).collect())
+    n = licenses.TEXTS["MIT"].count("\n")
+    assert got == [(0, 0, 0, "All-Rights-Reserved", 0), (1, 0, 1, "MIT", 0), (2, 0, 1, "CC-BY-4.0", 0), (2, 1, 1, "All-Rights-Reserved", 0), (3, 2, 2 + n, "MIT", 0), (3, 4 + n, 4 + 2 * n, "MIT", 0), (3, 5 + 2 * n, 5 + 2 * n, "ISC", 0)]
+
+
 # --- URL filters ------------------------------------------------------------------------------------
 
 
@@ -163,8 +225,45 @@ def test_overlaps_tolerate_substitutions(spark):
 def test_passes_agree(spark, monkeypatch, sf):
     docs, bench = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "benchmark"))
     one = sorted(map(tuple, decontaminate.overlaps(docs, bench).collect()))
-    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 400)
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 2500)
+    assert 1 < len(list(decontaminate._passes(bench, "item_id", "text"))) < 12
     assert one == sorted(map(tuple, decontaminate.overlaps(docs, bench).collect()))
+    dropped = {r.doc_id for r in docs.collect()} - {r.doc_id for r in decontaminate.clean(docs, bench).collect()}
+    assert dropped == {r[0] for r in one}
+
+
+def test_items_of_any_type_and_scripts_without_blanks(spark):
+    rng = random.Random(8)
+    chinese = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(40))
+    items = [(7, chinese), (8, cases.words(rng, 20)), (8, cases.words(rng, 20))]
+    rows = ["他说：" + chinese[5:30] + "。", items[1][1] + " and", chinese[:9] + "。" + chinese[20:29], "other"]
+    for kind in ("int", "string", "smallint"):
+        bench = spark.createDataFrame(items, "item_id int, text string").withColumn("item_id", F.col("item_id").cast(kind))
+        out = decontaminate.overlaps(cases.frame(spark, rows), bench)
+        assert dict(out.dtypes)["item_id"] == kind
+        assert {(r.doc_id, int(r.item_id)) for r in out.collect()} == {(0, 7), (1, 8)}
+
+
+def test_clean_judges_each_row_by_its_own_text(spark):
+    rng = random.Random(9)
+    item, other = cases.words(rng, 30), cases.words(rng, 60)
+    rows = [(None, item, "a"), (1, item, "b"), (1, other, "c"), (1, other, "c"), (None, None, "d"), (2, "", "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, item string")
+    bench = spark.createDataFrame([(0, item), (None, item), (3, None), (4, " ")], "item_id long, text string")
+    out = decontaminate.clean(docs, bench)
+    assert out.columns == docs.columns and sorted(r.item for r in out.collect()) == ["c", "c", "d", "e"]
+    assert decontaminate.clean(docs, bench.limit(0)).count() == 6 and decontaminate.clean(docs.limit(0), bench).count() == 0
+    assert len(decontaminate.overlaps(docs, bench).collect()) == 4
+
+
+def test_very_long_texts_and_items(spark, monkeypatch):
+    rng = random.Random(10)
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 1000)
+    item = cases.words(rng, 3000)  # longer than a block
+    long = cases.words(rng, 250_000)
+    bench = spark.createDataFrame([(0, item), (1, cases.words(rng, 15))], "item_id long, text string")
+    got = decontaminate.overlaps(cases.frame(spark, [long + " " + item + " " + long[:500], long]), bench).collect()
+    assert [(r.doc_id, r.item_id, r.word_start, r.n_equal) for r in got] == [(0, 0, 250_000, 3000)]
 
 
 def test_overlaps_match_brute_force(spark, sf):
