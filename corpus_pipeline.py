@@ -27,12 +27,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each group that similarity of 0.8 over five-word shingles
-    links; documents without an id stay."""
+    """Keeps one row, the one with the least id, of each group that similarity of 0.8 over five-word
+    shingles links; documents without an id or without words stay, and of rows that repeat both id and
+    text one stays. Rows that share an id but not their text are documents of their own."""
     small_batches(spark)
-    groups = near_duplicates.jaccard_components(docs, words=near_duplicates.WORDS, percent=near_duplicates.PERCENT)
-    others = groups.filter("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti")
+    return near_duplicates.first_of_each(docs, words=near_duplicates.WORDS, percent=near_duplicates.PERCENT)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,11 +42,9 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that overlap with a benchmark item."""
+    """Drops documents that overlap with a benchmark item; each row is judged by its own text, whatever its id."""
     small_batches(spark)
-    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.overlaps(docs, benchmark).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti")
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
