@@ -55,25 +55,30 @@ def article_changes(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame
 
 def diff_articles(old: DataFrame, new: DataFrame, key: list[str], body: str = "body") -> DataFrame:
     """A row for each document of both snapshots: sorted changed, added and removed articles,
-    addenda_changed, n_old and n_new."""
+    addenda_changed, n_old and n_new, and a map of the titles of these articles (null without any)."""
     a, b = article_table(old, key, body), article_table(new, key, body)
-    lists = article_changes(a, b, key).groupBy(*key).agg(*(sorted_articles(F.collect_list(F.when(F.col("change") == c, F.col("article")))).alias(c) for c in ("changed", "added", "removed")))
+    listed = [sorted_articles(F.collect_list(F.when(F.col("change") == c, F.col("article")))).alias(c) for c in ("changed", "added", "removed")]
+    named = F.map_from_entries(F.array_sort(F.collect_list(F.struct("article", "title")))).alias("titles")
+    lists = article_changes(a, b, key).groupBy(*key).agg(*listed, named)
     facts = old.select(*key, addenda_of(body).alias("_a")).join(new.select(*key, addenda_of(body).alias("_b")), key)
     counts = a.groupBy(*key).agg(F.count("*").alias("n_old")), b.groupBy(*key).agg(F.count("*").alias("n_new"))
     out = facts.join(lists, key, "left").join(counts[0], key, "left").join(counts[1], key, "left")
     none = F.array().cast("array<string>")
-    return out.select(*key, *(F.coalesce(c, none).alias(c) for c in ("changed", "added", "removed")), (F.col("_a") != F.col("_b")).alias("addenda_changed"), F.coalesce("n_old", F.lit(0)).alias("n_old"), F.coalesce("n_new", F.lit(0)).alias("n_new"))
+    return out.select(*key, *(F.coalesce(c, none).alias(c) for c in ("changed", "added", "removed")), (F.col("_a") != F.col("_b")).alias("addenda_changed"), F.coalesce("n_old", F.lit(0)).alias("n_old"), F.coalesce("n_new", F.lit(0)).alias("n_new"), "titles")
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def line_diff(old: pd.Series, new: pd.Series) -> pd.Series:
     """Removed (-) and added (+) lines without context, in the order of a unified diff."""
 
-    def one(a, b):
-        lines = list(difflib.unified_diff((a or "").splitlines(), (b or "").splitlines(), lineterm="", n=0))
-        return [x for x in lines if not x.startswith(("---", "+++", "@@"))]
+    def one(a: list[str], b: list[str]) -> list[str]:
+        out: list[str] = []
+        for _, i, j, k, m in difflib.SequenceMatcher(None, a, b).get_opcodes():
+            if a[i:j] != b[k:m]:
+                out += [f"-{x}" for x in a[i:j]] + [f"+{x}" for x in b[k:m]]
+        return out
 
-    return pd.Series([one(a, b) for a, b in zip(old, new)], dtype=object)
+    return pd.Series([one((a or "").splitlines(), (b or "").splitlines()) for a, b in zip(old, new)], dtype=object)
 
 
 def changed_documents(old: DataFrame, new: DataFrame, key: list[str], version: str = "version_key") -> DataFrame:
@@ -118,15 +123,13 @@ def amendment_report(old: DataFrame, new: DataFrame, key: tuple[str, ...] = ("ki
     empty = now.select(*key, F.lit("").alias("body")).join(then.select(*key), key, "left_anti")
     before = then.select(*key, "body").unionByName(empty)
     articles = diff_articles(before, now.select(*key, "body"), key)
-    titles = article_changes(article_table(before, key), article_table(now, key), key)
-    named = titles.groupBy(*key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("article", "title")))).alias("titles"))
     own = {c: f"_doc_{c}" for c in key}  # an attachment has a kind of its own
     items = lambda df: fm.explode_manifest(df.select(*(F.col(c).alias(n) for c, n in own.items()), "header"))
     manifest = diff_manifest(items(then), items(now), [*own.values()])
     attachments = manifest.groupBy(*(F.col(n).alias(c) for c, n in own.items())).agg(F.array_sort(F.collect_list(F.struct(*MANIFEST_KEY, "change", "old_title", "new_title"))).alias("attachments"))
     dates = then.select(*key, F.col("promulgate_date").alias("old_date"))
     out = now.select(*key, "doc_title", "old_version", F.col("version_key").alias("new_version"), F.col("promulgate_date").alias("new_date"))
-    return out.join(dates, key, "left").join(articles, key, "left").join(named, key, "left").join(attachments, key, "left")
+    return out.join(dates, key, "left").join(articles, key, "left").join(attachments, key, "left")
 
 
 def attachment_label(kind: str = "kind", no: str = "no", branch: str = "branch") -> Column:

@@ -14,17 +14,32 @@ from lexmill.functions.text import text
 #: Tokens: names such as I-131, words of two letters, numbers, runs of Hangul (fixed values).
 TOKEN = r"[A-Za-z]+-\d+[A-Za-z]*|[A-Za-z]{2,}|\d+(?:\.\d+)?|[가-힣]+"
 K1, B, RRF_K, TOP = 1.5, 0.75, 60, 100
+#: Terms of all queries that are broadcast at most.
+MOST_TERMS = 500_000
 
 
 def _grams(word: Column, n: int) -> Column:
     return F.transform(F.sequence(F.lit(1), F.length(word) - (n - 1)), lambda i: F.substring(word, i, n))
 
 
+_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _words(c: Column | str) -> Column:
+    """A token's letters are ASCII or Hangul, so the text is lower-cased as a whole, A-Z only."""
+    return F.translate(text(c), _CAPITALS, _CAPITALS.lower())
+
+
 def tokenize(c: Column | str) -> Column:
     """Tokens with repeats: Hangul of over two characters as 2- and 3-grams, the rest lower-cased."""
-    words = F.regexp_extract_all(text(c), F.lit(TOKEN), F.lit(0))
-    grams = lambda w: F.when(~w.rlike("^[가-힣]{3}"), F.array(F.lower(w))).otherwise(F.concat(_grams(w, 2), _grams(w, 3)))
-    return F.flatten(F.transform(words, grams))
+    words = F.regexp_extract_all(_words(c), F.lit(TOKEN), F.lit(0))
+    grams = lambda w: F.when(~w.rlike("^[가-힣]{3}"), F.array(w)).otherwise(F.concat(_grams(w, 2), _grams(w, 3)))
+    return F.when(_words(c).rlike("[가-힣]{3}"), F.flatten(F.transform(words, grams))).otherwise(words)
+
+
+def token_count(c: Column | str) -> Column:
+    """size(tokenize(c)), without the tokens where no long Hangul is in the text."""
+    return F.when(_words(c).rlike("[가-힣]{3}"), F.size(tokenize(c))).otherwise(F.regexp_count(text(c), F.lit(TOKEN)))
 
 
 def bm25_index(docs: DataFrame, doc: str = "doc", body: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -32,12 +47,16 @@ def bm25_index(docs: DataFrame, doc: str = "doc", body: str = "text") -> tuple[D
     tokens = docs.select(F.col(doc).alias("doc"), tokenize(body).alias("tokens"))
     sized = tokens.withColumn("len", F.greatest(F.size("tokens"), F.lit(1)))
     postings = sized.select("doc", "len", F.explode("tokens").alias("token")).groupBy("token", "doc").agg(F.count("*").alias("tf"), F.first("len").alias("len"))
-    stats = sized.agg(F.count("*").alias("n_docs"), F.avg("len").alias("avg_len"))
+    stats = _stats(docs, body)
     df = postings.groupBy("token").agg(F.count("*").alias("df"))
     idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     return postings, df.join(F.broadcast(stats), how="cross").select("token", "df", idf.alias("idf")), stats
 
 
+def _stats(docs: DataFrame, body: str) -> DataFrame:
+    return docs.select(F.greatest(token_count(body), F.lit(1)).alias("len")).agg(F.count("*").alias("n_docs"), F.avg("len").alias("avg_len"))
+
+
 def bm25_scores(docs: DataFrame, queries: DataFrame, doc: str = "doc", body: str = "text", qid: str = "qid", query: str = "text", k1: float = K1, b: float = B) -> DataFrame:
     """(qid, doc, score) of every document that shares a term with the query.
 
@@ -45,8 +64,10 @@ def bm25_scores(docs: DataFrame, queries: DataFrame, doc: str = "doc", body: str
     """
     terms = queries.select(F.col(qid).alias("qid"), F.explode(F.array_distinct(tokenize(query))).alias("token"))
     sized = docs.select(F.col(doc).alias("doc"), tokenize(body).alias("tokens")).withColumn("len", F.greatest(F.size("tokens"), F.lit(1)))
-    stats = sized.agg(F.count("*").alias("n_docs"), F.avg("len").alias("avg_len"))
+    stats = _stats(docs, body)
     asked = terms.select("token").distinct()
+    if asked.limit(MOST_TERMS + 1).count() <= MOST_TERMS:
+        asked = F.broadcast(asked)  # tokens that nobody asks for are not shuffled
     postings = sized.select("doc", "len", F.explode("tokens").alias("token")).join(asked, "token", "left_semi")
     postings = postings.groupBy("token", "doc").agg(F.count("*").alias("tf"), F.first("len").alias("len"))
     df = postings.groupBy("token").agg(F.count("*").alias("df"))
