@@ -10,12 +10,27 @@ from lexmill.functions.text import ARTICLE, has_all, is_subsequence, norm_name,
 KS = (1, 3, 5, 10)
 
 
+#: Characters by which names meet.
+GRAM = 4
+
+
+def _first_gram(df: DataFrame, name: str) -> DataFrame:
+    return df.withColumn("_gram", F.substring(name, 1, GRAM))
+
+
+def _grams(df: DataFrame, name: str) -> DataFrame:
+    """df with a row for each different string of 1 to GRAM characters in its names."""
+    starts = F.sequence(F.lit(1), F.greatest(F.length(name), F.lit(1)))
+    every = F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), F.lit(GRAM)), lambda n: F.substr(F.col(name), i, n))))
+    return df.withColumn("_gram", F.explode(F.array_distinct(every)))
+
+
 def match_sources(questions: DataFrame, units: DataFrame, qid: str = "qid", expected: str = "expected_sources", mode: str = "loose") -> DataFrame:
     """(qid, id) of the units that are an expected source.
 
     Expected names are parsed once and meet the distinct (law, article, annex) of the units; the
     pairs come back to the units by equality. Named articles and annexes meet by equality of their
-    number and then by name, so only bare names compare with all distinct laws.
+    number and then by name, bare names by the characters that both must have.
     mode strict: plain containment, and no branch articles.
     """
     strict = mode == "strict"
@@ -31,8 +46,11 @@ def match_sources(questions: DataFrame, units: DataFrame, qid: str = "qid", expe
     numbered = lambda kind, column: e.filter(F.col("kind") == kind).join(keys.withColumn("number", F.col(column)), "number").filter(within).select("qid", "law", "article", "annex")
     laws = keys.select("law").distinct()
     if strict:
-        alike = (F.contains("law", F.col("name")) | F.contains("name", F.col("law"))) & (F.length("law") > 3)
-        bare = laws.join(F.broadcast(e.filter("kind = 'law'")), alike)  # a question set is small by its nature
+        # one contains the other: the longer one has the first characters of the shorter one somewhere
+        named, named_laws = e.filter("kind = 'law'"), laws.filter(F.length("law") > 3)
+        longer = _grams(named_laws, "law").join(_first_gram(named, "name"), "_gram").filter(F.contains("law", F.col("name")))
+        shorter = _grams(named, "name").join(_first_gram(named_laws, "law"), "_gram").filter(F.contains("name", F.col("law")))
+        bare = longer.select("qid", "law").union(shorter.select("qid", "law")).distinct()
     else:
         # one is a prefix of the other: they share the shorter one's characters, so meet on each prefix
         prefixes = lambda c: F.explode(F.transform(F.sequence(F.lit(2), F.greatest(F.length(c), F.lit(2))), lambda n: F.substring(F.col(c), F.lit(1), n)))
