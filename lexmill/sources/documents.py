@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,8 +20,13 @@ TRACKS = {
 _STEM = r"([^/]+)\.[^./]+$"
 
 
+def decoded(path: Column) -> Column:
+    """A file's address with its characters as they are."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def file_stem(path: Column) -> Column:
-    return F.regexp_extract(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), _STEM, 1)
+    return F.regexp_extract(decoded(path), _STEM, 1)
 
 
 def read_text_files(spark: SparkSession, path: str, glob: str = "*.md") -> DataFrame:
@@ -71,7 +77,9 @@ def read_snapshots(spark: SparkSession, old: dict[str, str], new: dict[str, str]
     def state(paths: dict[str, str]) -> DataFrame:
         trees = []
         for kind, path in paths.items():
-            relative = F.regexp_replace("path", r"^.*?" + path.rstrip("/").rsplit("/", 1)[-1] + "/", "")
+            tree = re.sub(r"^\w+:/*", "/", path).rstrip("/") + "/"
+            full = decoded(F.col("path"))
+            relative = F.substr(full, F.call_function("locate", F.lit(tree), full) + len(tree))
             trees.append(with_header(read_text_files(spark, path).withColumn("kind", F.lit(kind))).withColumn("path", relative))
         return normalized(reduce(DataFrame.unionByName, trees))
 

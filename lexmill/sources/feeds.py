@@ -13,8 +13,12 @@ from lexmill.sources.schemas import CORRECTION, FEED, MEMBER, RULE
 
 def load_watchlist(path: str) -> dict[str, Any]:
     """A configuration file of some dozens of rows, read where the driver runs."""
-    with open(path, "rb") as f:
-        return tomllib.load(f)
+    with open(path, encoding="utf-8") as f:
+        return parse_watchlist(f.read())
+
+
+def parse_watchlist(config: str) -> dict[str, Any]:
+    return tomllib.loads(config)
 
 
 def watchlist_members(spark: SparkSession, config: dict[str, Any]) -> DataFrame:
@@ -53,7 +57,7 @@ def rules_from_xml(df: DataFrame, xml: str = "xml") -> DataFrame:
     """(doc_title, class, promulgate_date, enforce_date, ministry, version_key, current, body) of rule records."""
     r = df.select(F.from_xml(xml, F.lit(RULE_XML)).alias("r"))
     info = lambda k: F.coalesce(F.trim(F.col(f"r.`행정규칙기본정보`.`{k}`")), F.lit(""))
-    clean = lambda c: F.filter(F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), F.trim), lambda x: x.isNotNull() & (x != ""))
+    clean = lambda c: F.filter(F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: x.isNotNull() & (x != ""))
     addenda = F.array_join(clean("r.`부칙`.`부칙내용`"), "\n")
     body = F.concat(F.array_join(clean("r.`조문내용`"), "\n\n"), F.when(addenda != "", F.concat(F.lit("\n\n## 부칙\n\n"), addenda)).otherwise(""))
     return r.select(info("행정규칙명").alias("doc_title"), info("행정규칙종류").alias("class"), info("발령일자").alias("promulgate_date"), info("시행일자").alias("enforce_date"), info("소관부처명").alias("ministry"), info("행정규칙일련번호").alias("version_key"), info("현행여부").alias("current"), body.alias("body"))

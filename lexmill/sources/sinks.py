@@ -2,12 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import posixpath
+import re
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions import frontmatter as fm
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that driver and executors share: spark.checkpoint.dir, or one in the warehouse where that is unset."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_files"
+    return found.rstrip("/")
+
+
+def write_tree(files: DataFrame, root: str, path: str = "path", raw: str = "raw") -> int:
+    """One UTF-8 file for each row, at its path below root (any address that Arrow opens); the number of files.
+
+    A task that runs again writes the same files again.
+    """
+
+    def run(batches):
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(re.sub(r"^file:/+", "/", root))
+        made: set[str] = set()
+        for batch in batches:
+            for one, text in zip(*(c.to_pylist() for c in batch.columns)):
+                full = posixpath.join(base, one)
+                if (folder := posixpath.dirname(full)) not in made:
+                    system.create_dir(folder, recursive=True)
+                    made.add(folder)
+                with system.open_output_stream(full) as f:
+                    f.write((text or "").encode())
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    return files.select(path, raw).mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def _titled(articles: str, suffix: str) -> Column:
     title = lambda a: F.coalesce(F.try_element_at("titles", a), F.lit(""))
     return F.transform(articles, lambda a: F.concat(a, F.when(title(a) != "", F.concat(F.lit("("), title(a), F.lit(")"))).otherwise(""), F.lit(suffix)))
