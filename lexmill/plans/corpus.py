@@ -86,20 +86,83 @@ def _itemised(spark, d) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.array_join(F.transform(lines, lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), F.trim(x))), "\n").alias("text"))
 
 
+def _segments(rows: DataFrame) -> DataFrame:
+    return rows.select("doc_id", F.posexplode(ck.split_long("text", F.lit(ck.MAX_CHARS))).alias("n", "s")).select("doc_id", "n", "s.subunit", F.length("s.text").alias("chars"), F.md5(F.col("s.text").cast("binary")).alias("text_md5"))
+
+
 def c4_c6_split_long(spark, d) -> DataFrame:
-    rows = _itemised(spark, d).select("doc_id", F.posexplode(ck.split_long("text", F.lit(ck.MAX_CHARS))).alias("n", "s"))
-    return rows.select("doc_id", "n", "s.subunit", F.length("s.text").alias("chars"))
+    return _segments(_itemised(spark, d))
 
 
-def c7_annex_segments(spark, d) -> DataFrame:
+_PACKED = f"""lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+items AS (SELECT doc_id, i, i || '. ' || trim(line, ' ') AS raw, regexp_replace(i || '. ' || trim(line, ' '), '[\\s\\p{{Z}}\\x1c-\\x1f\\x85]+$', '') AS piece FROM lines),
+whole AS (SELECT doc_id, string_agg(raw, chr(10) ORDER BY i) AS raw, count(*) AS n FROM items GROUP BY doc_id)"""
+#: Items (doc_id, i, piece) in order, packed greedily: pack is the number of each item's pack.
+_PACKS = f"""packed(doc_id, i, pack, size) AS (SELECT doc_id, i, 1, length(piece) FROM pieces WHERE i = (SELECT min(i) FROM pieces)
+  UNION ALL SELECT p.doc_id, p.i, CASE WHEN size + length(piece) > {ck.MAX_CHARS} THEN pack + 1 ELSE pack END, CASE WHEN size + length(piece) > {ck.MAX_CHARS} THEN length(piece) ELSE size + length(piece) END
+  FROM packed k JOIN pieces p ON p.doc_id = k.doc_id AND p.i = k.i + 1),
+packs AS (SELECT doc_id, pack, string_agg(piece, chr(10) ORDER BY i) AS text, min(i) FILTER (i > 0) AS a, max(i) AS b FROM packed JOIN pieces USING (doc_id, i) GROUP BY doc_id, pack)"""
+_LABEL = "CASE WHEN a IS NULL OR b = 0 THEN '' WHEN a = b THEN '제' || a || '호' ELSE '제' || a || '호~제' || b || '호' END"
+C4 = f"""WITH RECURSIVE {_PACKED}, pieces AS (SELECT doc_id, i, piece FROM items JOIN whole USING (doc_id) WHERE length(whole.raw) > {ck.MAX_CHARS} AND n > 1), {_PACKS},
+segments AS (SELECT doc_id, pack - 1 AS n, {_LABEL} AS subunit, text FROM packs UNION ALL SELECT doc_id, 0, '', raw FROM whole WHERE length(raw) <= {ck.MAX_CHARS} OR n < 2)
+SELECT doc_id, CAST(n AS INTEGER) AS n, subunit, CAST(length(text) AS INTEGER) AS chars, md5(text) AS text_md5 FROM segments"""
+
+
+def c5_oversize_paragraphs(spark, d) -> DataFrame:
+    """The same items as the first of two paragraphs, after a lead."""
+    return _segments(_itemised(spark, d).select("doc_id", F.concat(F.lit("앞\n① lead\n"), "text", F.lit("\n② end")).alias("text")))
+
+
+C5 = f"""WITH RECURSIVE {_PACKED}, entire AS (SELECT doc_id, '앞' || chr(10) || '① lead' || chr(10) || raw || chr(10) || '② end' AS text, regexp_replace('① lead' || chr(10) || raw, '[\\s\\p{{Z}}\\x1c-\\x1f\\x85]+$', '') AS first, n FROM whole),
+long AS (SELECT * FROM entire WHERE length(text) > {ck.MAX_CHARS}),
+pieces AS (SELECT doc_id, i, piece FROM items JOIN long USING (doc_id) WHERE length(first) > {ck.MAX_CHARS} AND n > 1 UNION ALL SELECT doc_id, 0, '① lead' FROM long WHERE length(first) > {ck.MAX_CHARS} AND n > 1), {_PACKS},
+many AS (SELECT doc_id, max(pack) AS packs FROM packs GROUP BY doc_id HAVING max(pack) > 1),
+segments AS (SELECT doc_id, 0 AS n, '' AS subunit, text FROM entire WHERE length(text) <= {ck.MAX_CHARS} UNION ALL SELECT doc_id, 0, '', '앞' FROM long
+  UNION ALL SELECT doc_id, pack, trim('① ' || {_LABEL}), text FROM packs SEMI JOIN many USING (doc_id) UNION ALL SELECT doc_id, 1, '①', first FROM long ANTI JOIN many USING (doc_id)
+  UNION ALL SELECT doc_id, coalesce(packs, 1) + 1, '②', '② end' FROM long LEFT JOIN many USING (doc_id))
+SELECT doc_id, CAST(n AS INTEGER) AS n, subunit, CAST(length(text) AS INTEGER) AS chars, md5(text) AS text_md5 FROM segments"""
+
+
+def _order_annexes(spark, d) -> DataFrame:
     """Order lines as an annex table: one annex for 200 orders."""
     li = table(spark, d, "lineitem").select((F.col("l_orderkey") / 200).cast("long").alias("annex"), F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("r"))
     row = lambda r: F.concat(F.lit("<tr><td>"), F.concat_ws("</td><td>", r["l_orderkey"], r["l_linenumber"], r["l_partkey"], r["l_suppkey"]), F.lit("</td></tr>"))
-    annex = li.groupBy("annex").agg(F.concat(F.lit("before<table><tr><th>order</th><th>line</th><th>part</th><th>supplier</th></tr>"), F.array_join(F.transform(F.array_sort(F.collect_list("r")), row), ""), F.lit("</table>after")).alias("body"))
-    rows = annex.select("annex", F.posexplode(ck.annex_segments("body", F.lit(ck.MAX_CHARS))).alias("n", "s"))
+    return li.groupBy("annex").agg(F.concat(F.lit("before<table><tr><th>order</th><th>line</th><th>part</th><th>supplier</th></tr>"), F.array_join(F.transform(F.array_sort(F.collect_list("r")), row), ""), F.lit("</table>after")).alias("body"))
+
+
+def c7_annex_segments(spark, d) -> DataFrame:
+    rows = _order_annexes(spark, d).select("annex", F.posexplode(ck.annex_segments("body", F.lit(ck.MAX_CHARS))).alias("n", "s"))
     return rows.select("annex", "n", "s.subunit", F.length("s.text").alias("chars"), F.md5(F.col("s.text").cast("binary")).alias("text_md5"))
 
 
+_ANNEX = f"""cells AS (SELECT l_orderkey // 200 AS annex, row_number() OVER (PARTITION BY l_orderkey // 200 ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS i, CAST(l_orderkey AS VARCHAR) AS key,
+  concat_ws(' | ', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS line, concat(l_orderkey, l_linenumber, l_partkey, l_suppkey) AS bare FROM lineitem),
+annexes AS (SELECT annex, 'beforeorderlinepartsupplier' || string_agg(bare, '' ORDER BY i) || 'after' AS plain, sum(length(bare) + 45) + length('before<table><tr><th>order</th><th>line</th><th>part</th><th>supplier</th></tr></table>after') AS size FROM cells GROUP BY annex),
+long AS (SELECT annex FROM annexes WHERE length(plain) > {ck.MAX_CHARS} OR size > 3 * {ck.MAX_CHARS}),
+pieces AS (SELECT * FROM cells SEMI JOIN long USING (annex)),
+state(annex, i, first, size, n_keys, keys_size, key) AS (SELECT annex, i, i, length('order | line | part | supplier') + length(line), 1, length(key), key FROM pieces WHERE i = 1
+  UNION ALL SELECT annex, i, CASE WHEN fresh THEN i ELSE first END, CASE WHEN fresh THEN length('order | line | part | supplier') ELSE size END + length(line),
+    CASE WHEN fresh THEN 1 ELSE n_keys + CAST(key != last AS INTEGER) END, CASE WHEN fresh THEN length(key) WHEN key != last THEN keys_size + length(key) ELSE keys_size END, key
+  FROM (SELECT p.annex, p.i, p.line, p.key, s.key AS last, s.first, s.size, s.n_keys, s.keys_size, s.size + length(p.line) + CASE WHEN s.n_keys >= 3 THEN {len(ck.INDEX_HEAD)} + s.keys_size + 2 * (s.n_keys - 1) ELSE 0 END > {ck.MAX_CHARS} AS fresh
+    FROM state s JOIN pieces p ON p.annex = s.annex AND p.i = s.i + 1)),
+packs AS (SELECT annex, first, max(i) AS last, max(n_keys) AS n_keys, string_agg(line, chr(10) ORDER BY i) AS body FROM state JOIN pieces USING (annex, i) GROUP BY annex, first),
+heads AS (SELECT annex, first, '{ck.INDEX_HEAD}' || string_agg(key, ', ' ORDER BY i) AS head FROM (SELECT s.annex, s.first, p.key, min(p.i) AS i FROM state s JOIN pieces p USING (annex, i) GROUP BY ALL) GROUP BY annex, first),
+tables AS (SELECT annex, row_number() OVER (PARTITION BY annex ORDER BY first) AS n, '표1 행' || first || '~' || last AS subunit, CASE WHEN n_keys >= 3 THEN head || chr(10) ELSE '' END || 'order | line | part | supplier' || chr(10) || body AS text, CASE WHEN n_keys >= 3 THEN head ELSE '' END AS head FROM packs JOIN heads USING (annex, first))"""
+C7 = f"""WITH RECURSIVE {_ANNEX}, segments AS (SELECT annex, 0 AS n, '' AS subunit, plain AS text FROM annexes ANTI JOIN long USING (annex) UNION ALL SELECT annex, 0, '', 'before' FROM long UNION ALL SELECT annex, n, subunit, text FROM tables
+  UNION ALL SELECT annex, max(n) + 1, '', 'after' FROM tables GROUP BY annex)
+SELECT annex, CAST(n AS INTEGER) AS n, subunit, CAST(length(text) AS INTEGER) AS chars, md5(text) AS text_md5 FROM segments"""
+
+
+def c8_pack_index(spark, d) -> DataFrame:
+    """The index of first cells that each pack of an annex table begins with."""
+    rows = _order_annexes(spark, d).select("annex", F.explode(ck.annex_segments("body", F.lit(ck.MAX_CHARS))).alias("s")).filter("s.subunit != ''")
+    first = F.element_at(F.split("s.text", "\n", 2), 1)
+    return rows.select("annex", "s.subunit", F.when(F.startswith(first, F.lit(ck.INDEX_HEAD)), first).otherwise("").alias("head"))
+
+
+C8 = f"WITH RECURSIVE {_ANNEX} SELECT annex, subunit, head FROM tables"
+
+
 def p13_table_rows(spark, d) -> DataFrame:
     o = table(spark, d, "orders")
     body = F.concat(F.lit("<table><tr><td>"), F.col("o_orderkey").cast("string"), F.lit("</td><td> <b>"), "o_orderstatus", F.lit("</b> &amp; </td></tr><tr><td> </td></tr><tr><th>x</th></tr></table>"))
@@ -215,7 +278,7 @@ def _chunks(spark, d) -> DataFrame:
 
 
 def c12_chunks(spark, d) -> DataFrame:
-    return _chunks(spark, d).filter("metadata.subunit = ''").select("chunk_id", F.md5(F.col("content").cast("binary")).alias("content_md5"))
+    return _chunks(spark, d).select("chunk_id", F.md5(F.col("content").cast("binary")).alias("content_md5"))
 
 
 C12 = f"""WITH {ARTICLES} SELECT lpad(CAST(doc_id AS VARCHAR), 6, '0') || '#' || article AS chunk_id, md5('「' || title || '」 ' || article || '(' || title || ')' || chr(10) || chr(10) || text) AS content_md5 FROM articles WHERE text != ''"""
@@ -260,10 +323,13 @@ SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN '제1조' ELSE '' END AS changed, C
 def j3_line_diff(spark, d) -> DataFrame:
     a, b = _docs(spark, d), _docs(spark, d, new=True)
     both = a.select("doc_id", F.col("body").alias("old")).join(b.select("doc_id", F.col("body").alias("new")), "doc_id").filter(F.col("old") != F.col("new"))
-    return both.select("doc_id", F.size(ch.line_diff("old", "new")).alias("n_lines"))
+    lines = both.select("doc_id", ch.line_diff("old", "new").alias("lines"))
+    return lines.select("doc_id", F.size("lines").alias("n_lines"), F.md5(F.array_join("lines", "\n").cast("binary")).alias("lines_md5"))
 
 
-J3 = """SELECT doc_id, CAST(2 * (doc_id % 7 = 0)::INT + 2 * (doc_id % 13 = 0)::INT + 2 * (doc_id % 17 = 0)::INT AS INTEGER) AS n_lines FROM documents WHERE doc_id % 11 != 0 AND (doc_id % 7 = 0 OR doc_id % 13 = 0 OR doc_id % 17 = 0)"""
+J3 = """WITH d AS (SELECT doc_id, source, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents WHERE doc_id % 11 != 0 AND (doc_id % 7 = 0 OR doc_id % 13 = 0 OR doc_id % 17 = 0)),
+c AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN ['-' || lines[1], '+' || lines[1] || ' amended'] ELSE [] END || CASE WHEN doc_id % 13 = 0 THEN ['+##### 제' || (len(lines) + 1) || '조 (' || source || ')', '+one more'] ELSE [] END || CASE WHEN doc_id % 17 = 0 THEN ['-제1조 시행한다', '+제1조 시행한다 다시'] ELSE [] END AS lines FROM d)
+SELECT doc_id, CAST(len(lines) AS INTEGER) AS n_lines, md5(array_to_string(lines, chr(10))) AS lines_md5 FROM c"""
 
 
 def _versions(spark, d, new: bool) -> DataFrame:
@@ -386,11 +452,11 @@ V2 = "SELECT doc_id FROM documents WHERE doc_id % 9 = 0"
 
 QUERIES = {f.__name__: f for f in (
     p1_split_header, p2_p3_header_values, p4_header_map, p5_manifest, p7_p8_articles, p9_p10_annex_names, p11_refs, p12_html_plain, p12_html_unescape, p13_table_rows, p14_clean_converted, c9_deleted_annexes, c12_annex_chunks, p15_sanitize, p16_sniff,
-    c1_split_articles, c2_fallback_heading, c3_drop_deleted, c4_c6_split_long, c7_annex_segments, c10_attach_parent, c11_article_links, c12_chunks, c13_chunk_stats, c14_index_scope,
+    c1_split_articles, c2_fallback_heading, c3_drop_deleted, c4_c6_split_long, c5_oversize_paragraphs, c7_annex_segments, c8_pack_index, c10_attach_parent, c11_article_links, c12_chunks, c13_chunk_stats, c14_index_scope,
     j1_article_table, j2_diff_articles, j3_line_diff, j4_changed_documents, j5_manifest_diff, j6_diff_files, j7_file_profile, j8_report, s12_report_markdown, s12_report_subject, v1_duplicates, v2_empty_documents, v3_orphans,
 )}
 ORACLES = {
     "p1_split_header": P1, "p2_p3_header_values": P2, "p4_header_map": P4, "p5_manifest": P5, "p7_p8_articles": P7, "p9_p10_annex_names": P9, "p11_refs": P11, "p12_html_plain": P12, "p13_table_rows": P13, "p14_clean_converted": P14, "c9_deleted_annexes": C9, "c12_annex_chunks": C12_ANNEX, "p15_sanitize": P15, "p16_sniff": P16,
-    "c1_split_articles": C1, "c2_fallback_heading": C2, "c3_drop_deleted": C3, "c10_attach_parent": C10, "c11_article_links": C11, "c12_chunks": C12, "c13_chunk_stats": C13, "c14_index_scope": C14,
+    "c1_split_articles": C1, "c2_fallback_heading": C2, "c3_drop_deleted": C3, "c4_c6_split_long": C4, "c5_oversize_paragraphs": C5, "c7_annex_segments": C7, "c8_pack_index": C8, "c10_attach_parent": C10, "c11_article_links": C11, "c12_chunks": C12, "c13_chunk_stats": C13, "c14_index_scope": C14,
     "j1_article_table": J1, "j2_diff_articles": J2, "j3_line_diff": J3, "j4_changed_documents": J4, "j5_manifest_diff": J5, "j6_diff_files": J6, "j7_file_profile": J7, "j8_report": J8, "s12_report_subject": S12, "v1_duplicates": V1, "v2_empty_documents": V2, "v3_orphans": V3,
 }

@@ -116,8 +116,9 @@ def rankings(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = table(spark, sf_dir, "embeddings")
     asked = v.filter("vec_id % 100 = 0")
     near = embeddings.knn(asked, v, 20, "vec_id", "vec_id").select("qid", F.lit("vector").alias("retriever"), "rank", "doc")
-    # the other ranking: within ten buckets of ids, by distance of ids
-    pairs = asked.select(F.col("vec_id").alias("qid"), (F.col("vec_id") % 10).alias("b")).join(v.select(F.col("vec_id").alias("doc"), (F.col("vec_id") % 10).alias("b")), "b")
+    # the other ranking: the ids around the question's own, by distance
+    around = asked.select(F.col("vec_id").alias("qid"), F.explode(F.sequence(F.col("vec_id") - 30, F.col("vec_id") + 30)).alias("doc"))
+    pairs = around.join(v.select(F.col("vec_id").alias("doc")), "doc")
     by_id = lexical.rank(pairs.select("qid", "doc"), 20, -F.abs(F.col("qid") - F.col("doc"))).select("qid", F.lit("label").alias("retriever"), "rank", "doc")
     return near.unionByName(by_id)
 
@@ -127,14 +128,17 @@ RANKINGS = """sims AS (SELECT q.vec_id AS qid, d.vec_id AS doc, round(list_dot_p
   FROM embeddings q JOIN embeddings d ON q.vec_id % 100 = 0),
 nearest AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY similarity DESC, doc) AS rank FROM sims),
 by_id AS (SELECT q.vec_id AS qid, d.vec_id AS doc, row_number() OVER (PARTITION BY q.vec_id ORDER BY abs(q.vec_id - d.vec_id), d.vec_id) AS rank
-  FROM embeddings q JOIN embeddings d ON q.vec_id % 100 = 0 AND q.vec_id % 10 = d.vec_id % 10),
+  FROM embeddings q JOIN embeddings d ON q.vec_id % 100 = 0 AND d.vec_id BETWEEN q.vec_id - 30 AND q.vec_id + 30),
 rankings AS (SELECT qid, 'vector' AS retriever, rank, doc FROM nearest WHERE rank <= 20 UNION ALL SELECT qid, 'label', rank, doc FROM by_id WHERE rank <= 20),
-relevant AS (SELECT q.vec_id AS qid, d.vec_id AS doc FROM embeddings q JOIN embeddings d ON q.vec_id % 100 = 0 AND q.label = d.label AND q.vec_id != d.vec_id)"""
+relevant AS (SELECT DISTINCT r.qid, r.doc FROM rankings r JOIN embeddings q ON q.vec_id = r.qid JOIN embeddings d ON d.vec_id = r.doc WHERE q.label = d.label AND r.qid != r.doc)"""
 
 
 def relevant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = table(spark, sf_dir, "embeddings")
-    return v.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("qid"), "label").join(v.select(F.col("vec_id").alias("doc"), "label"), "label").filter("qid != doc").select("qid", "doc")
+    """(qid, doc) of the ranked pairs with one label: judgments of a pool, as many as its rankings."""
+    labels = table(spark, sf_dir, "embeddings").select("vec_id", "label")
+    pool = rankings(spark, sf_dir).select("qid", "doc").filter("qid != doc").distinct()
+    asked = pool.join(labels.withColumnsRenamed({"vec_id": "qid", "label": "asked"}), "qid")
+    return asked.join(labels.withColumnRenamed("vec_id", "doc"), "doc").filter("label = asked").select("qid", "doc")
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:

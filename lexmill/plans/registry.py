@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: Modules of this package that hold QUERIES and ORACLES dictionaries.
-MODULES: tuple[str, ...] = ("retrieval", "corpus", "monitoring")
+MODULES: tuple[str, ...] = ("retrieval", "corpus", "ingestion", "monitoring")
 
 
 def _gather(name: str) -> dict:

@@ -158,6 +158,15 @@ def r13_excerpt(spark: SparkSession, d: str) -> DataFrame:
     return lx.excerpt(rows, ["doc_id"]).select("doc_id", F.array_join("lines", "\n").alias("lines"))
 
 
+R13 = """WITH lines AS (SELECT doc_id, unnest(list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x, ' ') != '')) AS line, generate_subscripts(list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x, ' ') != ''), 1) AS pos FROM documents),
+heads AS (SELECT doc_id, min(pos) AS pos, arg_min(line, pos) AS line FROM lines WHERE length(line) - length(replace(line, '|', '')) > 1 GROUP BY doc_id),
+rest AS (SELECT l.doc_id, l.pos, CASE WHEN length(l.line) > 190 THEN left(l.line, 190) || '…' ELSE l.line END AS line, regexp_replace(l.line, '[^가-힣0-9A-Za-z]', '', 'g') AS plain FROM lines l LEFT JOIN heads h ON h.doc_id = l.doc_id AND h.pos = l.pos WHERE h.pos IS NULL AND NOT starts_with(ltrim(l.line, ' '), '[수록 항목]')),
+scored AS (SELECT doc_id, pos, line, 2 * CAST(contains(plain, 'I131') AS INTEGER) + 2 * CAST(contains(plain, 'the') AS INTEGER) AS score FROM rest),
+placed AS (SELECT *, max(score) OVER (PARTITION BY doc_id) AS top, row_number() OVER (PARTITION BY doc_id, score >= 2 ORDER BY pos) AS n_strong, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS n FROM scored)
+SELECT p.doc_id, CASE WHEN any_value(h.line) IS NULL THEN '' WHEN length(any_value(h.line)) > 190 THEN left(any_value(h.line), 190) || '…' || chr(10) ELSE any_value(h.line) || chr(10) END || string_agg(p.line, chr(10) ORDER BY p.pos) AS lines
+FROM placed p LEFT JOIN heads h USING (doc_id) WHERE (top >= 2 AND score >= 2 AND n_strong <= 6) OR (top < 2 AND n <= 2) GROUP BY p.doc_id"""
+
+
 def embedded(spark: SparkSession, d: str) -> DataFrame:
     return emb.embed(table(spark, d, "documents").select("doc_id", "text"), "text", emb.hashing_embedder(32))
 
@@ -176,21 +185,29 @@ def e12_answerable(spark: SparkSession, d: str) -> DataFrame:
     return ev.answerable_recall(ranked, asked, units)
 
 
+_PLAIN = "regexp_replace(coalesce({}, ''), '[^가-힣0-9A-Za-z]', '', 'g')"
+E12 = R9.replace("SELECT qid, doc, score, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 10", f""", near AS (SELECT qid, rank, doc, {_PLAIN.format("d.text")} AS plain, {_PLAIN.format("b.text")} AS whole, {_PLAIN.format("left(b.text, 30)")} AS start FROM ranked JOIN documents d ON doc = d.doc_id JOIN benchmark b ON qid = item_id WHERE rank <= 10),
+ks(k) AS (VALUES (1), (3), (5), (10)), joined AS (SELECT qid, k, string_agg(plain, '' ORDER BY rank) AS plain, any_value(whole) AS whole, any_value(start) AS start, bool_or(contains(plain, whole) AND (contains(plain, 'absentwords') OR contains(plain, start))) AS strict FROM near, ks WHERE rank <= k GROUP BY qid, k),
+hits AS (SELECT k, count(*) FILTER (strict) AS strict, count(*) FILTER (contains(plain, whole) AND (contains(plain, 'absentwords') OR contains(plain, start))) AS joint FROM joined GROUP BY k)
+SELECT 'bm25' AS retriever, 'strict' AS mode, CAST(k AS INTEGER) AS k, strict AS hits, (SELECT count(DISTINCT item_id) FROM benchmark) AS n FROM hits UNION ALL SELECT 'bm25', 'union', CAST(k AS INTEGER), joint, (SELECT count(DISTINCT item_id) FROM benchmark) FROM hits""")
+
+
 def e13_hit_without_answer(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     ranked = lx.bm25_topk(docs, table(spark, d, "benchmark"), 10, doc="doc_id", qid="item_id").withColumn("retriever", F.lit("bm25"))
-    asked = table(spark, d, "benchmark").select(F.col("item_id").alias("qid"), F.array(F.array(F.lit("no such words anywhere"))).alias("answer_keys"))
+    asked = table(spark, d, "benchmark").select(F.col("item_id").alias("qid"), F.array(F.array(F.col("text"))).alias("answer_keys"))
     relevant_ = ranked.filter("rank = 2").select("qid", "doc")
     best = ev.best_ranks(ranked, relevant_, asked)
     return ev.source_hit_answer_miss(ranked, best, asked, docs.select(F.col("doc_id").alias("id"), "text"))
 
 
-E13 = R9.replace("SELECT qid, doc, score, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 10", "SELECT 'bm25' AS retriever, qid FROM ranked WHERE rank = 2")
+E13 = R9.replace("SELECT qid, doc, score, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 10", f""", near AS (SELECT qid, rank, {_PLAIN.format("d.text")} AS plain, {_PLAIN.format("b.text")} AS whole FROM ranked JOIN documents d ON doc = d.doc_id JOIN benchmark b ON qid = item_id WHERE rank <= 5)
+SELECT 'bm25' AS retriever, qid FROM near GROUP BY qid HAVING max(rank) >= 2 AND NOT contains(string_agg(plain, '' ORDER BY rank), any_value(whole))""")
 
 
 _NAMES = {f.__name__: f for f in (r3_truncate_normalize, r4_embed, r5_knn, r6_knn_filtered, r7_tokenize, r8_bm25_terms, r9_bm25_topk, r10_rrf, r11_weight_sweep, r12_context, r13_excerpt, e5_recall_at_k, e6_recall_by_subset, e7_rank_delta, e12_answerable, e13_hit_without_answer, e14_parity, e19_ranked_hits)}
 QUERIES = _NAMES
 ORACLES = {
-    "r3_truncate_normalize": R3, "r4_embed": R4, "r5_knn": R5, "r6_knn_filtered": R6, "r7_tokenize": R7, "r8_bm25_terms": R8, "r9_bm25_topk": R9, "r10_rrf": R10, "r11_weight_sweep": R11, "r12_context": R12,
-    "e5_recall_at_k": E5, "e6_recall_by_subset": E6, "e7_rank_delta": E7, "e13_hit_without_answer": E13, "e14_parity": E14, "e19_ranked_hits": E19,
+    "r3_truncate_normalize": R3, "r4_embed": R4, "r5_knn": R5, "r6_knn_filtered": R6, "r7_tokenize": R7, "r8_bm25_terms": R8, "r9_bm25_topk": R9, "r10_rrf": R10, "r11_weight_sweep": R11, "r12_context": R12, "r13_excerpt": R13,
+    "e5_recall_at_k": E5, "e6_recall_by_subset": E6, "e7_rank_delta": E7, "e12_answerable": E12, "e13_hit_without_answer": E13, "e14_parity": E14, "e19_ranked_hits": E19,
 }
