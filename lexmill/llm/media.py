@@ -5,8 +5,11 @@ PackBits, LZW or deflate), undoes the horizontal predictor and emits one row per
 `write_tiff` is the inverse that queries and tests use. Everything is per row: no shuffle, and a
 task holds one file at a time.
 
-Defined results: a null or empty file gives no page; a file that is not a TIFF or is damaged gives
-one row with page -1 and the reason in `error`; repeated rows give repeated pages; the caller's
+A page is allocated only if its strips or tiles can hold so many samples, and none is decoded beyond
+its own size, so a damaged file costs no more memory than its bytes allow.
+
+Defined results: a null or empty file gives no page; a page that cannot be decoded gives a row with
+the reason in `error`, and directories that cannot be read any further one with page -1; repeated rows give repeated pages; the caller's
 other columns are not read, so their names cannot clash.
 """
 
@@ -14,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
+import sys
 import zlib
 from collections.abc import Iterator
 
@@ -30,6 +34,9 @@ STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_COUNTS, PLANAR = 273, 277, 278, 27
 PREDICTOR, TILE_WIDTH, TILE_HEIGHT, TILE_OFFSETS, TILE_COUNTS = 317, 322, 323, 324, 325
 STORED, LZW, DEFLATE, OLD_DEFLATE, PACKBITS = 1, 5, 8, 32946, 32773
 FIELD = {1: "B", 3: "H", 4: "I"}
+#: Codes of 12 bits, and bytes that a byte of each scheme can stand for at most.
+LZW_CODES = 4096
+EXPANSION = {STORED: 1, PACKBITS: 64, LZW: LZW_CODES, DEFLATE: 1032, OLD_DEFLATE: 1032}
 
 PAGE_SCHEMA = "width int, height int, samples_per_pixel int, bits int, compression int, samples binary, error string"
 
@@ -37,10 +44,11 @@ PAGE_SCHEMA = "width int, height int, samples_per_pixel int, bits int, compressi
 # --- codecs -------------------------------------------------------------------------------------
 
 
-def unpack_bits(data: bytes) -> bytes:
-    out, i = [], 0
-    while i < len(data):
+def unpack_bits(data: bytes, most: int = sys.maxsize) -> bytes:
+    out, i, size = [], 0, 0
+    while i < len(data) and size < most:
         n = data[i]
+        size += n + 1 if n < 128 else (257 - n) % 129
         if n < 128:
             out.append(data[i + 1 : i + 2 + n])
             i += n + 2
@@ -75,11 +83,11 @@ def pack_bits(data: bytes) -> bytes:
     return b"".join(out)
 
 
-def lzw_decode(data: bytes) -> bytes:
+def lzw_decode(data: bytes, most: int = sys.maxsize) -> bytes:
     """MSB-first codes of 9 to 12 bits; 256 clears, 257 ends; the width grows one code early."""
     out: list[bytes] = []
     table: list[bytes] = []
-    width, have, bits, last = 9, 0, 0, b""
+    width, have, bits, last, size = 9, 0, 0, b"", 0
     roots = [bytes([k]) for k in range(256)] + [b"", b""]
     for byte in data:
         bits = (bits << 8) | byte
@@ -103,7 +111,10 @@ def lzw_decode(data: bytes) -> bytes:
         else:
             raise ValueError("LZW code out of range")
         out.append(entry)
-        if last:
+        size += len(entry)
+        if size >= most:
+            break
+        if last and len(table) < LZW_CODES:
             table.append(last + entry[:1])
             width = min(12, (len(table) + 1).bit_length())
         last = entry
@@ -152,11 +163,16 @@ def lzw_encode(data: bytes) -> bytes:
     return bytes(done)
 
 
-def inflate(data: bytes) -> bytes:
-    return zlib.decompress(data)
+def inflate(data: bytes, most: int) -> bytes:
+    return zlib.decompressobj().decompress(data, most + 1)  # one more, so that a stream of that size ends and is checked
+
+
+def as_stored(data: bytes, most: int) -> bytes:
+    return data[:most]
 
 
-DECODERS = {STORED: bytes, LZW: lzw_decode, DEFLATE: inflate, OLD_DEFLATE: inflate, PACKBITS: unpack_bits}
+#: Each takes a strip or tile and the bytes that it should give at most (a few more may come).
+DECODERS = {STORED: as_stored, LZW: lzw_decode, DEFLATE: inflate, OLD_DEFLATE: inflate, PACKBITS: unpack_bits}
 ENCODERS = {STORED: bytes, LZW: lzw_encode, DEFLATE: lambda b: zlib.compress(b, 1), PACKBITS: pack_bits}
 
 
@@ -207,13 +223,15 @@ def read_page(blob: bytes, tags: dict[int, list[int]]) -> np.ndarray:
     planes, deep = (spp, 1) if planar == 2 else (1, spp)
     if len(offsets) < planes * down * across:
         raise ValueError("too few strips or tiles")
+    if height * width * spp * kind.itemsize > EXPANSION[scheme] * min(sum(counts), len(counts) * len(blob)):
+        raise ValueError("more samples than the data can hold")
     page = np.zeros((height, width, spp), kind)
     for k in range(planes * down * across):
         plane, rest = divmod(k, down * across)
         y, x = rest // across * tall, rest % across * wide
         rows = tall if tiled else min(tall, height - y)
-        data = DECODERS[scheme](blob[offsets[k] : offsets[k] + counts[k]])
         need = rows * wide * deep * kind.itemsize
+        data = DECODERS[scheme](blob[offsets[k] : offsets[k] + counts[k]], need)
         if len(data) < need:
             raise ValueError("short strip or tile")
         part = np.frombuffer(data[:need], kind).reshape(rows, wide, deep)
@@ -231,7 +249,7 @@ def pages(blob: bytes) -> Iterator[tuple[np.ndarray, int]]:
 
 
 #: What damaged or unsupported files raise.
-ERRORS = (ValueError, KeyError, IndexError, struct.error, zlib.error)
+ERRORS = (ValueError, KeyError, IndexError, MemoryError, OverflowError, struct.error, zlib.error)
 
 
 def page_rows(blob: bytes) -> Iterator[tuple[int, np.ndarray | None, int | None, str | None]]:

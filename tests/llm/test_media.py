@@ -27,6 +27,43 @@ def test_codecs(data):
     assert media.lzw_decode(media.lzw_encode(data)) == data
 
 
+def by_hand(width, height, compression, strip, order="<", rows=None, count=None):
+    """A one-page TIFF written field by field."""
+    import struct
+
+    fields = [(256, 3, width), (257, 3, height), (258, 3, 8), (259, 3, compression), (262, 3, 1), (273, 4, 8), (277, 3, 1), (278, 3, rows or height), (279, 4, len(strip) if count is None else count)]
+    if width > 65535:
+        fields = [(t, 4 if t in (256, 257, 278) else k, v) for t, k, v in fields]
+    body = strip + b"\0" * (len(strip) & 1)
+    entries = b"".join(struct.pack(order + "HHI", t, k, 1) + (struct.pack(order + "HH", v, 0) if k == 3 else struct.pack(order + "I", v)) for t, k, v in fields)
+    return (b"II*\0" if order == "<" else b"MM\0*") + struct.pack(order + "I", 8 + len(body)) + body + struct.pack(order + "H", len(fields)) + entries + b"\0" * 4
+
+
+@pytest.mark.parametrize("order", "<>")
+def test_files_written_by_hand(order):
+    # the published examples of PackBits and of LZW
+    packed = bytes.fromhex("FEAA0280002AFDAA0380002A22F7AA")
+    plain = bytes.fromhex("AAAAAA80002AAAAAAAAA80002A22" + "AA" * 10)
+    ((page, _),) = media.pages(by_hand(24, 1, media.PACKBITS, packed, order))
+    assert page.tobytes() == plain
+    bits = "".join(f"{code:09b}" for code in (256, 7, 258, 8, 8, 258, 6, 6, 257))
+    strip = int(bits.ljust(-(-len(bits) // 8) * 8, "0"), 2).to_bytes(-(-len(bits) // 8), "big")
+    ((page, _),) = media.pages(by_hand(3, 3, media.LZW, strip, order))
+    assert page.tobytes() == bytes([7, 7, 7, 8, 8, 7, 7, 6, 6])
+
+
+def test_files_that_claim_too_much(spark):
+    huge = by_hand(4_194_304, 4_194_304, media.STORED, b"abcd")
+    bomb = by_hand(1000, 1, media.DEFLATE, zlib.compress(bytes(50_000_000)))
+    lies = by_hand(60_000, 60_000, media.LZW, b"ab", count=4_000_000_000)
+    wrong = bytearray(zlib.compress(b"x" * 100))
+    wrong[-1] ^= 1  # a checksum that does not hold
+    df = spark.createDataFrame([(1, huge), (2, bomb), (3, lies), (4, by_hand(100, 1, media.DEFLATE, bytes(wrong)))], "id long, media binary")
+    got = {r.id: r for r in media.tiff_pages(df).collect()}
+    assert len(got) == 4 and all(got[k].error and got[k].samples is None for k in (1, 3, 4))
+    assert got[2].error is None and got[2].samples == bytes(1000)
+
+
 def test_planar_pages():
     page = np.arange(2 * 6 * 5, dtype=np.uint8).reshape(2, 6, 5)
     blob = media.write_tiff([page.reshape(12, 5)], media.STORED, 1, rows_per_strip=6)
