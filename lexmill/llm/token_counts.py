@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 
 BLANK = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHE_WORDS = 500_000
+#: Words that a worker remembers, each shorter than CACHE_LENGTH.
+CACHE_WORDS, CACHE_LENGTH = 500_000, 64
 
 
 @dataclass(frozen=True)
@@ -54,7 +55,7 @@ class _Words(dict):
 
     def __missing__(self, word: str) -> int:
         found = self.search(BLANK + word)
-        if len(self) < CACHE_WORDS:  # frequent words come early and stay
+        if len(word) < CACHE_LENGTH and len(self) < CACHE_WORDS:  # frequent words come early and stay
             self[word] = found
         return found
 
