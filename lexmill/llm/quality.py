@@ -7,7 +7,8 @@ takes the smaller compressed size against the length, and the length.
 `score` compresses each whole text with both dictionaries: no shuffle, bounded memory.
 
 The sample of labelled rows is bounded: about `per_class` texts of each class, drawn by the hash of
-the key, of at most `longest` bytes each; half of them build the dictionaries and half calibrate.
+the key, of at most `longest` bytes each and about SAMPLE_BYTES together, however often keys repeat;
+half of them build the dictionaries and half calibrate.
 Scoring has no bound. Defined results: a null text scores as an empty one, which both dictionaries compress to almost nothing;
 labels other than 0 and 1 are ignored; a key with several labels is used once for each of them; without
 labelled texts of both classes every score is 0.5; equal texts get equal scores; other columns are
@@ -24,9 +25,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.tables import as_bytes, hash_fraction
+from lexmill.llm.tables import as_bytes, drop_kept, hash_fraction, keep, listed
 
-PER_CLASS, LONGEST = 2000, 65536
+PER_CLASS, LONGEST, SAMPLE_BYTES = 2000, 65536, 1 << 26
 DICTIONARY_BYTES, LEVEL = 32768, 3
 #: Bytes added to lengths, so that the shortest texts do not stand far out.
 LEAST = 16
@@ -82,11 +83,13 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         return Model(b"", b"")
     share = F.create_map(*(F.lit(x) for one, n in sizes.items() for x in (one, min(1.0, per_class / n))))
     drawn = wanted.filter(hash_fraction(F.col("key"), 6) < share[F.col("label")]).withColumn("half", hash_fraction(F.col("key"), 7) < 0.5)
-    drawn = drawn.distinct()
-    if (n := drawn.count()) > 8 * per_class:
-        raise ValueError(f"{n} labelled keys were drawn: keys repeat too often for a bounded sample")
     texts = docs.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("text")).filter(F.octet_length("text").between(1, longest))
-    rows = texts.join(F.broadcast(drawn), "key").orderBy("key", "label", "text").collect()
+    found = keep(texts.join(listed(keep(drawn.distinct())), "key").distinct())
+    # keys that repeat bring more rows than were drawn: then a share of them by their own hash
+    n, size = found.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    share = min(1.0, 4 * per_class / max(1, n), SAMPLE_BYTES / max(1, size))
+    rows = found.filter(hash_fraction(F.concat(F.col("key").cast("string"), F.lit(" "), F.xxhash64("text").cast("string")), 8) < share).orderBy("key", "label", "text").collect()
+    drop_kept(docs.sparkSession, found)
     parts = {(c, h): [bytes(r["text"]) for r in rows if r["label"] == c and r["half"] == h] for c in (0, 1) for h in (True, False)}
     if not all(parts.values()):
         return Model(b"", b"")

@@ -38,6 +38,30 @@ def test_language_without_training(spark):
     assert language.predict(cases.empty(spark), model).count() == 0
 
 
+def test_shares_match_a_search_over_all_mixtures():
+    """The likelihood that expectation-maximisation reaches, against every mixture of a fine grid."""
+    import numpy as np
+
+    rng = random.Random(22)
+    alphabets = ("abcde", "defgh", "klmno")
+    say = lambda k, n: " ".join("".join(rng.choices(alphabets[k], k=5)) for _ in range(n))
+    table = np.full((3, language.BUCKETS), 0.1)
+    for k in range(3):
+        table[k] += np.bincount(language.trigram_buckets(say(k, 3000).encode()), minlength=language.BUCKETS)
+    model = language.Model(["a", "b", "c"], np.log(table / table.sum(axis=1, keepdims=True)))
+    for parts in ((50, 0, 0), (30, 70, 0), (40, 40, 40), (5, 100, 60), (400, 0, 8)):
+        text = " ".join(say(k, n) for k, n in enumerate(parts)).encode()
+        counts = np.bincount(language.trigram_buckets(text), minlength=language.BUCKETS)
+        p = np.exp(model.log_p)
+        fit = lambda share: float(np.log(share @ p) @ counts)
+        penal = lambda share: language.PENALTY * np.log(counts.sum() + 1) * (np.count_nonzero(share) - 1)
+        grid = [np.array([i, j, 50 - i - j]) / 50 for i in range(51) for j in range(51 - i)]
+        best = max(grid, key=lambda share: fit(share) - penal(share))
+        share, _ = model.proportions(text)
+        assert set(np.flatnonzero(share)) == set(np.flatnonzero(best)) and np.abs(share - best).max() < 0.03
+        assert fit(share) - penal(share) >= fit(best) - penal(best) - 0.5
+
+
 # --- quality ----------------------------------------------------------------------------------------
 
 
@@ -51,6 +75,35 @@ def test_quality_on_held_out_documents(spark):
     assert auc > 0.9
 
 
+def test_quality_sample_is_bounded_where_keys_repeat(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(k % 4, cases.words(rng, 30)) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(4)], "doc_id long, quality int")
+    seen = []
+    built = quality._dictionary
+    monkeypatch.setattr(quality, "_dictionary", lambda samples: seen.extend(samples) or built(samples))
+    monkeypatch.setattr(quality, "hash_fraction", lambda key, seed=0: F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1000)) / F.lit(1000.0))
+    quality.fit(docs, labels, per_class=10)
+    assert len(seen) <= 80
+
+
+def test_quality_score_is_the_calibrated_sizes(spark):
+    """Scores of whole and very long texts against the sizes that zstandard gives, computed apart."""
+    import numpy as np
+    import zstandard
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.fit(docs, labels)
+    texts = ["", "word", "x" * 2_000_000, *(r.text for r in docs.limit(40).collect())]
+    got = {r.doc_id: r for r in quality.score(cases.frame(spark, texts), model).collect()}
+    for k, t in enumerate(texts):
+        data = (t or "").encode()
+        g, b = (len(zstandard.ZstdCompressor(level=quality.LEVEL, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False, write_dict_id=False).compress(data)) for d in (model.good, model.bad))
+        x = np.array([1.0, (b - g) / (b + g), min(b, g) / (len(data) + 16), np.log(len(data) + 16)]) @ model.weights
+        assert abs(got[k].score - 1 / (1 + np.exp(-np.clip(x, -30, 30)))) < 1e-9 and got[k].predicted == int(got[k].score >= 0.5)
+
+
 def test_quality_edges(spark):
     docs = cases.frame(spark)
     none = quality.fit(docs, spark.createDataFrame([], "doc_id long, quality int"))
@@ -90,6 +143,15 @@ def test_count_ties_and_unknown_runs():
         assert counter.text(t) == len(library.encode(t).ids), t
 
 
+def test_long_words_are_not_remembered():
+    from lexmill.llm.token_counts import CACHE_LENGTH, Counter, piece_vocabulary
+
+    counter = Counter(piece_vocabulary(VOCABULARY))
+    long = "x" * 2_000
+    assert counter.text(f"a {long} b {long}") == counter.text("a") + 2 * counter.text(long) + counter.text("b")
+    assert all(len(w) < CACHE_LENGTH for w in counter.cache)
+
+
 # --- licenses ---------------------------------------------------------------------------------------
 
 
