@@ -18,8 +18,9 @@ anchor suffixes are sorted:
    of SHALLOW bytes; what remains are groups with that common prefix. Small groups are compared
    directly, larger ones are ordered by blind tries, once by what follows the anchor and once by
    what precedes it, backwards. Equal windows are those that share a class in both orders.
-4. A group with more than GROUP different pieces is never held: its pieces go by window hash to a
-   Spark aggregation that finds each window's first occurrence (same results, no limit).
+4. A group with more than GROUP different pieces is never held: its pieces go by the windows' 128-bit
+   hashes to a Spark aggregation that finds each window's first occurrence, so there is no limit. A
+   string that very many texts share sends one row for each batch of texts to one task, which streams.
 
 Defined results: null and empty texts have 0 bytes and nothing removed; texts under LENGTH bytes
 lose nothing; rows that repeat key and text are one document and get the same result each; different
@@ -41,8 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexmill.llm.hashing import BYTE, MIX_A, MIX_B, blocks, mix
-from lexmill.llm.near_duplicates import _cells, _whole_cells
-from lexmill.llm.tables import as_bytes, keep, release, shuffles_go
+from lexmill.llm.tables import as_bytes, drop_kept, keep, release, shuffles_go
 
 #: Bytes of a repeated string, of an anchor's own string, and window starts that share an anchor at most.
 LENGTH, SHALLOW = 100, 32
@@ -131,12 +131,22 @@ def recurring_anchors(rows: DataFrame) -> DataFrame:
         release()
 
     def meet(batches):
-        for table in _whole_cells(batches, 1):
-            edges = _cells(table, 1)
-            anchor = table["anchor"].to_numpy()
-            size = np.diff(edges)
-            again = np.repeat((size > 1) | (np.maximum.reduceat(anchor & 3, edges[:-1]) > ONE), size)
-            yield pa.RecordBatch.from_arrays([pa.array(table["id"].to_numpy()[again]), pa.array(anchor[again] >> 2)], names=["id", "anchor"])
+        """Of rows in order of their hash those that have a neighbour with it or stand for several. Only a
+        batch's last row may have to wait for the next batch, so no hash is ever held whole."""
+        names = ["id", "anchor"]
+        before, waiting = None, np.zeros((3, 0), np.int64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            h, ids, anchor = rows = np.concatenate([waiting, [c.to_numpy() for c in batch.columns]], axis=1)
+            again = (anchor & 3) > ONE
+            same = h[1:] == h[:-1]
+            again[1:] |= same
+            again[:-1] |= same
+            again[0] |= h[0] == before
+            waiting = rows[:, -1:] if not again[-1] else rows[:, :0]
+            before = h[-1] if again[-1] else None
+            yield pa.RecordBatch.from_arrays([pa.array(ids[again]), pa.array(anchor[again] >> 2)], names=names)
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = rows.mapInArrow(find, "hash long, id long, anchor long").repartition(parts, "hash").sortWithinPartitions("hash")
@@ -405,16 +415,17 @@ def judge_windows(large: DataFrame) -> DataFrame:
     def windows(batches):
         for batch in batches:
             for i, j in blocks(pc.binary_length(batch.column(4)).to_pylist(), 1 << 20):
-                h, ids, at = [], [], []
+                marks, ids, at = [], [], []
                 for id_, begin, end, piece in zip(*(batch.column(k)[i:j].to_pylist() for k in (0, 1, 2, 4))):
-                    h += [xxhash.xxh3_64_intdigest(piece[k : k + LENGTH]) - (1 << 63) for k in range(end - begin)]
+                    marks += [xxhash.xxh3_128_digest(piece[k : k + LENGTH]) for k in range(end - begin)]
                     ids += [id_] * (end - begin)
                     at += range(begin, end)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (h, ids, at)], names=["h", "id", "at"])
+                both = np.frombuffer(b"".join(marks), np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (both[:, 0], both[:, 1], ids, at)], names=["h", "g", "id", "at"])
 
-    each = keep(large.mapInArrow(windows, "h long, id long, at long"))
-    first = each.groupBy("h").agg(F.min(F.struct("id", "at")).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    later = each.join(first, "h").filter(F.struct("id", "at") != F.col("first"))
+    each = keep(large.mapInArrow(windows, "h long, g long, id long, at long"))
+    first = each.groupBy("h", "g").agg(F.min(F.struct("id", "at")).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    later = each.join(first, ["h", "g"]).filter(F.struct("id", "at") != F.col("first"))
     return later.select("id", F.col("at").alias("begin"), (F.col("at") + LENGTH).alias("end"))
 
 
@@ -440,21 +451,29 @@ def _cut(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "id long, n_removed long, kept binary, n_spans long")
 
 
-def _repeats(rows: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
-    """(id, intervals) and the bucketed (id, text) that they cut, for rows (id, text) of unique ids."""
+def _shortened(rows: DataFrame, most: int, finish) -> DataFrame:
+    """finish(id, n_removed, kept, n_spans) of the texts that lose something, for rows (id, text) of unique ids.
+
+    finish is narrow or has shortened texts only; it is written, and the tables that led to it go.
+    """
     spark = rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = keep(recurring_anchors(rows).groupBy("id").agg(F.collect_list("anchor").alias("anchors")))
     name = f"lexmill_texts_{uuid.uuid4().hex}"
     with shuffles_go(spark):
         rows.join(found, "id").write.option("compression", "zstd").bucketBy(parts, "id").saveAsTable(name, format="parquet")
+    drop_kept(spark, found)
     texts = spark.table(name)
     judged = keep(sort_pieces(cut_pieces(texts), most))
     intervals = judged.filter("piece is null").select("id", "begin", "end")
     large = judged.filter("piece is not null")
-    if large.limit(1).count():
+    if not large.isEmpty():
         intervals = intervals.unionByName(judge_windows(large))
-    return intervals.groupBy("id").agg(F.collect_list(F.struct("begin", "end")).alias("intervals")), texts.select("id", "text")
+    grouped = intervals.groupBy("id").agg(F.collect_list(F.struct("begin", "end")).alias("intervals"))
+    out = keep(finish(_cut(texts.select("id", "text").join(grouped, "id").select("id", "text", "intervals"))))
+    drop_kept(spark, judged)
+    spark.sql(f"DROP TABLE {name}")
+    return out
 
 
 def _tagged(df: DataFrame, key: str, text: str) -> tuple[DataFrame, str, bool]:
@@ -475,12 +494,11 @@ def _tagged(df: DataFrame, key: str, text: str) -> tuple[DataFrame, str, bool]:
     return keep(joined.select(*(df[c] for c in df.columns), numbers[name])), name, False
 
 
-def _cut_texts(tagged: DataFrame, name: str, text: str, once: bool, most: int) -> DataFrame:
+def _cut_texts(tagged: DataFrame, name: str, text: str, once: bool, most: int, finish) -> DataFrame:
     documents = tagged.select(F.col(name).alias("id"), as_bytes(text).alias("text"))
     if not once:
         documents = documents.dropDuplicates(["id"])
-    intervals, texts = _repeats(documents, most)
-    return _cut(texts.join(intervals, "id").select("id", "text", "intervals"))
+    return _shortened(documents, most, finish)
 
 
 def removed_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", most: int = GROUP) -> DataFrame:
@@ -492,7 +510,7 @@ def removed_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", most
             digests = [hashlib.sha256(k.as_py()).hexdigest() for k in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), pa.array(digests, pa.string())], names=["id", "n_removed", "n_spans", "kept_sha256"])
 
-    changed = _cut_texts(tagged, name, text, once, most).mapInArrow(digest, "id long, n_removed long, n_spans long, kept_sha256 string")
+    changed = _cut_texts(tagged, name, text, once, most, lambda cut: cut.mapInArrow(digest, "id long, n_removed long, n_spans long, kept_sha256 string"))
     data = as_bytes(text)
     facts = tagged.select(F.col(name).alias("id"), F.col(key).alias("key"), F.octet_length(data).cast("long").alias("n_bytes"), F.sha2(data, 256).alias("sha"))
     none = F.lit(0).cast("long")
@@ -510,6 +528,6 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", most:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([k.as_py().decode("utf-8", "ignore") for k in batch.column(2)], pa.string())], names=["id", "kept"])
 
-    kept = _cut_texts(tagged, name, text, once, most).filter("n_removed > 0").mapInArrow(decode, "id long, kept string")
+    kept = _cut_texts(tagged, name, text, once, most, lambda cut: cut.filter("n_removed > 0").mapInArrow(decode, "id long, kept string"))
     joined = tagged.join(kept.select(F.col("id").alias(name), F.col("kept").alias(f"{name}_kept")), name, "left")
     return joined.select(*(F.coalesce(f"{name}_kept", c).alias(c) if c == text else F.col(c) for c in df.columns))

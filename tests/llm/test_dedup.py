@@ -40,6 +40,22 @@ def test_small_limits_give_the_same(spark):
     assert as_repeats(suffix_dedup.removed_repeats(df, most=1)) == brute_repeats([(r.doc_id, r.text) for r in df.collect()])
 
 
+def test_recurring_anchors_over_batch_edges(spark):
+    rng = random.Random(17)
+    common = cases.words(rng, 60)[:160]
+    rows = [(k, cases.words(rng, 20) + common + cases.words(rng, 20) if k % 3 else common * 3) for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_repeats(rows)
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in ("1", "2", "7"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            assert as_repeats(suffix_dedup.removed_repeats(df)) == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("lexmill_texts_")]
+
+
 def test_groups_too_large_to_hold_give_the_same(spark):
     rng = random.Random(3)
     common = cases.words(rng, 20)[:105]
