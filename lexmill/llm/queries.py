@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.llm import decontaminate, language, licenses, media, near_duplicates, packing, quality, suffix_dedup, token_counts, url_filters
-from lexmill.llm.tables import documents
+from lexmill.llm.tables import documents, keep
 
 
 def _tokenizer(name: str) -> str:
@@ -67,7 +67,7 @@ def _captures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _list(captures: DataFrame) -> DataFrame:
     host = F.lower(F.regexp_extract("url", url_filters.HOST, 1))
-    hosts = captures.select(host.alias("host")).filter("host != ''").distinct()
+    hosts = keep(captures.select(host.alias("host")).filter("host != ''").distinct())
     digit = lambda k: F.conv(F.substring(F.md5("value"), k, 2), 16, 10).cast("int")
     values = hosts.select(F.lit("host").alias("rule"), F.col("host").alias("value")).union(
         hosts.select(F.lit("domain").alias("rule"), F.regexp_extract("host", r"([^.]+\.[^.]+\.[^.]+)$", 1).alias("value")).filter("value != ''").distinct()

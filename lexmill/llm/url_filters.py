@@ -4,11 +4,12 @@ Dated list entries (add or remove a host, a domain with its subdomains, or a pat
 become validity intervals: each add lasts until the next entry of the same rule. Every capture is
 evaluated as of its fetch time against the entries then active.
 
-The captures' distinct hosts are found first (summed before the shuffle), so a host with a third of
-all captures costs the list side one row; their suffixes are joined with the intervals, and each
-host's intervals come back as one array that is bounded by the list, not by the captures. The
-captures then take one join on host and a salt of SALTS values, which deals a hot host out to as many
-tasks; the few host rows are repeated for each salt, captures never.
+The captures' distinct hosts are counted first (summed before the shuffle), so a host with a third of
+all captures costs the list side one row; their suffixes are joined with the host and domain rules,
+and each host's intervals come back as an array no longer than its labels times a rule's changes.
+Prefix rules, of which one host may have very many, meet by equality: a capture's path is cut at the
+different lengths of its host's prefixes, and the cuts join the intervals. A join on host deals a
+host with over PER_TASK captures out to as many tasks as it needs, by a salt from its count.
 
 Defined results: a capture with a null URL, a URL without a host or a null time matches nothing and
 is kept with blocked = false; list entries with a null date, rule or value are ignored; at equal
@@ -19,10 +20,13 @@ n_rules and first_rule, so clashing names of other columns play no part.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SALTS = 16
+from lexmill.llm.tables import keep, listed
+
+#: Captures of one host that one task takes.
+PER_TASK = 200_000
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
 PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^#]*)"
 
@@ -44,6 +48,10 @@ def validity(entries: DataFrame) -> DataFrame:
     )
 
 
+def _active(intervals: Column | str, at: Column) -> Column:
+    return F.filter(intervals, lambda e: (e["valid_from"] <= at) & (e["valid_to"].isNull() | (at < e["valid_to"])))
+
+
 def evaluate(captures: DataFrame, entries: DataFrame, key: str = "page_id", url: str = "url", fetched: str = "fetched") -> DataFrame:
     """(key, host, blocked, n_rules, first_rule) for every capture, as of its fetch time."""
     seen = captures.select(
@@ -52,31 +60,39 @@ def evaluate(captures: DataFrame, entries: DataFrame, key: str = "page_id", url:
         F.regexp_extract(F.col(url), PATH, 1).alias("path"),
         F.col(fetched).cast("timestamp").alias("at"),
     )
-    hosts = seen.filter("host != ''").select("host").distinct()
+    hosts = keep(seen.filter("host != ''").groupBy("host").agg(F.ceil(F.count("*") / PER_TASK).cast("int").alias("parts")))
     suffixes = hosts.withColumn("labels", F.split("host", r"\.")).select(
         "host",
         F.explode(F.transform(F.sequence(F.lit(1), F.size("labels")), lambda k: F.array_join(F.slice("labels", k, F.size("labels")), "."))).alias("suffix"),
     )
-    intervals = validity(entries)
+    intervals = keep(validity(entries))
+    prefixes = intervals.filter("rule = 'prefix'").withColumnRenamed("path", "prefix").drop("rule")
     same = (F.col("rule") == "domain") | (F.col("host") == F.col("suffix"))
-    active = F.struct("name", "path", "valid_from", "valid_to")
-    by_host = (
-        suffixes.join(intervals.withColumnRenamed("host", "suffix"), "suffix")
+    of_host = (
+        suffixes.join(intervals.filter("rule != 'prefix'").withColumnRenamed("host", "suffix"), "suffix")
         .filter(same)
         .groupBy("host")
-        .agg(F.array_sort(F.collect_list(active)).alias("intervals"))
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        .agg(F.collect_list(F.struct("name", "valid_from", "valid_to")).alias("intervals"))
     )
-    salted = seen.withColumn("salt", F.pmod(F.xxhash64("key", "path", "at"), F.lit(SALTS)).cast("int"))
+    lengths = prefixes.groupBy("host").agg(F.collect_set(F.length("prefix")).alias("lengths"))
+    salt = lambda parts: F.explode(F.sequence(F.lit(0), parts - 1)).alias("salt")
+    by_host = hosts.join(of_host, "host", "left").join(lengths, "host", "left").filter("intervals is not null or lengths is not null").select("host", "intervals", "lengths", salt(F.col("parts")))
+
+    # only hosts of several parts need be known before the join
+    wide = seen.join(listed(hosts.filter("parts > 1")), "host", "left")
+    salted = wide.withColumn("salt", F.pmod(F.xxhash64("key", "path", "at"), F.coalesce("parts", F.lit(1))).cast("int"))
     joined = salted.join(by_host, ["host", "salt"], "left")
-    hits = F.filter(
-        F.coalesce("intervals", F.array().cast(joined.schema["intervals"].dataType)),
-        lambda e: (e["valid_from"] <= F.col("at")) & (e["valid_to"].isNull() | (F.col("at") < e["valid_to"])) & F.coalesce(F.startswith(F.col("path"), e["path"]), F.lit(False)),
-    )
-    return joined.withColumn("hits", hits).select(
-        F.col("key").alias(key),
-        "host",
-        (F.size("hits") > 0).alias("blocked"),
-        F.size("hits").alias("n_rules"),
-        F.try_element_at(F.transform("hits", lambda e: e["name"]), F.lit(1)).alias("first_rule"),
+    own = F.coalesce(_active("intervals", F.col("at")), F.array().cast(joined.schema["intervals"].dataType))
+    found = joined.select("key", "host", "path", "at", "lengths", own.alias("own")).select(
+        "key", "host", "path", "at", "lengths", F.size("own").alias("n_own"), F.array_min(F.transform("own", lambda e: e["name"])).alias("first_own")
     )
+    if prefixes.isEmpty():
+        found = found.withColumns({"n_prefix": F.lit(0), "first_prefix": F.lit(None).cast("string")})
+    else:
+        cut = found.filter("lengths is not null and at is not null").select("host", "path", "at", "lengths").distinct()
+        cut = cut.withColumn("length", F.explode("lengths")).filter(F.length("path") >= F.col("length")).select("host", "path", "at", F.substring("path", F.lit(1), F.col("length")).alias("prefix"))
+        then = (F.col("valid_from") <= F.col("at")) & (F.col("valid_to").isNull() | (F.col("at") < F.col("valid_to")))
+        hits = cut.join(listed(prefixes), ["host", "prefix"]).filter(then).groupBy("host", "path", "at").agg(F.count("*").cast("int").alias("n_prefix"), F.min("name").alias("first_prefix"))
+        found = found.join(hits, ["host", "path", "at"], "left")
+    n = F.col("n_own") + F.coalesce("n_prefix", F.lit(0))
+    return found.select(F.col("key").alias(key), "host", (n > 0).alias("blocked"), n.cast("int").alias("n_rules"), F.least("first_own", "first_prefix").alias("first_rule"))

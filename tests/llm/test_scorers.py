@@ -264,6 +264,33 @@ def test_url_filters_as_of(spark):
     assert url_filters.evaluate(df.limit(0), listed).count() == 0
 
 
+def test_many_prefixes_and_captures_of_one_host(spark, monkeypatch):
+    """Against a plain loop over the list, with a host that has many of both."""
+    monkeypatch.setattr(url_filters, "PER_TASK", 50)
+    rng = random.Random(5)
+    day = lambda k: f"2024-{1 + k // 28:02d}-{1 + k % 28:02d}"
+    entries = [("prefix", f"big.org/{k % 5000:x}", rng.choice(("add", "add", "remove")), day(rng.randrange(300))) for k in range(20_000)]
+    entries += [("domain", "org", "add", day(100)), ("host", "big.org", "add", day(200)), ("prefix", "big.org", "add", day(250)), ("prefix", "other.org/" + "p" * 5000, "add", day(0))]
+    captures = [(k, f"https://big.org/{rng.randrange(8000):x}/x" if k % 3 else "https://other.org/" + "p" * rng.choice((4999, 5000, 6000)), day(rng.randrange(330))) for k in range(600)]
+    got = {r.page_id: r for r in url_filters.evaluate(spark.createDataFrame(captures, "page_id long, url string, fetched string"), spark.createDataFrame(entries, "rule string, value string, action string, dated string")).collect()}
+
+    changes = {}
+    for rule, value, action, dated in entries:
+        at = changes.setdefault((rule, value), {})
+        at[dated] = max(action, at.get(dated, ""))
+    for page, url, fetched in captures:
+        host, path = url[8:].split("/", 1)
+        active = []
+        for (rule, value), dated in changes.items():
+            on = [d for d in dated if d <= fetched]
+            match = host == value or rule == "domain" and host.endswith("." + value)
+            if rule == "prefix":
+                match = (host + "/" + path).startswith(value) and host == value.split("/")[0]
+            if match and on and dated[max(on)] == "add":
+                active.append(f"{rule}:{value}")
+        assert (got[page].n_rules, got[page].first_rule, got[page].blocked) == (len(active), min(active, default=None), bool(active)), url[:40]
+
+
 # --- decontamination --------------------------------------------------------------------------------
 
 
