@@ -49,6 +49,8 @@ LENGTH, SHALLOW = 100, 32
 SPAN = LENGTH - SHALLOW + 1
 #: Different pieces of a group in memory at most; groups up to SMALL are compared pair by pair.
 GROUP, SMALL = 20_000, 12
+#: Rows that the quicksort does not part any further.
+FEW = 64
 #: Bits of a position within a block, and window starts of a part of a very long text.
 _POSITION = 20
 _PART = 1_000_000
@@ -277,23 +279,26 @@ def common_prefix(a: bytes, b: bytes) -> int:
 
 
 def shallow_order(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Multikey quicksort, a level of eight bytes at a time: the order of the rows of keys, and where
-    groups of equal rows begin. Only rows that are still together are compared at the next level."""
-    n = len(keys)
-    order, group = np.arange(n), np.zeros(n, np.int64)
-    for level in range(keys.shape[1]):
-        size = np.bincount(group)
-        open_ = np.flatnonzero(size[group] > 1)
-        if not len(open_):
-            break
-        rows = order[open_]
-        ranked = np.lexsort((keys[rows, level], group[open_]))
-        order[open_] = rows[ranked]
-        word = keys[order, level]
-        new = np.ones(n, bool)
-        new[1:] = (group[1:] != group[:-1]) | ((word[1:] != word[:-1]) & (size[group[1:]] > 1))
-        group = np.cumsum(new) - 1
-    return order, np.concatenate([np.flatnonzero(np.diff(group, prepend=-1)), [n]])
+    """Multikey quicksort of the rows of keys, whose columns hold eight bytes each: the order of the
+    rows, and where groups of equal rows begin. Rows are parted by a pivot of one column into smaller,
+    equal and larger ones; only the equal ones go on to the next column. Few rows are sorted at once.
+    """
+    n, depth = keys.shape
+    order, done, stack = np.empty(n, np.int64), 0, [(np.arange(n), 0)]
+    while stack:
+        rows, level = stack.pop()
+        if level < depth and len(rows) > FEW:
+            word = keys[rows, level]
+            pivot = np.sort(word[[0, len(word) // 2, -1]])[1]
+            parts = ((word > pivot, level), (word == pivot, level + 1), (word < pivot, level))
+            stack += [(rows[mask], at) for mask, at in parts if mask.any()]
+            continue
+        if level < depth and len(rows) > 1:
+            rows = rows[np.lexsort(keys[rows, level:].T[::-1])]
+        order[done : done + len(rows)] = rows
+        done += len(rows)
+    ranked = keys[order]
+    return order, np.concatenate([[0], np.flatnonzero((ranked[1:] != ranked[:-1]).any(axis=1)) + 1, [n]])
 
 
 def repeated_windows(pieces: list[bytes], left: np.ndarray, windows: np.ndarray) -> list[tuple[int, int, int]]:

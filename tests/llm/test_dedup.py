@@ -113,6 +113,21 @@ def test_empty_texts_before_a_very_long_one(spark):
         assert got[2][1] == 650 and got[3][1] == 300
 
 
+@pytest.mark.parametrize("few", (1, 64))
+def test_shallow_order_sorts(few, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(suffix_dedup, "FEW", few)
+    rng = np.random.default_rng(few)
+    for n, values in ((1, 2), (2, 1), (500, 2), (2000, 5), (700, 1 << 60)):
+        keys = rng.integers(0, values, (n, 4)).astype(np.uint64)
+        order, edges = suffix_dedup.shallow_order(keys)
+        rows = [tuple(r) for r in keys.tolist()]
+        assert order.tolist() == sorted(range(n), key=lambda k: (rows[k], k))
+        ranked = [rows[k] for k in order]
+        assert edges.tolist() == [k for k in range(n) if not k or ranked[k] != ranked[k - 1]] + [n]
+
+
 def test_blind_trie_orders():
     rng = random.Random(1)
     strings = [bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 12))) for _ in range(200)]
