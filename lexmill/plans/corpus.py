@@ -191,6 +191,11 @@ def p12_html_unescape(spark, d) -> DataFrame:
     return table(spark, d, "pages").select("page_id", F.length(markup.html_plain("html")).alias("chars"))
 
 
+#: The entities of the pages, those of the ampersand without a semicolon too, in one pass.
+_ENTITIES = "regexp_replace(replace(replace(replace(regexp_replace(html, '<[^>]+>', '', 'g'), '&copy;', '©'), '&middot;', '·'), '&quot;', chr(34)), '&amp;?', '&', 'g')"
+P12_LENGTH = f"SELECT page_id, CAST(length(regexp_replace(regexp_replace({_ENTITIES}, '\\n{{3,}}', chr(10) || chr(10), 'g'), '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g')) AS INTEGER) AS chars FROM pages"
+
+
 def p15_sanitize(spark, d) -> DataFrame:
     return table(spark, d, "pages").select("page_id", fm.sanitize_name(F.concat("url", F.lit("|"), F.substring("html", 1, 200))).alias("name"))
 
@@ -456,7 +461,7 @@ QUERIES = {f.__name__: f for f in (
     j1_article_table, j2_diff_articles, j3_line_diff, j4_changed_documents, j5_manifest_diff, j6_diff_files, j7_file_profile, j8_report, s12_report_markdown, s12_report_subject, v1_duplicates, v2_empty_documents, v3_orphans,
 )}
 ORACLES = {
-    "p1_split_header": P1, "p2_p3_header_values": P2, "p4_header_map": P4, "p5_manifest": P5, "p7_p8_articles": P7, "p9_p10_annex_names": P9, "p11_refs": P11, "p12_html_plain": P12, "p13_table_rows": P13, "p14_clean_converted": P14, "c9_deleted_annexes": C9, "c12_annex_chunks": C12_ANNEX, "p15_sanitize": P15, "p16_sniff": P16,
+    "p1_split_header": P1, "p2_p3_header_values": P2, "p4_header_map": P4, "p5_manifest": P5, "p7_p8_articles": P7, "p9_p10_annex_names": P9, "p11_refs": P11, "p12_html_plain": P12, "p12_html_unescape": P12_LENGTH, "p13_table_rows": P13, "p14_clean_converted": P14, "c9_deleted_annexes": C9, "c12_annex_chunks": C12_ANNEX, "p15_sanitize": P15, "p16_sniff": P16,
     "c1_split_articles": C1, "c2_fallback_heading": C2, "c3_drop_deleted": C3, "c4_c6_split_long": C4, "c5_oversize_paragraphs": C5, "c7_annex_segments": C7, "c8_pack_index": C8, "c10_attach_parent": C10, "c11_article_links": C11, "c12_chunks": C12, "c13_chunk_stats": C13, "c14_index_scope": C14,
     "j1_article_table": J1, "j2_diff_articles": J2, "j3_line_diff": J3, "j4_changed_documents": J4, "j5_manifest_diff": J5, "j6_diff_files": J6, "j7_file_profile": J7, "j8_report": J8, "s12_report_subject": S12, "v1_duplicates": V1, "v2_empty_documents": V2, "v3_orphans": V3,
 }

@@ -172,10 +172,19 @@ def embedded(spark: SparkSession, d: str) -> DataFrame:
 
 
 def r4_embed(spark: SparkSession, d: str) -> DataFrame:
-    return embedded(spark, d).select("doc_id", F.size("embedding").alias("dim"))
-
-
-R4 = "SELECT doc_id, CAST(32 AS INTEGER) AS dim FROM documents"
+    """The sign of each value, and the first of the greatest ones: exact, whatever the rounding of a length is."""
+    sign = lambda x: F.when(x > 0, "+").when(x < 0, "-").otherwise("0")
+    size = F.transform("embedding", lambda x: F.abs(x))
+    return embedded(spark, d).select("doc_id", F.size("embedding").alias("dim"), F.array_join(F.transform("embedding", sign), "").alias("signs"), F.array_position(size, F.array_max(size)).cast("int").alias("greatest"))
+
+
+#: Signed counts of hashed byte trigrams, by 32 bits arithmetic.
+R4 = """WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+grams AS (SELECT doc_id, CAST('0x' || substr(h, 2 * i + 1, 6) AS BIGINT) AS x FROM (SELECT doc_id, h, unnest(generate_series(0, length(h) // 2 - 3)) AS i FROM b WHERE length(h) >= 6)),
+hashed AS (SELECT doc_id, ((x >> 16) * 65599 + ((x >> 8) & 255) * 257 + (x & 255)) * 2654435761 % 4294967296 AS h FROM grams),
+counts AS (SELECT doc_id, (h >> 8) % 32 AS place, sum(CASE WHEN h & 1 = 1 THEN 1 ELSE -1 END) AS n FROM hashed GROUP BY ALL),
+every AS (SELECT doc_id, place, coalesce(n, 0) AS n FROM (SELECT doc_id, unnest(generate_series(0, 31)) AS place FROM documents) LEFT JOIN counts USING (doc_id, place))
+SELECT doc_id, CAST(count(*) AS INTEGER) AS dim, string_agg(CASE WHEN n > 0 THEN '+' WHEN n < 0 THEN '-' ELSE '0' END, '' ORDER BY place) AS signs, CAST(arg_min(place, -100 * abs(n) + place / 32.0) + 1 AS INTEGER) AS greatest FROM every GROUP BY doc_id"""
 
 
 def e12_answerable(spark: SparkSession, d: str) -> DataFrame:
