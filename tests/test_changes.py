@@ -134,3 +134,30 @@ def test_xml_records(spark):
     three = "<r><삼단비교><법률조문><조번호>0121</조번호><조가지번호>02</조가지번호><조제목>t</조제목><시행령조문목록><시행령조문>013200제132조(건강)</시행령조문><시행령조문>없음</시행령조문></시행령조문목록></법률조문></삼단비교></r>"
     links = feeds.read_three_way(spark.createDataFrame([("2", three)], "mst string, xml string"))
     assert [tuple(r) for r in reconcile.three_way_edges(links, ["mst"]).collect()] == [("2", "제121조의2", "시행령", "제132조")]
+
+
+def test_line_diff_keeps_lines_that_look_like_headings(spark):
+    df = spark.createDataFrame([("a\n-- note\nb\n++x", "a\nb"), ("--- x", "+++ y\n@@")], "o string, n string")
+    assert [r[0] for r in df.select(ch.line_diff("o", "n")).collect()] == [["--- note", "-++x"], ["---- x", "++++ y", "+@@"]]
+
+
+def test_snapshots_by_their_whole_tree_path(spark, tmp_path):
+    for state, version in (("law 1", "7"), ("law 2", "8")):
+        rows = [("law/가 나+다.md", doc(version, "x")), ("law/law/b.md", doc(version, "y"))][: 2 if state == "law 1" else 1]
+        assert sinks.write_tree(spark.createDataFrame(rows, "path string, raw string"), f"{tmp_path}/law/{state}") == len(rows)
+    old, new = src.read_snapshots(spark, {"law": f"{tmp_path}/law/law 1"}, {"law": f"file:{tmp_path}/law/law 2"})
+    key = lambda df: {(r.path, r.version_key) for r in df.collect()}
+    assert key(old) == {("law/가 나+다.md", "7"), ("law/law/b.md", "7")} and key(new) == {("law/가 나+다.md", "8")}
+    assert sinks.write_tree(spark.createDataFrame([], "path string, raw string"), str(tmp_path / "none")) == 0
+
+
+def test_rule_articles_keep_their_digits(spark):
+    rule = "<r>" + "".join(f"<조문내용> 제{k}조 {k}{k} </조문내용>" for k in range(5)) + "</r>"
+    assert feeds.rules_from_xml(spark.createDataFrame([(rule,)], "xml string")).first().body == "\n\n".join(f"제{k}조 {k}{k}" for k in range(5))
+
+
+def test_codes_pass_through(spark):
+    from lexmill.functions import frontmatter as fm
+
+    df = spark.createDataFrame([("보건복지부",), ("다른 곳",), (None,), ("",)], "m string")
+    assert [r[0] for r in df.select(fm.map_codes("m", fm.MINISTRIES)).collect()] == ["MOHW", "다른 곳", None, ""]

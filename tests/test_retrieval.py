@@ -172,3 +172,30 @@ def test_whole_texts_are_embedded(spark, sf):
     assert got.keys() == texts.keys() and any(len(t) > embeddings.CAP for t in texts.values())
     embed = embeddings.hashing_embedder(32)
     assert all(np.allclose(got[k], embed([t])[0], atol=1e-6) for k, t in texts.items())
+
+
+def test_wordings_in_several_passes(spark, monkeypatch):
+    monkeypatch.setattr(guards, "MOST_WORDINGS", 2)
+    keys = [[f"word{k}", f"other{k}"] for k in range(9)] + [["", "x"], ["50"]]
+    q = spark.createDataFrame([(1, keys)], "qid long, answer_keys array<array<string>>")
+    u = spark.createDataFrame([(1, "a word1, word 2"), (2, "OTHER3 other4 word5x"), (3, None), (4, "50 mSv")], "id long, text string")
+    assert {r.key for r in guards.missing_keys(q, u).collect()} == {f"word{k}|other{k}" for k in (0, 3, 6, 7, 8)}
+    assert guards.missing_keys(q, u.limit(0)).count() == 11
+
+
+def test_strict_names_match_a_plain_loop(spark):
+    import random
+
+    rng = random.Random(2)
+    name = lambda: "".join(rng.choices("가나다", k=rng.randint(1, 7)))
+    laws, asked = sorted({name() for _ in range(60)}), [name() for _ in range(40)]
+    u = spark.createDataFrame([(k, law, "", "") for k, law in enumerate(laws)], "id long, law string, article string, annex string")
+    q = spark.createDataFrame([(k, [x]) for k, x in enumerate(asked)], "qid long, expected_sources array<string>")
+    want = {(a, b) for a, x in enumerate(asked) for b, law in enumerate(laws) if len(law) > 3 and (x in law or law in x)}
+    assert want and {(r.qid, r.id) for r in evaluation.match_sources(q, u, mode="strict").collect()} == want
+
+
+def test_token_counts_are_the_tokens(spark):
+    rows = [("I-131 Tc-99m a xy 1.5 가나 방사선량",), (None,), ("",), ("ABC def 12",), ("가나다라마 x",), ("İstanbul K",)]
+    df = spark.createDataFrame(rows, "t string").select(F.size(lexical.tokenize("t")).alias("n"), lexical.token_count("t").alias("m"))
+    assert all(r.n == r.m for r in df.collect())
