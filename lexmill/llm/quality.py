@@ -2,8 +2,8 @@
 
 `fit` builds one zstandard dictionary from good and one from bad labelled texts. The normalised
 difference of the two compressed sizes becomes a score by a logistic curve, calibrated on other
-labelled texts; as the difference means less where a text is short or repeats itself, the curve also
-takes the smaller compressed size against the length, and the length.
+labelled texts. The difference is a sum over the text, so its noise grows with the root of the
+length, by which it is normalised; nothing else enters the score.
 `score` compresses each whole text with both dictionaries: no shuffle, bounded memory.
 
 The sample of labelled rows is bounded: about `per_class` texts of each class, drawn by the hash of
@@ -46,10 +46,10 @@ class Model:
             yield zstandard.ZstdCompressor(level=LEVEL, dict_data=one, write_content_size=False, write_dict_id=False)
 
 
-def measures(good, bad, text: bytes) -> tuple[float, float, float, float]:
-    """1; the difference, near 1 where the good dictionary helps more; the compressed share; the length."""
-    g, b, n = len(good.compress(text)), len(bad.compress(text)), len(text) + LEAST
-    return 1.0, (b - g) / (b + g), min(b, g) / n, float(np.log(n))
+def measures(good, bad, text: bytes) -> tuple[float, float]:
+    """1; the difference of the sizes against the root of the length, above 0 where the good dictionary helps more."""
+    g, b = len(good.compress(text)), len(bad.compress(text))
+    return 1.0, (b - g) / np.sqrt(len(text) + LEAST)
 
 
 def _dictionary(samples: list[bytes]) -> bytes:
