@@ -17,11 +17,15 @@ documents link when 100 * intersection >= percent * union.
 5. Verified links join the components; each document gets the least key of its component.
 
 A cell or cluster over CELL rows is cut into blocks, and each pair of blocks is a cell of its own,
-so no group is gathered in one task. Nothing is capped: the list of frequent shingles only orders.
+so no group is gathered in one task; a cell of n rows then costs n / CELL copies of each row, which
+only texts that consist of frequent shingles can reach. Nothing is capped: the list of frequent
+shingles only orders. Joins on a set with very many copies, or on a component of very many sets,
+take that key by broadcast (tables.hub_join). Only groups hold prefixes and counts, and they go once
+candidates are known; all later tables are narrow. Sets and shingles are told apart by 64-bit hashes.
 
 Defined results: null and empty texts have no shingles and stand alone; a row with a null key has a
 null component and links with nothing; rows that repeat a key are documents of their own with the
-same key; an empty table gives no rows; other columns are not read, so they cannot clash.
+same key (first_of_each tells them apart by their texts); an empty table gives no rows; other columns are not read, so they cannot clash.
 """
 
 from __future__ import annotations
