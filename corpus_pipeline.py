@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.llm import decontaminate, language, near_duplicates, packing, queries, suffix_dedup
-from lexmill.llm.tables import keep, small_batches
+from lexmill.llm.tables import drop_kept, keep, small_batches
 
 #: Least share of its main language that a kept document has.
 MAIN_LANGUAGE = 0.5
@@ -64,9 +64,11 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table; each result is written to the shared folder in between."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, written = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for _, stage in STAGES[:-1]:
         docs = keep(stage(spark, docs, sf_dir))
+        drop_kept(spark, *written)
+        written = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
