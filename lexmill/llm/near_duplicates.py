@@ -188,9 +188,23 @@ def _in_blocks(df: DataFrame, cell, node: str, parts) -> DataFrame:
     return out.withColumn("bi", F.least("side", "other")).withColumn("bj", F.greatest("side", "other")).drop("other")
 
 
-def _dealt(df: DataFrame, *cell: str) -> DataFrame:
+def _dealt(df: DataFrame, *cell: str, then: str | None = None) -> DataFrame:
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(parts, *cell).sortWithinPartitions(*cell)
+    return df.repartition(parts, *cell).sortWithinPartitions(*cell, *([then] if then else []))
+
+
+def _once(batches):
+    """Without the rows whose cell and node are those of the row before."""
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy() for c in ("cluster", "bi", "bj", "node")])
+        new = np.ones(batch.num_rows, bool)
+        new[1:] = (keys[:, 1:] != keys[:, :-1]).any(axis=0)
+        new[0] = last is None or (keys[:, 0] != last).any()
+        last = keys[:, -1]
+        yield batch.filter(pa.array(new))
 
 
 def candidate_edges(groups: DataFrame, percent: int) -> DataFrame:
@@ -251,28 +265,31 @@ def candidate_edges(groups: DataFrame, percent: int) -> DataFrame:
 def verified_edges(rows: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
     """(a, b): exact links that join the nodes of each cluster as all its exact links would.
 
-    rows (key, text); members (key, node, n, cluster): one key for each node.
+    rows (key, text, mark); members (key, mark, node, n, cluster): one key and text for each node.
     """
     # kept, so that the join below has plain exchanges on both sides and Spark can split a large cluster
     size = keep(members.groupBy("cluster").agg(F.count("*").alias("size"), F.sum("n").alias("total")).filter("size > 1"))
     wanted = members.join(size, "cluster")
-    wanted = keep(wanted.select("key", "node", "cluster", "size", "total"))
-    texts = rows.join(listed(wanted), "key")
+    wanted = keep(wanted.select("key", "mark", "node", "cluster", "size", "total"))
+    texts = rows.join(listed(wanted), ["key", "mark"])
 
     def sets(batches):
         for batch in batches:
             with np.errstate(over="ignore"):
-                found = [s.tobytes() for s in shingle_sets(batch.column(1).to_pylist(), words)]
-            same = [xxhash.xxh64_intdigest(s) - (1 << 63) == node for s, node in zip(found, batch.column(2).to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[2:], pa.array(found, pa.binary())], names=["node", "cluster", "size", "total", "set"]).filter(pa.array(same))
-
-    with_sets = texts.select("key", "text", "node", "cluster", "size", "total").mapInArrow(sets, "node long, cluster long, size long, total long, set binary")
+                found = [s.tobytes() for s in shingle_sets(batch.column(0).to_pylist(), words)]
+            # rows that repeat key and text pass once for each batch
+            nodes = batch.column(1).to_pylist()
+            first = {node: k for k, node in reversed([*enumerate(nodes)])}
+            same = [xxhash.xxh64_intdigest(s) - (1 << 63) == node and first[node] == k for k, (s, node) in enumerate(zip(found, nodes))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(found, pa.binary())], names=["node", "cluster", "size", "total", "set"]).filter(pa.array(same))
+
+    with_sets = texts.select("text", "node", "cluster", "size", "total").mapInArrow(sets, "node long, cluster long, size long, total long, set binary")
     parts = F.greatest(F.ceil(F.col("size") / CELL), F.ceil(F.col("total") / CELL_SHINGLES))
     cells = _in_blocks(with_sets, "cluster", "node", parts).select("cluster", "bi", "bj", "side", "node", "set")
-    cells = _dealt(cells, "cluster", "bi", "bj")
+    cells = _dealt(cells, "cluster", "bi", "bj", then="node")
 
     def run(batches):
-        for table in _whole_cells(batches, 3):
+        for table in _whole_cells(_once(batches), 3):
             edges, out = _cells(table, 3), []
             crossed = (table["bi"].to_numpy() != table["bj"].to_numpy())[edges[:-1]]
             sides, nodes = table["side"].to_numpy(), table["node"].to_numpy()
@@ -280,9 +297,8 @@ def verified_edges(rows: DataFrame, members: DataFrame, words: int, percent: int
                 low, high = int(edges[k]), int(edges[k + 1])
                 if high - low < 2:
                     continue
-                _, once = np.unique(nodes[low:high], return_index=True)
-                side, node = sides[low:high][once], nodes[low:high][once]
-                held = [np.frombuffer(table["set"][low + int(i)].as_py(), np.uint64) for i in once]
+                side, node = sides[low:high], nodes[low:high]
+                held = [np.frombuffer(table["set"][i].as_py(), np.uint64) for i in range(low, high)]
                 n = np.array([len(s) for s in held])
 
                 def linked(i, others):
@@ -327,8 +343,9 @@ def labelled(df: DataFrame, key: str, text: str, words: int, percent: int) -> tu
     clusters = components(candidate_edges(groups, percent))
     drop_kept(spark, groups)
     linking = base.filter("key is not null and n > 0")
-    nodes = keep(linking.groupBy("node", "n", "gid").agg(F.min("key").alias("key"), F.count("*").alias("copies")))
-    members = nodes.join(clusters.withColumnRenamed("node", "gid"), "gid", "left").select("key", "node", "n", F.coalesce("component", "gid").alias("cluster"))
+    nodes = keep(linking.groupBy("node", "n", "gid").agg(F.min(F.struct("key", "mark")).alias("first"), F.count("*").alias("copies")))
+    nodes = nodes.select("node", "n", "gid", "first.key", "first.mark", "copies")
+    members = nodes.join(clusters.withColumnRenamed("node", "gid"), "gid", "left").select("key", "mark", "node", "n", F.coalesce("component", "gid").alias("cluster"))
     linked = components(verified_edges(rows, keep(members), words, percent))
     joined = keep(nodes.join(linked, "node", "left").select("node", "copies", "key", F.coalesce("component", "node").alias("label")))
     heads = joined.groupBy("label").agg(F.min("key").alias("component_id"), F.count("*").alias("sets"))

@@ -232,6 +232,23 @@ def test_null_keys_link_with_nothing(spark):
     assert got == [(-1, None), (2, 2), (2, 2), (3, 2)]
 
 
+def test_one_key_for_many_rows(spark):
+    """A key that a third of the rows share, with equal and with different texts, does not multiply them."""
+    rng = random.Random(23)
+    base = cases.words(rng, 40).split(" ")
+    near = [" ".join([*base[:k], "other", *base[k + 1 :]]) for k in range(40)]
+    rows = [(7, t) for t in near for _ in range(5)] + [(100 + k, t) for k, t in enumerate(near)] + [(200 + k, cases.words(rng, 20)) for k in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_duplicates.jaccard_components(df).collect()
+    want = brute_components(list(enumerate(t for _, t in rows)), 5, 80)
+    assert len(got) == len(rows)
+    first = {}
+    for k, (_, c) in want.items():
+        first[c] = min(first.get(c, 1 << 60), rows[k][0])
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted((rows[k][0], n, first[c]) for k, (n, c) in want.items())
+    assert near_duplicates.first_of_each(df).count() == len(first)
+
+
 def test_one_row_of_each_component_stays(spark):
     a, b, c = ("a b c d e f g", "p q r s t u v", "k l m n o")
     rows = [(None, a, 0), (1, a, 1), (1, a, 1), (2, a, 2), (1, b, 3), (3, b, 4), (3, c, 5), (5, "", 6), (5, "", 7), (6, None, 8), (None, b, 9), (7, c, 10)]
