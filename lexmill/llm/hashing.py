@@ -29,7 +29,15 @@ def mix(x: np.ndarray) -> np.ndarray:
 BYTE = mix((np.arange(1, 257, dtype=np.uint64)) * BASE)
 
 
+#: Powers up to this are kept; longer texts have theirs made anew.
+KEPT_POWERS = 1 << 18
+
+
 @lru_cache(maxsize=4)
+def _kept_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return _powers(n)
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and its inverse, modulo 2**64."""
     inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
@@ -40,7 +48,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(1 << max(16, int(n).bit_length()))
+    return _kept_powers(1 << max(16, int(n).bit_length())) if n < KEPT_POWERS else _powers(n)
 
 
 def word_spans(buf: np.ndarray, is_space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:

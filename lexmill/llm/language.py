@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm.hashing import mix
-from lexmill.llm.tables import hash_fraction
+from lexmill.llm.tables import hash_fraction, release
 
 #: Hash buckets of the byte trigrams; languages at most; labelled texts expected per language.
 BUCKETS, MAX_LANGUAGES, SAMPLE_PER_LANGUAGE = 1 << 15, 256, 3000
@@ -135,6 +135,7 @@ def predict(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
                 scores.append(float(min(1.0, max(0.0, share[best] * odds if share[best] == 1 else share[best]))))
                 sets.append([{"lang": model.languages[k], "share": float(share[k])} for k in np.argsort(-share, kind="stable") if share[k] > 0])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(sets, pa.list_(out_type)), *batch.columns[3:]], names=["key", "lang_pred", "score", "languages", *carried])
+        release()
 
     rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"), *(F.col(c).alias(k) for c, k in zip(carry, carried)))
     rows = rows.select("key", F.col("text").cast("binary").alias("text"), F.col("text").rlike(r"\p{L}").alias("lettered"), *carried)

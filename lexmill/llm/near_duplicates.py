@@ -258,6 +258,7 @@ def candidate_edges(groups: DataFrame, percent: int) -> DataFrame:
                 a, b = np.concatenate(out_a), np.concatenate(out_b)
                 once = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(once[:, 0]), pa.array(once[:, 1])], names=["a", "b"])
+        release()
 
     return cells.mapInArrow(run, "a long, b long")
 
@@ -282,6 +283,7 @@ def verified_edges(rows: DataFrame, members: DataFrame, words: int, percent: int
             first = {node: k for k, node in reversed([*enumerate(nodes)])}
             same = [xxhash.xxh64_intdigest(s) - (1 << 63) == node and first[node] == k for k, (s, node) in enumerate(zip(found, nodes))]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(found, pa.binary())], names=["node", "cluster", "size", "total", "set"]).filter(pa.array(same))
+        release()
 
     with_sets = texts.select("text", "node", "cluster", "size", "total").mapInArrow(sets, "node long, cluster long, size long, total long, set binary")
     parts = F.greatest(F.ceil(F.col("size") / CELL), F.ceil(F.col("total") / CELL_SHINGLES))
@@ -317,6 +319,7 @@ def verified_edges(rows: DataFrame, members: DataFrame, words: int, percent: int
             if out:
                 a, b = zip(*out)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        release()
 
     return cells.mapInArrow(run, "a long, b long")
 

@@ -149,6 +149,7 @@ def recurring_anchors(rows: DataFrame) -> DataFrame:
             waiting = rows[:, -1:] if not again[-1] else rows[:, :0]
             before = h[-1] if again[-1] else None
             yield pa.RecordBatch.from_arrays([pa.array(ids[again]), pa.array(anchor[again] >> 2)], names=names)
+        release()
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = rows.mapInArrow(find, "hash long, id long, anchor long").repartition(parts, "hash").sortWithinPartitions("hash")
@@ -197,6 +198,7 @@ def cut_pieces(texts: DataFrame) -> DataFrame:
                     rows += [(xxhash.xxh3_64_intdigest(b"%d %d" % (one, a)) - (1 << 63), one, a, b, -1, None) for a, b in merged(mine)]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["route", "id", "first", "windows", "left", "piece"])
+        release()
 
     return texts.mapInArrow(run, "route long, id long, first long, windows long, left long, piece binary")
 
@@ -408,6 +410,8 @@ def sort_pieces(pieces: DataFrame, most: int = GROUP) -> DataFrame:
             held += met.values()
         if rows := [x for group in groups(held) for x in judged(group)]:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["id", "begin", "end", "left", "piece"])
+        met, held, rows = {}, [], []
+        release()
 
     parts = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = pieces.repartition(parts, "route").sortWithinPartitions("route", "id", "first")
@@ -452,6 +456,7 @@ def _cut(rows: DataFrame) -> DataFrame:
                 removed.append(len(text) - len(kept[-1]))
                 spans.append(len(cuts))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()), pa.array(spans, pa.int64())], names=["id", "n_removed", "kept", "n_spans"])
+        release()
 
     return rows.mapInArrow(run, "id long, n_removed long, kept binary, n_spans long")
 

@@ -102,10 +102,16 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def release() -> None:
-    """At the end of a task: gives Arrow's free memory back, as Python workers live on."""
+    """At the end of a task: gives free memory back to the system, as Python workers live on."""
+    import ctypes
+
     import pyarrow as pa
 
     pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def hash_fraction(key: Column, seed: int = 0) -> Column:
