@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from lexmill.llm.graph import components
 from lexmill.llm.hashing import BASE, blocks, mix, shingle_hashes, span_hashes, word_spans
-from lexmill.llm.tables import as_bytes, drop_kept, fresh, hub_join, keep, listed, release
+from lexmill.llm.tables import as_bytes, drop_kept, fresh, hub_join, keep, listed, release, sweep
 
 WORDS, PERCENT = 5, 80
 #: A shingle in so many prefixes is frequent; the list that orders has so many of them at most.
@@ -351,7 +351,7 @@ def labelled(df: DataFrame, key: str, text: str, words: int, percent: int) -> tu
     members = nodes.join(clusters.withColumnRenamed("node", "gid"), "gid", "left").select("key", "mark", "node", "n", F.coalesce("component", "gid").alias("cluster"))
     linked = components(verified_edges(rows, keep(members), words, percent))
     joined = keep(nodes.join(linked, "node", "left").select("node", "copies", "key", F.coalesce("component", "node").alias("label")))
-    heads = joined.groupBy("label").agg(F.min("key").alias("component_id"), F.count("*").alias("sets"))
+    heads = keep(joined.groupBy("label").agg(F.min("key").alias("component_id"), F.count("*").alias("sets")))
     named = keep(hub_join(joined.select("node", "copies", "label"), heads, "label", "sets", joined.count()))
     found = hub_join(linking, named, "node", "copies", base.count())
     return base.filter("key is null or n = 0").select("key", "mark", "n"), found.select("key", "mark", "n", "label", "component_id")
@@ -372,10 +372,11 @@ def first_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", words:
     """
     _, found = labelled(df, key, text, words, percent)
     pairs = keep(found.groupBy("label", "key", "mark").agg(F.count("*").alias("rows")))
-    best = pairs.groupBy("label").agg(F.min(F.struct("key", "mark")).alias("best"), F.count("*").alias("pairs"))
+    best = keep(pairs.groupBy("label").agg(F.min(F.struct("key", "mark")).alias("best"), F.count("*").alias("pairs")))
     told = hub_join(pairs, best, "label", "pairs", pairs.count())
     stays = (F.col("key") == F.col("best.key")) & (F.col("mark") == F.col("best.mark"))
     odd = keep(told.filter(~stays | (F.col("rows") > 1)).select("key", "mark", stays.alias("stays")))
+    sweep(df.sparkSession)
     mark, odd_key, odd_mark, stays = (fresh(df, c) for c in ("mark", "odd_key", "odd_mark", "stays"))
     marked = df.withColumn(mark, F.xxhash64(as_bytes(text)))
     side = listed(odd.select(F.col("key").alias(odd_key), F.col("mark").alias(odd_mark), F.col("stays").alias(stays)))

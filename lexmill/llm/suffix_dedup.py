@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexmill.llm.hashing import BYTE, MIX_A, MIX_B, blocks, mix
-from lexmill.llm.tables import as_bytes, drop_kept, keep, release, shuffles_go
+from lexmill.llm.tables import as_bytes, drop_kept, keep, release, shuffles_go, sweep
 
 #: Bytes of a repeated string, of an anchor's own string, and window starts that share an anchor at most.
 LENGTH, SHALLOW = 100, 32
@@ -483,6 +483,7 @@ def _shortened(rows: DataFrame, most: int, finish) -> DataFrame:
     out = keep(finish(_cut(texts.select("id", "text").join(grouped, "id").select("id", "text", "intervals"))))
     drop_kept(spark, judged)
     spark.sql(f"DROP TABLE {name}")
+    sweep(spark)
     return out
 
 

@@ -73,7 +73,7 @@ def drop_kept(spark: SparkSession, *frames: DataFrame) -> None:
 
 
 #: Rows of a narrow list that goes to every executor at most, and keys that count as hot at most.
-LISTED, HUBS, LEAST_HUB = 1_000_000, 4096, 256
+LISTED, HUBS, LEAST_HUB = 1_000_000, 4096, 2048
 
 
 def listed(narrow: DataFrame) -> DataFrame:
@@ -81,16 +81,31 @@ def listed(narrow: DataFrame) -> DataFrame:
     return F.broadcast(narrow) if narrow.limit(LISTED + 1).count() <= LISTED else narrow
 
 
-def hub_join(rows: DataFrame, facts: DataFrame, on: str, weight: str, total: int) -> DataFrame:
+def hub_level(total: int) -> int:
+    """Rows of a key from which it is hot among total rows."""
+    return max(LEAST_HUB, total // HUBS)
+
+
+def hub_join(rows: DataFrame, facts: DataFrame, on: str, weight: str, total: int, hubs: bool | None = None) -> DataFrame:
     """rows joined with facts, which have one row for each `on` and in `weight` the number of its rows.
 
-    A key with more than a HUBS-th of the total rows would fill one task, so it comes by broadcast;
-    there are fewer than HUBS such keys. All others are shuffled.
+    A hot key would fill one task, so it comes by broadcast; there are fewer than HUBS such keys. All
+    others are shuffled. hubs: whether there is any; None: facts is a kept table, which is asked.
     """
-    level = max(LEAST_HUB, total // HUBS)
-    hubs = F.broadcast(facts.filter(F.col(weight) > level))
-    rest = rows.join(F.broadcast(hubs.select(on)), on, "left_anti").join(facts.filter(F.col(weight) <= level), on)
-    return rows.join(hubs, on).unionByName(rest)
+    hot = F.col(weight) > hub_level(total)
+    if hubs is False or hubs is None and facts.filter(hot).isEmpty():
+        return rows.join(facts, on)
+    known = facts.select(on, *(F.col(c).alias(f"{c}_") for c in facts.columns if c != on)).filter(f"{weight}_ > {hub_level(total)}")
+    both = rows.join(F.broadcast(known), on, "left")
+    by_hub = both.filter(f"{weight}_ is not null").select(*rows.columns, *(F.col(f"{c}_").alias(c) for c in facts.columns if c != on))
+    rest = both.filter(f"{weight}_ is null").select(rows.columns).join(facts.filter(~hot), on)
+    return by_hub.unionByName(rest)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Lets Spark's cleaner delete the broadcasts and shuffles of finished queries now: it learns from
+    the driver's garbage collection what nothing refers to, and an idle driver seldom collects."""
+    spark.sparkContext._jvm.System.gc()
 
 
 def fresh(df: DataFrame, name: str) -> str:
