@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import decontaminate, language, licenses, media, near_duplicates, packing, quality, suffix_dedup, token_counts, url_filters
+from lexmill.llm import chunk_recipes, collocations, decontaminate, language, lexical_search, licenses, media, near_duplicates, packing, quality, suffix_dedup, token_counts, url_filters
 from lexmill.llm.tables import documents, keep
 
 
@@ -97,13 +97,26 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digests(documents(spark, sf_dir))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = chunk_recipes.deduplicate(documents(spark, sf_dir))
+    return out.select(F.col("key").alias("doc_id"), F.col("keep").alias("keep_id"), "group_size", "kept", F.col("sha").alias("text_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_best_fit_packing, op3_language_id, op4_token_counts, op5_license_scan, op6_quality, op7_url_filters, op8_jaccard_join, op9_decontamination, op10_media, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_best_fit_packing, op3_language_id, op4_token_counts, op5_license_scan, op6_quality, op7_url_filters, op8_jaccard_join, op9_decontamination, op10_media, op11_collocations, op12_lexical_search, op13_exact_dedup, pipeline)}
 
 
 def queries() -> dict:
@@ -157,5 +170,38 @@ reach(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc
 SELECT doc_id, len(s) AS n_shingles, min(other) AS component_id FROM reach JOIN sets USING (doc_id) GROUP BY doc_id, len(s)"""
 
 
+_COLLOCATION_SQL = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+parts AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x != '') AS w FROM pieces),
+grams AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase FROM parts, range(1, 4) AS t(k) WHERE len(w) >= k),
+counts AS (SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS a FROM grams GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
+found AS (SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE k > 1 AND a >= 10),
+cuts AS (SELECT f.lang, f.k, f.phrase, f.a, f.w, c.cut, array_to_string(f.w[:c.cut], ' ') AS head, array_to_string(f.w[c.cut + 1:], ' ') AS tail FROM found f, range(1, 3) AS c(cut) WHERE c.cut < f.k),
+scored AS (SELECT c.lang, c.phrase, c.k, c.a, c.cut, h.a AS l, t.a AS r, 1000000 * c.a * c.a // (h.a * t.a) AS score FROM cuts c
+  JOIN counts h ON h.lang = c.lang AND h.phrase = c.head AND h.k = c.cut JOIN counts t ON t.lang = c.lang AND t.phrase = c.tail AND t.k = c.k - c.cut),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (SELECT lang, array_to_string(w[1:2], ' ') AS phrase, a FROM found WHERE k = 3 UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a FROM found WHERE k = 3),
+held AS (SELECT lang, phrase, max(a) AS longest FROM inside GROUP BY ALL),
+stay AS (SELECT w.* FROM worst w LEFT JOIN held h ON h.lang = w.lang AND h.phrase = w.phrase AND w.k = 2 WHERE h.longest IS NULL OR 100 * h.longest < 50 * w.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score
+FROM stay JOIN totals USING (lang) QUALIFY rank <= 2000"""
+
+_SEARCH_SQL = r"""
+WITH terms AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+tfs AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
+lengths AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id),
+stats AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM lengths),
+asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tfs, stats WHERE term IN (SELECT term FROM asked) GROUP BY term, docs),
+shares AS (SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // total))) AS share FROM tfs JOIN weights USING (term) JOIN lengths USING (doc_id), stats),
+scores AS (SELECT item_id, doc_id, CAST(sum(share) AS BIGINT) AS score FROM asked JOIN shares USING (term) GROUP BY ALL HAVING sum(share) > 0)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scores QUALIFY rank <= 50"""
+
+_EXACT_SQL = r"""
+WITH plain AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size, doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM plain"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_jaccard_join": _JACCARD_SQL, "op5_license_scan": _license_sql(), "op7_url_filters": _url_sql()}
+    return {"op11_collocations": _COLLOCATION_SQL, "op12_lexical_search": _SEARCH_SQL, "op13_exact_dedup": _EXACT_SQL, "op8_jaccard_join": _JACCARD_SQL, "op5_license_scan": _license_sql(), "op7_url_filters": _url_sql()}
