@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexmill.functions.text import as_column, text
+from lexmill.operators import guards
 
 CAP, BATCH, MOST = 1800, 64, 20
 #: Queries that are broadcast at once: a block of this many is one pass over the corpus.
@@ -31,22 +32,32 @@ def content_sha(c: Column | str) -> Column:
 
 
 def changed_rows(rows: DataFrame, existing: DataFrame, key: str = "chunk_id", sha: str = "content_sha", force: bool = False) -> DataFrame:
-    """Rows that are new or whose hash differs. Only keys and hashes of the existing table are read."""
+    """Rows that are new or whose hash differs, each once however often existing holds its key. Only keys and hashes of the existing table are read."""
     if force:
         return rows
-    known = existing.select(key, F.col(sha).alias("_sha"))
-    return rows.join(known, key, "left").filter(~F.col(sha).eqNullSafe(F.col("_sha"))).drop("_sha")
+    known = existing.select(F.col(key).alias("_key"), F.col(sha).alias("_sha"))
+    return rows.join(known, F.col(key).eqNullSafe(F.col("_key")) & F.col(sha).eqNullSafe(F.col("_sha")), "left_anti")
 
 
-def upsert(target: DataFrame, source: DataFrame, key: str = "chunk_id", delete_missing: bool = False, order: str | None = None) -> DataFrame:
+def last_of_each(rows: DataFrame, key: str = "chunk_id", order: Column | str = "seq") -> DataFrame:
+    """Each key's row with the greatest order; of rows with the same order the one with the greater hash. Rows of one key meet
+    as one candidate of each task, so a key with very many rows fills none."""
+    order = F.col(order) if isinstance(order, str) else order
+    whole = F.struct(*rows.columns)
+    last = rows.groupBy(F.col(key).alias("_key")).agg(F.max_by(whole, F.struct(order.alias("order"), F.xxhash64(whole).alias("hash"))).alias("_last"))
+    return last.select("_last.*")
+
+
+def upsert(target: DataFrame, source: DataFrame, key: str = "chunk_id", delete_missing: bool = False, order: Column | str | None = None) -> DataFrame:
     """The next version of target: source's rows replace those of the same key, the last by `order`
-    winning among several; rows that source lacks stay unless delete_missing."""
-    if order is not None:
-        last = Window.partitionBy(key).orderBy(F.desc(order))
-        source = source.withColumn("_n", F.row_number().over(last)).filter("_n = 1").drop("_n")
+    winning among several (without an order several are refused); rows that source lacks stay unless
+    delete_missing. KeyedTable does the same to a stored table and writes only what changes."""
+    columns = target.columns
+    source = guards.assert_unique(source, key) if order is None else last_of_each(source, key, order)
     if delete_missing:
-        return source.select(target.columns)
-    return target.join(source.select(key), key, "left_anti").unionByName(source.select(target.columns))
+        return source.select(columns)
+    replaced = source.select(F.col(key).alias("_key"))
+    return target.join(replaced, F.col(key).eqNullSafe(F.col("_key")), "left_anti").unionByName(source.select(columns))
 
 
 def normalize_matrix(m: np.ndarray) -> np.ndarray:

@@ -11,7 +11,7 @@ import uuid
 import zipfile
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions import frontmatter as fm
@@ -130,13 +130,17 @@ def s7_version_feed(spark, d) -> DataFrame:
     root = _folder(spark, "feed")
     o = table(spark, d, "orders")
     xml = _cat(F.lit("<law>"), _tag("법령ID", F.lpad(F.col("o_custkey").cast("string"), 6, "0")), _tag("법령일련번호", "o_orderkey"), _tag("공포일자", F.date_format("o_orderdate", "yyyyMMdd")), _tag("현행연혁코드", "o_orderstatus"), F.when(F.col("o_orderkey") % 2 == 0, _tag("제개정구분명", _cat(F.lit(" "), "o_orderpriority", F.lit(" ")))).otherwise(""), _tag("법령명한글", _cat(F.lit("law &amp; "), "o_custkey")), F.lit("</law>"))
-    some = o.groupBy((F.col("o_custkey") / 50).cast("long").alias("g")).agg(F.array_join(F.collect_list(xml), "").alias("laws"))
-    sinks.write_tree(some.select(_cat(F.lit("feed"), "g", F.lit(".xml")).alias("path"), _tag("LawSearch", "laws").alias("raw")), root)
-    return feeds.read_version_feed(spark, root).select("law_id", "mst", "promulgate_date", "status", "revision_class", "name", "short_name")
+    # pages of 100 and of 3900 order keys in turn, which Spark reads in another order than the feed's
+    page = 2 * F.floor(F.col("o_orderkey") / 4000) + F.when(F.col("o_orderkey") % 4000 < 100, 0).otherwise(1)
+    some = o.groupBy(page.alias("page")).agg(F.array_sort(F.collect_list(F.struct("o_orderkey", xml.alias("xml")))).alias("laws"))
+    laws = F.array_join(F.transform("laws", lambda x: x["xml"]), "")
+    sinks.write_tree(some.select(_cat(F.lit("feed"), "page", F.lit(".xml")).alias("path"), _tag("LawSearch", laws).alias("raw")), root)
+    feed = feeds.read_version_feed(spark, root).withColumn("seq", F.row_number().over(Window.partitionBy("law_id").orderBy("seq")))
+    return feed.select("law_id", "mst", "promulgate_date", "status", "revision_class", "name", "short_name", "seq")
 
 
 S7 = """SELECT lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS law_id, CAST(o_orderkey AS VARCHAR) AS mst, strftime(o_orderdate, '%Y%m%d') AS promulgate_date, o_orderstatus AS status,
-CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority ELSE '' END AS revision_class, 'law & ' || o_custkey AS name, '' AS short_name FROM orders"""
+CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority ELSE '' END AS revision_class, 'law & ' || o_custkey AS name, '' AS short_name, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS INTEGER) AS seq FROM orders"""
 
 
 def s8_rules_xml(spark, d) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions import text
 from lexmill.operators import audit, embeddings, evaluation, guards, history, monitor, quality, reconcile
+from lexmill.operators.keyed_table import KeyedTable
 from lexmill.plans.inputs import FEED, MANIFEST, WATCHLIST, manifest, table, version_feed, watchlist
 from lexmill.sources import sinks
 
@@ -398,9 +401,13 @@ R2 = "SELECT doc_id AS chunk_id FROM documents WHERE doc_id % 11 != 0 AND (doc_i
 
 
 def s10_upsert(spark, d) -> DataFrame:
-    old, new = _ingest(spark, d, False), _ingest(spark, d, True)
-    out = embeddings.upsert(old.drop("metadata"), embeddings.changed_rows(new, old).drop("metadata"))
-    return out.select("chunk_id", F.md5(F.col("content").cast("binary")).alias("content_md5"))
+    """A stored table and one batch in which every third chunk has an earlier and a later edit."""
+    old, new = (_ingest(spark, d, edited).drop("metadata").withColumn("seq", F.lit(1)) for edited in (False, True))
+    early = new.filter("chunk_id % 3 = 0").withColumn("content", F.lit("early")).withColumn("content_sha", F.lit("early")).withColumn("seq", F.lit(0))
+    stored = KeyedTable(spark, f"{sinks.shared_folder(spark)}/upsert-{uuid.uuid4().hex}").create(old.schema, "chunk_id", 16)
+    stored.upsert(old, "seq")
+    stored.upsert(early.unionByName(new), "seq", "content_sha")
+    return stored.read().select("chunk_id", F.md5(F.col("content").cast("binary")).alias("content_md5"))
 
 
 S10 = """SELECT doc_id AS chunk_id, md5(CASE WHEN doc_id % 11 != 0 AND (doc_id % 13 = 0 OR doc_id % 7 = 0) THEN CASE WHEN doc_id % 7 = 0 THEN 'x' ELSE '' END || text || CASE WHEN doc_id % 5 = 0 AND length(text) > 1800 THEN 'after the cap' ELSE '' END ELSE text END) AS content_md5

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tomllib
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.sources.schemas import CORRECTION, FEED, MEMBER, RULE
@@ -40,11 +40,20 @@ def read_corrections(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).json(path, multiLine=True).select(F.explode("corrections").alias("stem", "c")).select("stem", "c.*")
 
 
+def natural_order(name: Column) -> Column:
+    """A string by which names sort with their numbers as numbers: page 9 before page 10."""
+    parts = F.regexp_extract_all(name, F.lit(r"\d+|\D+"), F.lit(0))
+    return F.array_join(F.transform(parts, lambda p: F.when(p.rlike(r"^\d{1,19}$"), F.lpad(p, 20, "0")).otherwise(p)), "")
+
+
 def read_version_feed(spark: SparkSession, path: str, row_tag: str = "law") -> DataFrame:
-    """The feed's columns by name, trimmed, '' for missing, with seq in the feed's order."""
+    """The feed's columns by name, trimmed, '' for missing, with seq, which sorts as the feed does: by page (file
+    name, numbers as numbers), by place of a split in it, then by record. Spark deals files by size, so the
+    order of rows or of row ids alone says nothing about the feed's."""
     schema = ", ".join(f"`{tag}` string" for tag in FEED)
     rows = spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path)
-    return rows.select(*(F.coalesce(F.trim(F.col(f"`{tag}`")), F.lit("")).alias(name) for tag, name in FEED.items())).withColumn("seq", F.monotonically_increasing_id())
+    seq = F.struct(natural_order(F.col("_metadata.file_path")).alias("page"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"))
+    return rows.select(*(F.coalesce(F.trim(F.col(f"`{tag}`")), F.lit("")).alias(name) for tag, name in FEED.items()), seq.alias("seq"))
 
 
 RULE_XML = (

@@ -8,38 +8,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lexmill.operators.embeddings import changed_rows, ingest_rows, upsert
+from lexmill.operators.embeddings import ingest_rows
+from lexmill.operators.keyed_table import BUCKETS, KeyedTable
 from lexmill.sources.schemas import CHUNK
 
+#: Where a row stands: by its file's time and name, then by its place in the file.
+_PLACE = "struct(_metadata.file_modification_time, _metadata.file_path, _metadata.file_block_start) AS _file"
 
-def ingest_stream(spark: SparkSession, chunks: str, target: str, checkpoint: str, prepare: Callable[[DataFrame], DataFrame] = lambda df: df) -> StreamingQuery:
-    """Each new file of chunks replaces the rows that changed. Versions of the target are folders
-    v=<batch>, written whole before they count, so a repeated batch gives the same version.
 
-    prepare: adds vectors or other columns to changed rows only.
-    """
+def ingest_stream(spark: SparkSession, chunks: str, target: str, checkpoint: str, prepare: Callable[[DataFrame], DataFrame] = lambda df: df, buckets: int = BUCKETS) -> StreamingQuery:
+    """Each new file of chunks replaces the rows that changed; of several rows of one chunk the last written counts.
 
-    def versions() -> list[int]:
-        path = spark._jvm.org.apache.hadoop.fs.Path(target)
-        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            return []
-        found = [s.getPath() for s in fs.listStatus(path)]
-        return sorted(int(p.getName()[2:]) for p in found if p.getName().startswith("v=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+    The target is a KeyedTable: a batch writes the buckets it touches, becomes visible as a whole, and
+    changes nothing when it is repeated. prepare: adds vectors or other columns to changed rows only.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
+        table = KeyedTable(spark, target)
         rows = ingest_rows(batch).withColumn("content_sha", F.col("metadata.content_sha"))
-        before = [v for v in versions() if v < number]
-        if before:
-            old = spark.read.parquet(f"{target}/v={before[-1]}")
-            new = upsert(old, prepare(changed_rows(rows, old)).select(old.columns))
-        else:
-            new = prepare(rows).dropDuplicates(["chunk_id"])
-        new.write.mode("overwrite").parquet(f"{target}/v={number}")
-
-    stream = spark.readStream.schema(CHUNK).json(chunks)
+        placed = rows.withColumn("_order", F.struct("_file", F.monotonically_increasing_id().alias("row")))
+        if not table.exists():
+            table.create(prepare(rows.drop("_file")).schema, "chunk_id", buckets)
+        table.upsert(placed, "_order", "content_sha", lambda changed: prepare(changed.drop("_file", "_order")), batch=("stream", number))
+        table.vacuum()
+
+    stream = spark.readStream.schema(CHUNK).json(chunks).selectExpr("*", _PLACE)
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def latest(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target).transform(lambda df: df.join(df.agg(F.max("v").alias("v")), "v", "left_semi").drop("v"))
+    """The newest version that is whole."""
+    return KeyedTable(spark, target).read()
