@@ -6,6 +6,10 @@ index counts before it shuffles, and AQE splits hot terms in the join.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,15 +46,58 @@ def token_count(c: Column | str) -> Column:
     return F.when(_words(c).rlike("[가-힣]{3}"), F.size(tokenize(c))).otherwise(F.regexp_count(text(c), F.lit(TOKEN)))
 
 
+_TOKENS = re.compile(TOKEN, re.ASCII)
+_LONG = re.compile("[가-힣]{3,}")
+
+
+def token_list(body: str) -> list[str]:
+    """tokenize() of one text, for tasks that count tokens themselves."""
+    if body.isascii():
+        return _TOKENS.findall(body.lower())
+    out = []
+    for word in _TOKENS.findall(body):
+        if _LONG.fullmatch(word):
+            out += [word[i : i + n] for n in (2, 3) for i in range(len(word) - n + 1)]
+        else:
+            out.append(word.lower())
+    return out
+
+
+def document_terms(docs: DataFrame, doc: str = "doc", body: str = "text") -> DataFrame:
+    """(doc, len, tokens, tfs): each document's different tokens with their counts, made where the document lies."""
+    rows = docs.select(F.col(doc).alias("doc"), text(body).alias("body"))
+
+    def run(batches):
+        for batch in batches:
+            size, tokens, tfs = [], [], []
+            for body in batch.column(1).to_pylist():
+                counts = Counter(token_list(body))
+                size.append(max(1, counts.total()))
+                tokens.append(list(counts))
+                tfs.append(list(counts.values()))
+            columns = [pa.array(size, pa.int64()), pa.array(tokens, pa.list_(pa.string())), pa.array(tfs, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc", "len", "tokens", "tfs"])
+
+    return rows.mapInArrow(run, f"doc {dict(rows.dtypes)['doc']}, len long, tokens array<string>, tfs array<long>")
+
+
+def idf(n_docs: Column | str = "n_docs", df: Column | str = "df") -> Column:
+    n, d = (F.col(c) if isinstance(c, str) else c for c in (n_docs, df))
+    return F.log(1 + (n - d + 0.5) / (d + 0.5))
+
+
 def bm25_index(docs: DataFrame, doc: str = "doc", body: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """postings (token, doc, tf, len), terms (token, df, idf) and stats (n_docs, avg_len)."""
-    tokens = docs.select(F.col(doc).alias("doc"), tokenize(body).alias("tokens"))
-    sized = tokens.withColumn("len", F.greatest(F.size("tokens"), F.lit(1)))
-    postings = sized.select("doc", "len", F.explode("tokens").alias("token")).groupBy("token", "doc").agg(F.count("*").alias("tf"), F.first("len").alias("len"))
-    stats = _stats(docs, body)
-    df = postings.groupBy("token").agg(F.count("*").alias("df"))
-    idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    return postings, df.join(F.broadcast(stats), how="cross").select("token", "df", idf.alias("idf")), stats
+    """postings (token, doc, tf, len), terms (token, df, idf) and stats (n_docs, avg_len), as tables of one
+    snapshot; text_index.TextIndex stores them, takes changes and answers queries.
+
+    Counts are made before anything is shuffled: df is one sum by token.
+    """
+    rows = document_terms(docs, doc, body)
+    postings = rows.select("doc", "len", F.explode(F.arrays_zip("tokens", "tfs")).alias("t")).select(F.col("t.tokens").alias("token"), "doc", F.col("t.tfs").alias("tf"), "len")
+    stats = rows.agg(F.count("*").alias("n_docs"), F.avg("len").alias("avg_len"))
+    df = rows.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("df"))
+    terms = df.join(F.broadcast(docs.agg(F.count("*").alias("n_docs"))), how="cross").select("token", "df", idf().alias("idf"))
+    return postings, terms, stats
 
 
 def _stats(docs: DataFrame, body: str) -> DataFrame:
@@ -84,9 +131,22 @@ def rank(scores: DataFrame, top: int = TOP, score: Column | None = None, by: tup
     return scores.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
 
 
-def bm25_topk(docs: DataFrame, queries: DataFrame, k: int = TOP, **names) -> DataFrame:
-    """(qid, doc, score, rank). Scores rank at six decimals, so that the order of sums plays no part."""
-    return rank(bm25_scores(docs, queries, **names).withColumn("score", F.round("score", 6)), k)
+def bm25_topk(docs: DataFrame, queries: DataFrame, k: int = TOP, doc: str = "doc", body: str = "text", qid: str = "qid", query: str = "text", k1: float = K1, b: float = B) -> DataFrame:
+    """(qid, doc, score, rank): the first k documents of each query, without the pairs that cannot be among them.
+
+    Queries go in blocks of a fixed size. One scan of the texts counts the asked terms, a second one scores
+    block by block of documents under upper bounds (ranking.best_of_blocks), so that k rows for each query and task are shuffled.
+    Scores rank at six decimals, so that the order of sums plays no part; rows of one qid are one query.
+    """
+    from lexmill.operators import ranking
+
+    texts = docs.select(F.col(doc).alias("doc"), text(body).alias("body"))
+    found = []
+    for asked in ranking.asked_blocks(queries, qid, query):
+        n_docs, total, df = ranking.count_asked(texts.select("body"), asked)
+        if n_docs:
+            found.append(ranking.best_of_blocks(texts, ranking.text_blocks, asked.weighted(df, n_docs, total / n_docs, k1, b), k))
+    return ranking.merged(found, docs, queries, doc, qid, k)
 
 
 def rrf(rankings: DataFrame, weights: DataFrame, k: int = RRF_K, top: int = TOP, depth: int = TOP) -> DataFrame:

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.operators import embeddings as emb
 from lexmill.operators import evaluation as ev
 from lexmill.operators import lexical as lx
+from lexmill.operators.text_index import TextIndex
 from lexmill.plans.inputs import RANKINGS, questions, rankings, relevant, table
+from lexmill.sources import sinks
 
 _TOKENS = f"list_transform(regexp_extract_all(coalesce(text, ''), '{lx.TOKEN}'), lambda x: lower(x))"
 
@@ -45,6 +49,27 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, do
 SELECT qid, doc, score, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 10"""
 
 
+def _changed_index(spark: SparkSession, d: str) -> TextIndex:
+    """An index that was made with other texts for every third document, had these replaced, and lost every 7th."""
+    docs = table(spark, d, "documents")
+    index = TextIndex(spark, f"{sinks.shared_folder(spark)}/index-{uuid.uuid4().hex}").create()
+    index.add(docs.withColumn("text", F.when(F.col("doc_id") % 3 == 0, "stale words").otherwise(F.col("text"))), "doc_id")
+    index.add(docs.filter("doc_id % 3 = 0"), "doc_id")
+    index.remove(docs.filter("doc_id % 7 = 0").select("doc_id"))
+    return index
+
+
+def r8_index_changes(spark: SparkSession, d: str) -> DataFrame:
+    return _changed_index(spark, d).terms().select("token", "df", F.round("idf", 6).alias("idf"))
+
+
+def r9_index_topk(spark: SparkSession, d: str) -> DataFrame:
+    return _changed_index(spark, d).topk(table(spark, d, "benchmark"), 10, "item_id")
+
+
+R8_CHANGES, R9_INDEX = (sql.replace("FROM documents", "FROM documents WHERE doc_id % 7 != 0") for sql in (R8, R9))
+
+
 def r3_truncate_normalize(spark: SparkSession, d: str) -> DataFrame:
     v = emb.truncate_normalize("embedding", 16)
     return table(spark, d, "embeddings").select("vec_id", F.round(v[0], 6).alias("first"), F.round(v[15], 6).alias("last"), F.size(v).alias("dim"))
@@ -214,9 +239,9 @@ E13 = R9.replace("SELECT qid, doc, score, CAST(rank AS INTEGER) AS rank FROM ran
 SELECT 'bm25' AS retriever, qid FROM near GROUP BY qid HAVING max(rank) >= 2 AND NOT contains(string_agg(plain, '' ORDER BY rank), any_value(whole))""")
 
 
-_NAMES = {f.__name__: f for f in (r3_truncate_normalize, r4_embed, r5_knn, r6_knn_filtered, r7_tokenize, r8_bm25_terms, r9_bm25_topk, r10_rrf, r11_weight_sweep, r12_context, r13_excerpt, e5_recall_at_k, e6_recall_by_subset, e7_rank_delta, e12_answerable, e13_hit_without_answer, e14_parity, e19_ranked_hits)}
+_NAMES = {f.__name__: f for f in (r3_truncate_normalize, r4_embed, r5_knn, r6_knn_filtered, r7_tokenize, r8_bm25_terms, r8_index_changes, r9_bm25_topk, r9_index_topk, r10_rrf, r11_weight_sweep, r12_context, r13_excerpt, e5_recall_at_k, e6_recall_by_subset, e7_rank_delta, e12_answerable, e13_hit_without_answer, e14_parity, e19_ranked_hits)}
 QUERIES = _NAMES
 ORACLES = {
-    "r3_truncate_normalize": R3, "r4_embed": R4, "r5_knn": R5, "r6_knn_filtered": R6, "r7_tokenize": R7, "r8_bm25_terms": R8, "r9_bm25_topk": R9, "r10_rrf": R10, "r11_weight_sweep": R11, "r12_context": R12, "r13_excerpt": R13,
+    "r3_truncate_normalize": R3, "r4_embed": R4, "r5_knn": R5, "r6_knn_filtered": R6, "r7_tokenize": R7, "r8_bm25_terms": R8, "r8_index_changes": R8_CHANGES, "r9_bm25_topk": R9, "r9_index_topk": R9_INDEX, "r10_rrf": R10, "r11_weight_sweep": R11, "r12_context": R12, "r13_excerpt": R13,
     "e5_recall_at_k": E5, "e6_recall_by_subset": E6, "e7_rank_delta": E7, "e12_answerable": E12, "e13_hit_without_answer": E13, "e14_parity": E14, "e19_ranked_hits": E19,
 }
