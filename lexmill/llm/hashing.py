@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 
 #: Odd multipliers of the hashes (fixed values).
@@ -29,28 +27,6 @@ def mix(x: np.ndarray) -> np.ndarray:
 BYTE = mix((np.arange(1, 257, dtype=np.uint64)) * BASE)
 
 
-#: Powers up to this are kept; longer texts have theirs made anew.
-KEPT_POWERS = 1 << 18
-
-
-@lru_cache(maxsize=4)
-def _kept_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(n)
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and its inverse, modulo 2**64."""
-    inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
-    with np.errstate(over="ignore"):
-        up = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, BASE)]))
-        down = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, inverse)]))
-    return up, down
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return _kept_powers(1 << max(16, int(n).bit_length())) if n < KEPT_POWERS else _powers(n)
-
-
 def word_spans(buf: np.ndarray, is_space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of each maximal run of bytes that are not in is_space."""
     inside = np.zeros(len(buf) + 2, np.int8)
@@ -59,12 +35,26 @@ def word_spans(buf: np.ndarray, is_space: np.ndarray = SPACE) -> tuple[np.ndarra
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
+#: The bytes of a block that count where so many are left.
+_LEFT = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+
+
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of buf[start:end] for each pair; equal bytes hash alike wherever they are."""
-    up, down = powers(len(buf))
-    total = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(BYTE[buf] * up[: len(buf)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    """A 64-bit hash of buf[start:end] for each pair; equal bytes hash alike wherever they are.
+
+    Blocks of eight bytes are spread with a key of their place in the span and summed, so that no pattern of
+    bytes cancels out; spans of one length up to eight bytes never share a hash.
+    """
+    size = ends - starts
+    n = np.maximum((size + 7) >> 3, 1)
+    first = np.cumsum(n) - n
+    at = np.arange(int(n.sum())) - np.repeat(first, n)
+    place = np.repeat(starts, n) + 8 * at
+    padded = np.concatenate([buf, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(buf) + 1, "<u8", padded, strides=(1,))
+    block = eight[place] & _LEFT[np.minimum(np.repeat(ends, n) - place, 8)]
+    spread = mix(block ^ mix((at + 1).astype(np.uint64) * BASE))
+    return mix(np.add.reduceat(spread, first) + size.astype(np.uint64) * MIX_A) if len(n) else np.zeros(0, np.uint64)
 
 
 def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:

@@ -21,7 +21,8 @@ so no group is gathered in one task; a cell of n rows then costs n / CELL copies
 only texts that consist of frequent shingles can reach. Nothing is capped: the list of frequent
 shingles only orders. Joins on a set with very many copies, or on a component of very many sets,
 take that key by broadcast (tables.hub_join). Only groups hold prefixes and counts, and they go once
-candidates are known; all later tables are narrow. Sets and shingles are told apart by 64-bit hashes.
+candidates are known; all later tables are narrow. Shingles are told apart within a pair of documents, and sets
+among all, by 64-bit hashes: among 10^10 different sets some three pairs may be taken for equal by chance.
 
 Defined results: null and empty texts have no shingles and stand alone; a row with a null key has a
 null component and links with nothing; rows that repeat a key are documents of their own with the

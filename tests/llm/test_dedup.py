@@ -2,10 +2,11 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lexmill.llm import graph, near_duplicates, suffix_dedup
+from lexmill.llm import graph, hashing, near_duplicates, suffix_dedup
 from tests.llm import cases
 
 
@@ -276,3 +277,33 @@ def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(0, 40)] + [(100, 101)], "a long, b long")
     got = {r.node: r.component for r in graph.components(edges).collect()}
     assert got == {k: 0 for k in range(41)} | {100: 100, 101: 100}
+
+
+def thue_morse(n):
+    word = "a"
+    while len(word) < n:
+        word += word.translate({97: "b", 98: "a"})
+    return word
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_words_of_a_pattern_and_its_complement_stay_apart(spark, n):
+    one = thue_morse(n)
+    other = one.translate({97: "b", 98: "a"})
+    texts = [f"{one} x y z w", f"{other} x y z w", one, other, one]
+    df = cases.frame(spark, texts)
+    assert {r.doc_id: r.component_id for r in near_duplicates.jaccard_components(df, words=4, percent=85).collect()} == {0: 0, 1: 1, 2: 2, 3: 3, 4: 2}
+    assert sorted(r.doc_id for r in near_duplicates.first_of_each(df).collect()) == [0, 1, 2, 3]
+
+
+def test_hashes_of_spans():
+    rng = np.random.default_rng(0)
+    words = sorted({bytes(rng.integers(97, 100, rng.integers(1, 40), dtype=np.uint8)) for _ in range(5000)})
+    buf = np.frombuffer(b" ".join(words), np.uint8)
+    starts, ends = hashing.word_spans(buf)
+    with np.errstate(over="ignore"):
+        h = hashing.span_hashes(buf, starts, ends)
+        assert len(np.unique(h)) == len(words)
+        back = np.frombuffer(b"\n\n".join(reversed(words)), np.uint8)
+        assert hashing.span_hashes(back, *hashing.word_spans(back))[::-1].tolist() == h.tolist()
+        assert not len(hashing.span_hashes(buf, starts[:0], ends[:0]))
