@@ -5,32 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexmill.functions.text import ARTICLE, has_all, is_subsequence, norm_name, propose_keys, text
+from lexmill.functions.text import ARTICLE, has_all, norm_name, propose_keys, text
+from lexmill.operators import names
 
 KS = (1, 3, 5, 10)
 
 
-#: Characters by which names meet.
-GRAM = 4
-
-
-def _first_gram(df: DataFrame, name: str) -> DataFrame:
-    return df.withColumn("_gram", F.substring(name, 1, GRAM))
-
-
-def _grams(df: DataFrame, name: str) -> DataFrame:
-    """df with a row for each different string of 1 to GRAM characters in its names."""
-    starts = F.sequence(F.lit(1), F.greatest(F.length(name), F.lit(1)))
-    every = F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), F.lit(GRAM)), lambda n: F.substr(F.col(name), i, n))))
-    return df.withColumn("_gram", F.explode(F.array_distinct(every)))
-
-
 def match_sources(questions: DataFrame, units: DataFrame, qid: str = "qid", expected: str = "expected_sources", mode: str = "loose") -> DataFrame:
     """(qid, id) of the units that are an expected source.
 
-    Expected names are parsed once and meet the distinct (law, article, annex) of the units; the
-    pairs come back to the units by equality. Named articles and annexes meet by equality of their
-    number and then by name, bare names by the characters that both must have.
+    Expected names are parsed once; the different ones meet the different (law, number) of the units in
+    a trie (names.matched_names), which gives matches only, and these come back to both sides by equality.
     mode strict: plain containment, and no branch articles.
     """
     strict = mode == "strict"
@@ -40,27 +25,12 @@ def match_sources(questions: DataFrame, units: DataFrame, qid: str = "qid", expe
     article = F.regexp_extract("e", f"({article_pattern})", 1)
     e = e.withColumns({"kind": F.when(annex != "", "annex").when(article != "", "article").otherwise("law"), "number": F.when(annex != "", annex).otherwise(article)})
     head = F.when(F.col("kind") == "annex", F.regexp_extract("e", r"^(.*?)별표\d+", 1)).when(F.col("kind") == "article", F.regexp_extract("e", f"^(.*?)(?:{article_pattern})", 1)).otherwise(F.col("e"))
-    e = e.withColumn("name", head).filter("name != ''")
-    keys = units.select("law", "article", "annex").distinct()
-    within = F.contains("law", F.col("name")) if strict else is_subsequence(F.col("name"), F.col("law"))
-    numbered = lambda kind, column: e.filter(F.col("kind") == kind).join(keys.withColumn("number", F.col(column)), "number").filter(within).select("qid", "law", "article", "annex")
-    laws = keys.select("law").distinct()
-    if strict:
-        # one contains the other: the longer one has the first characters of the shorter one somewhere
-        named, named_laws = e.filter("kind = 'law'"), laws.filter(F.length("law") > 3)
-        longer = _grams(named_laws, "law").join(_first_gram(named, "name"), "_gram").filter(F.contains("law", F.col("name")))
-        shorter = _grams(named, "name").join(_first_gram(named_laws, "law"), "_gram").filter(F.contains("name", F.col("law")))
-        bare = longer.select("qid", "law").union(shorter.select("qid", "law")).distinct()
-    else:
-        # one is a prefix of the other: they share the shorter one's characters, so meet on each prefix
-        prefixes = lambda c: F.explode(F.transform(F.sequence(F.lit(2), F.greatest(F.length(c), F.lit(2))), lambda n: F.substring(F.col(c), F.lit(1), n)))
-        named = e.filter("kind = 'law' and length(name) >= 2")
-        longer = laws.select("law", prefixes("law").alias("name")).join(named, "name")
-        shorter = named.select("qid", prefixes("name").alias("law")).join(laws, "law")
-        bare = longer.select("qid", "law").union(shorter.select("qid", "law")).distinct()
-    by_law = bare.select("qid", "law").distinct().join(keys, "law").select("qid", "law", "article", "annex")
-    pairs = numbered("annex", "annex").union(numbered("article", "article")).union(by_law).distinct()
-    return pairs.join(units.select("id", "law", "article", "annex"), ["law", "article", "annex"]).select("qid", "id").distinct()
+    e = e.withColumn("name", head).filter("name != ''").select("qid", "kind", "number", "name").distinct()
+    asked = e.select("kind", "number", "name").distinct()
+    wanted = asked.select("kind", "number").distinct()
+    keys = names.by_number(units).distinct().join(wanted, ["kind", "number"], "left_semi")
+    found = e.join(names.matched_names(asked, keys, strict), ["kind", "number", "name"]).select("qid", "kind", "number", "law").distinct()
+    return names.by_number(units, "id").join(found, ["kind", "number", "law"]).select("qid", "id").distinct()
 
 
 def best_ranks(rankings: DataFrame, relevant: DataFrame, questions: DataFrame) -> DataFrame:
