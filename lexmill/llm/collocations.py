@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexmill.llm.tables import as_bytes, drop_kept, keep, listed, release
+from lexmill.llm.tables import as_bytes, drop_kept, keep, release
 
 LEAST, TOP = 10, 2000
 #: A phrase goes if a longer one that holds it has this share of its count, in percent.
@@ -146,14 +146,11 @@ def pair_intervals(bwt: np.ndarray) -> tuple[np.ndarray, ...]:
     return x[real], y[real], n[real], low[real]
 
 
-def right_extensions(reverse: np.ndarray, pairs: tuple[np.ndarray, ...], wanted: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(x, y, z, n): the extensions of the pairs whose code is in wanted (sorted) by a word z for which y z is in wanted too."""
-    x, y, n, low = pairs
-    some = _among(x << 32 | y, wanted)
-    x, y, n, low = x[some], y[some], n[some], low[some]
+def right_extensions(reverse: np.ndarray, x: np.ndarray, y: np.ndarray, n: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(x, y, z, n): the extensions of these phrases, in the order of x and y, by a word z for which y z is one of them too."""
     which = np.repeat(np.arange(len(n)), n)
     z = reverse[np.repeat(low - np.cumsum(n) + n, n) + np.arange(len(which))].astype(np.int64)
-    real = _among(y[which] << 32 | z, wanted)
+    real = _among(y[which] << 32 | z, x << 32 | y)
     code, n = np.unique(which[real] << 32 | z[real], return_counts=True)
     which, z = code >> 32, code & 0xFFFFFFFF
     return x[which], y[which], z, n
@@ -184,22 +181,22 @@ def _indexed(left: pa.Table, right: pa.Table) -> pa.Table:
 
 
 def _pairs(batches):
+    """A shard's phrases (shard, j, x, y, n): j counts them in the order of the index."""
     for batch in batches:
         for shard, gids, bwt in zip(*(batch.column(c).to_pylist() for c in ("shard", "gids", "bwt"))):
             gids = _unpacked(gids, "<i8")
             x, y, n, _ = pair_intervals(_unpacked(bwt, "<i4"))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), shard)), pa.array(gids[x - 1]), pa.array(gids[y - 1]), pa.array(n)], names=["shard", "x", "y", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), shard)), pa.array(np.arange(len(x))), pa.array(gids[x - 1]), pa.array(gids[y - 1]), pa.array(n)], names=["shard", "j", "x", "y", "n"])
     release()
 
 
 def _triples(left: pa.Table, right: pa.Table) -> pa.Table:
-    """left: a shard's index; right: its phrases (shard, x, y) that are frequent over all shards."""
+    """left: a shard's index; right: which of its phrases are frequent over all shards (shard, j)."""
     if not left.num_rows or not right.num_rows:
         return pa.table([pa.array([], pa.int64())] * 4, names=["x", "y", "z", "n"])
     gids, bwt, reverse = (_unpacked(left[c][0].as_py(), kind) for c, kind in (("gids", "<i8"), ("bwt", "<i4"), ("reverse", "<i4")))
-    number = lambda c: np.searchsorted(gids, right[c].to_numpy()) + 1
-    wanted = np.sort(number("x") << 32 | number("y"))
-    x, y, z, n = right_extensions(reverse, pair_intervals(bwt), wanted)
+    some = np.sort(right["j"].to_numpy())
+    x, y, z, n = right_extensions(reverse, *(c[some] for c in pair_intervals(bwt)))
     release()
     return pa.table([pa.array(gids[k - 1]) for k in (x, y, z)] + [pa.array(n)], names=["x", "y", "z", "n"])
 
@@ -209,21 +206,26 @@ def _triples(left: pa.Table, right: pa.Table) -> pa.Table:
 
 def phrase_counts(df: DataFrame, text: str, lang: str, least: int, shard: int) -> tuple[DataFrame, ...]:
     """Kept tables of what occurs `least` times at least: words (gid, lang, word, f), pairs (x, y, a) and
-    triples (x, y, z, a) of gids; and languages (lang, total), the number of all words."""
+    triples (x, y, z, a) of gids; and languages (lang, total), the number of all words.
+
+    A word or phrase has one row in a shard, so the rows of one, which a window sums, are as many as shards at most. The
+    window leaves each shard its rows, so sums need not be brought back to them by a join.
+    """
     spark = df.sparkSession
     cut = keep(shards(df, text, lang, shard))
-    vocabulary = cut.filter("word is not null").select("shard", "local", "lang", "word", "n")
+    vocabulary = cut.filter("word is not null").select("shard", "local", "lang", "word", "n", F.monotonically_increasing_id().alias("uid"))
     totals = keep(vocabulary.groupBy("lang").agg(F.sum("n").alias("total")))
-    words = keep(vocabulary.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= least).withColumn("gid", F.monotonically_increasing_id()))
-    known = vocabulary.join(listed(words.select("lang", "word", "gid")), ["lang", "word"]).select(F.col("shard").alias("of"), "local", "gid")
+    one = Window.partitionBy("lang", "word")
+    summed = vocabulary.withColumn("f", F.sum("n").over(one)).withColumn("gid", F.min("uid").over(one)).filter(F.col("f") >= least)
+    known = keep(summed.select(F.col("shard").alias("of"), "local", "gid", (F.col("uid") == F.col("gid")).alias("first"), *(F.when(F.col("uid") == F.col("gid"), F.col(c)).alias(c) for c in ("lang", "word", "f"))))
+    words = keep(known.filter("first").select("gid", "lang", "word", "f"))
     ids = cut.filter("ids is not null").select("shard", "ids")
-    index = keep(ids.groupBy("shard").cogroup(known.groupBy("of")).applyInArrow(_indexed, "shard long, gids binary, bwt binary, reverse binary"))
-    drop_kept(spark, cut)
-    found = keep(index.select("shard", "gids", "bwt").mapInArrow(_pairs, "shard long, x long, y long, n long"))
-    pairs = keep(found.groupBy("x", "y").agg(F.sum("n").alias("a")).filter(F.col("a") >= least))
-    frequent = keep(found.select("shard", "x", "y").join(listed(pairs.select("x", "y")), ["x", "y"]).select("shard", "x", "y"))
-    drop_kept(spark, found)
-    longer = index.groupBy("shard").cogroup(frequent.groupBy("shard")).applyInArrow(_triples, "x long, y long, z long, n long")
+    index = keep(ids.groupBy("shard").cogroup(known.select("of", "local", "gid").groupBy("of")).applyInArrow(_indexed, "shard long, gids binary, bwt binary, reverse binary"))
+    drop_kept(spark, cut, known)
+    found = index.select("shard", "gids", "bwt").mapInArrow(_pairs, "shard long, j long, x long, y long, n long")
+    frequent = keep(found.withColumn("a", F.sum("n").over(Window.partitionBy("x", "y"))).filter(F.col("a") >= least).select("shard", "j", "x", "y", "a"))
+    pairs = keep(frequent.select("x", "y", "a").distinct())
+    longer = index.groupBy("shard").cogroup(frequent.select(F.col("shard").alias("of"), "j").groupBy("of")).applyInArrow(_triples, "x long, y long, z long, n long")
     triples = keep(longer.groupBy("x", "y", "z").agg(F.sum("n").alias("a")).filter(F.col("a") >= least))
     drop_kept(spark, index, frequent)
     return words, pairs, triples, totals
@@ -239,7 +241,7 @@ def collocations(df: DataFrame, text: str = "text", lang: str = "lang", least: i
     """(lang, rank, phrase, a, l, r, n, score): each language's first `top` phrases of two or three words."""
     words, pairs, triples, totals = phrase_counts(df, text, lang, least, shard)
     side = words.select("gid", "word", "f", "lang")
-    word = lambda k: listed(side.select(F.col("gid").alias(k), F.col("word").alias(f"w_{k}"), F.col("f").alias(f"f_{k}"), *([F.col("lang")] if k == "x" else [])))
+    word = lambda k: side.select(F.col("gid").alias(k), F.col("word").alias(f"w_{k}"), F.col("f").alias(f"f_{k}"), *([F.col("lang")] if k == "x" else []))
 
     held = triples.select("x", "y", "a").unionByName(triples.select(F.col("y").alias("x"), F.col("z").alias("y"), "a")).groupBy("x", "y").agg(F.max("a").alias("longest"))
     left = pairs.join(held, ["x", "y"], "left").filter(F.col("longest").isNull() | (100 * F.col("longest") < inside * F.col("a")))
@@ -247,8 +249,8 @@ def collocations(df: DataFrame, text: str = "text", lang: str = "lang", least: i
     two = two.select("lang", F.concat_ws(" ", "w_x", "w_y").alias("phrase"), "a", F.col("f_x").alias("l"), F.col("f_y").alias("r"))
     two = two.withColumn("score", _score(F.col("a"), F.col("l"), F.col("r")))
 
-    heads = listed(pairs.withColumnRenamed("a", "xy"))
-    tails = listed(pairs.select(F.col("x").alias("y"), F.col("y").alias("z"), F.col("a").alias("yz")))
+    heads = pairs.withColumnRenamed("a", "xy")
+    tails = pairs.select(F.col("x").alias("y"), F.col("y").alias("z"), F.col("a").alias("yz"))
     three = triples.join(heads, ["x", "y"]).join(tails, ["y", "z"]).join(word("x"), "x").join(word("y"), "y").join(word("z"), "z")
     one, other = _score(F.col("a"), F.col("f_x"), F.col("yz")), _score(F.col("a"), F.col("xy"), F.col("f_z"))
     three = three.withColumn("one", one).withColumn("other", other).withColumn("early", F.col("one") <= F.col("other"))
@@ -259,4 +261,4 @@ def collocations(df: DataFrame, text: str = "text", lang: str = "lang", least: i
     part = F.pmod(F.xxhash64("phrase"), F.lit(PARTS))
     first = two.unionByName(three).withColumn("part", part).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).filter(F.col("rank") <= top)
     last = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).filter(F.col("rank") <= top)
-    return last.join(listed(totals), "lang").select("lang", "rank", "phrase", "a", "l", "r", F.col("total").alias("n"), "score")
+    return last.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", F.col("total").alias("n"), "score")
