@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import html
-import re
 
 import pandas as pd
 from pyspark.sql import Column
@@ -59,22 +58,6 @@ def html_table_rows(c: Column | str) -> Column:
     return F.transform(F.filter(rows, lambda cells: F.exists(cells, lambda x: x != "")), lambda cells: F.array_join(cells, " | "))
 
 
-def plain_of(s: str) -> str:
-    """html_plain of one text, for helpers that see a text at a time."""
-    lines = html.unescape("".join(re.split(TAG, s)))
-    return re.sub(r"\n{3,}", "\n\n", lines).strip()
-
-
-def rows_of(table: str) -> list[str]:
-    """html_table_rows of one table, with every entity decoded."""
-    found = []
-    for row in re.finditer(TABLE_ROW, table):
-        cells = [" ".join(html.unescape(" ".join(re.split(TAG, cell[1]))).split()) for cell in re.finditer(TABLE_CELL, row[0])]
-        if "".join(cells):
-            found.append(" | ".join(cells))
-    return found
-
-
 def clean_converted(c: Column | str) -> Column:
     """Column-width groups go, and so does a one-cell table that wraps the whole document."""
     s = F.regexp_replace(text(c), r"(?sU)<colgroup>.*?</colgroup>\s*", "")
