@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +18,8 @@ from lexmill.operators import guards
 CAP, BATCH, MOST = 1800, 64, 20
 #: Queries that are broadcast at once: a block of this many is one pass over the corpus.
 QUERY_BLOCK = 4096
+#: Rows that a task parts into cells at once, and cells at most.
+ROWS, CELLS = 2048, 24
 
 
 def ingest_rows(chunks: DataFrame, cap: int = CAP) -> DataFrame:
@@ -104,57 +107,123 @@ def embed(df: DataFrame, column: str, embed_fn: Callable[[list[str]], np.ndarray
 def knn(queries: DataFrame, corpus: DataFrame, k: int, qid: str = "qid", doc: str = "doc", vector: str = "embedding", where: Column | None = None, block: int = QUERY_BLOCK) -> DataFrame:
     """(qid, doc, similarity, rank): the k (1 to 20) nearest rows by cosine, for every query, exactly.
 
-    Queries go in blocks of a fixed size, one pass over the corpus each; a task multiplies its Arrow
-    batches with the block and keeps k candidates for each query, so that k rows for each query and
-    task are shuffled and nothing grows with queries x corpus.
+    A query meets the rows whose vector has as many values as its own; a vector that is null, empty or holds
+    a null or a value that is no number has no neighbours and is none. Queries come to the driver one at a time, in blocks of a
+    fixed size, one pass over the corpus each. A task parts its rows into cells around pivots and multiplies
+    only those cells with a query that can hold one of its k best by their radius, so k rows for each query and task
+    are shuffled and nothing grows with queries x corpus.
     """
     k = max(1, min(MOST, k))
     corpus = corpus if where is None else corpus.filter(where)
     rows = corpus.select(F.col(doc).alias("doc"), F.col(vector).alias("v"))
-    asked = queries.select(F.col(qid).alias("qid"), F.col(vector).alias("v"))
-    total = asked.count()
-    parts = max(1, -(-total // block))
     spark, doc_type, qid_type = queries.sparkSession, dict(corpus.dtypes)[doc], dict(queries.dtypes)[qid]
-    out = None
-    for part in range(parts):
-        some = asked.filter(F.pmod(F.xxhash64("qid"), F.lit(parts)) == part).toPandas()
-        shared = spark.sparkContext.broadcast((some["qid"].tolist(), np.array(some["v"].tolist(), np.float64)))
-        found = rows.mapInArrow(_nearest(shared, k), f"qid {qid_type}, doc {doc_type}, similarity double")
-        out = found if out is None else out.unionAll(found)
+    out = spark.createDataFrame([], f"qid {qid_type}, doc {doc_type}, similarity double")
+    kinds = out.toArrow().schema
+    for asked in _query_blocks(queries.select(F.col(qid).alias("qid"), F.col(vector).alias("v")), block):
+        out = out.unionAll(rows.mapInArrow(_nearest(spark.sparkContext.broadcast(asked), k, kinds), out.schema))
     order = Window.partitionBy("qid").orderBy(F.desc("similarity"), "doc")
     return out.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def _nearest(shared, k: int):
+def _query_blocks(queries: DataFrame, most: int) -> Iterator[list[tuple[list, np.ndarray]]]:
+    """Blocks of queries: (ids, unit vectors) for each number of values."""
+    block: dict[int, tuple[list, list]] = {}
+    done = lambda: [(ids, normalize_matrix(np.array(vectors, np.float64))) for ids, vectors in block.values()]
+    n = 0
+    for row in queries.toLocalIterator():
+        if row["v"] and all(x is not None and np.isfinite(x) for x in row["v"]):
+            ids, vectors = block.setdefault(len(row["v"]), ([], []))
+            ids.append(row["qid"])
+            vectors.append(row["v"])
+            n += 1
+        if n == most:
+            yield done()
+            block, n = {}, 0
+    if n:
+        yield done()
+
+
+def vectors_by_size(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, unit vectors) for each number of values; rows without a vector are in none."""
+    size = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    starts = np.cumsum(size) - size
+    for n in np.unique(size[size > 0]).tolist():
+        rows = np.flatnonzero(size == n)
+        m = values[starts[rows][:, None] + np.arange(n)]
+        good = np.isfinite(m).all(axis=1)
+        yield rows[good], normalize_matrix(m[good])
+
+
+def cells(m: np.ndarray, most: int = CELLS) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+    """(rows, pivot, radius): the vectors by their nearest pivot, with the greatest angle to it. Pivots lie far from each other."""
+    first = [0]
+    near = m @ m[0]
+    while len(first) < min(most, len(m) // 8):
+        first.append(int(near.argmin()))
+        near = np.maximum(near, m @ m[first[-1]])
+    like = m @ m[first].T
+    own = like.argmax(axis=1)
+    for c, pivot in enumerate(first):
+        if len(rows := np.flatnonzero(own == c)):
+            yield rows, m[pivot], float(np.arccos(np.clip(like[rows, c].min(), -1.0, 1.0)))
+
+
+class Nearest:
+    """The k best (similarity, doc) of each query of a block so far."""
+
+    def __init__(self, q: np.ndarray, k: int):
+        self.q, self.k, self.least = q, k, np.full(len(q), -np.inf)
+        self.held: list[pd.DataFrame] = []
+        self.products = 0
+
+    def meet(self, m: np.ndarray, docs: np.ndarray) -> None:
+        for rows, pivot, radius in cells(m):
+            away = np.arccos(np.clip(self.q @ pivot, -1.0, 1.0))
+            # no vector of the cell is nearer than its pivot by more than the radius
+            reach = np.cos(np.maximum(away - radius, 0.0))
+            asked = np.flatnonzero(reach + 2e-6 >= self.least)
+            self.products += len(asked) * len(rows)
+            if not len(asked):
+                continue
+            s = np.round(self.q[asked] @ m[rows].T, 6)
+            cut = self.least[asked]
+            if len(rows) > self.k:
+                cut = np.maximum(cut, np.partition(s, -self.k, axis=1)[:, -self.k])
+            at, row = np.nonzero(s >= cut[:, None])
+            self.held.append(pd.DataFrame({"q": asked[at], "doc": docs[rows[row]], "s": s[at, row]}))
+        self.best()
+
+    def best(self) -> pd.DataFrame:
+        if not self.held:
+            return pd.DataFrame({"q": [], "doc": [], "s": []})
+        every = pd.concat(self.held).sort_values(["q", "s", "doc"], ascending=[True, False, True], na_position="first")
+        top = every.groupby("q").head(self.k)
+        last = top.groupby("q")["s"].agg(["size", "min"])
+        last = last[last["size"] == self.k]
+        self.least[last.index.to_numpy(np.int64)] = last["min"]
+        self.held = [top]
+        return top
+
+
+def _nearest(shared, k: int, kinds: pa.Schema):
     def run(batches):
-        ids, q = shared.value
-        if not len(ids):
-            return
-        q = normalize_matrix(q)
-        best: list[pd.DataFrame] = []
+        found = {q.shape[1]: (ids, Nearest(q, k)) for ids, q in shared.value}
         for batch in batches:
-            m = normalize_matrix(np.stack(batch.column(1).to_numpy(zero_copy_only=False)).astype(np.float64)) if batch.num_rows else None
-            if m is None:
-                continue
-            docs = batch.column(0).to_numpy(zero_copy_only=False)
-            s = np.round(q @ m.T, 6)
-            order = np.lexsort((np.broadcast_to(docs, s.shape), -s), axis=1)[:, :k]
-            rows = np.repeat(np.arange(len(q)), order.shape[1])
-            best.append(pd.DataFrame({"q": rows, "doc": docs[order.ravel()], "s": s[rows, order.ravel()]}))
-            if len(best) > 8:
-                best = [_first(best, k)]
-        if best:
-            top = _first(best, k)
-            yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in top["q"]]), pa.array(top["doc"].to_numpy()), pa.array(top["s"].to_numpy())], names=["qid", "doc", "similarity"])
+            # as objects where an id is null, which would turn whole numbers into floats
+            docs = np.array(batch.column(0).to_pylist(), object) if batch.column(0).null_count else batch.column(0).to_numpy(zero_copy_only=False)
+            for rows, m in vectors_by_size(batch.column(1)):
+                for at in range(0, len(rows) if m.shape[1] in found else 0, ROWS):
+                    found[m.shape[1]][1].meet(m[at : at + ROWS], docs[rows[at : at + ROWS]])
+        for ids, nearest in found.values():
+            top = nearest.best()
+            if len(top):
+                columns = [[ids[i] for i in top["q"].tolist()], top["doc"].tolist(), top["s"].tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds.types)], schema=kinds)
 
     return run
 
 
-def _first(frames: list[pd.DataFrame], k: int) -> pd.DataFrame:
-    every = pd.concat(frames).sort_values(["q", "s", "doc"], ascending=[True, False, True])
-    return every.groupby("q").head(k)
-
-
 def retrieval_units(chunks: DataFrame, annexes: DataFrame, mode: str = "chunk", cap: int = CAP) -> DataFrame:
     """(id, text, law, article, annex): annex chunks, or whole annexes in their place, never both."""
     from lexmill.functions.text import norm_name, squeeze

@@ -52,6 +52,33 @@ def test_knn_against_numpy(spark):
             assert [r.doc for r in sorted((r for r in got if r.qid == k), key=lambda r: r.rank)] == np.argsort(-s, kind="stable")[:7].tolist()
 
 
+def test_knn_of_vectors_that_are_none(spark):
+    nan = float("nan")
+    rows = [(1, [1.0, 0.0]), (2, None), (3, [1.0, 0.1, 0.0]), (4, []), (5, [nan, 1.0]), (6, [None, 1.0]), (7, [0.9, 0.1]), (8, [1.0, 0.0]), (None, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "doc long, embedding array<float>").repartition(3)
+    got = embeddings.knn(df.withColumnRenamed("doc", "qid"), df, 3, block=2).collect()
+    by = {}
+    for r in sorted(got, key=lambda r: r.rank):
+        by.setdefault(r.qid, []).append(r.doc)
+    assert by[1] == by[8] == [1, 8, 7] and by[7] == [7, 1, 8] and by[3] == [3] and by.keys() == {1, 3, 7, 8, None}
+    assert embeddings.knn(df.limit(0).withColumnRenamed("doc", "qid"), df, 3).count() == 0 and embeddings.knn(df.withColumnRenamed("doc", "qid"), df.limit(0), 3).count() == 0
+
+
+def test_cells_leave_products_out_and_no_neighbour(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 24))
+    m = embeddings.normalize_matrix(np.concatenate([c + 0.05 * rng.normal(size=(150, 24)) for c in centres]))
+    m = m[rng.permutation(len(m))]
+    nearest = embeddings.Nearest(m[:50], 5)
+    for at in range(0, len(m), 1500):
+        nearest.meet(m[at : at + 1500], np.arange(at, at + len(m[at : at + 1500])))
+    top = nearest.best()
+    for q in range(50):
+        s = np.round(m @ m[q], 6)
+        assert top[top["q"] == q]["doc"].tolist() == sorted(range(len(m)), key=lambda d: (-s[d], d))[:5]
+    assert nearest.products < 0.6 * 50 * len(m)
+
+
 def test_upsert(spark):
     old = spark.createDataFrame([("a", "1"), ("b", "1"), ("c", "1")], "chunk_id string, content_sha string")
     new = spark.createDataFrame([("a", "1", 1), ("b", "2", 1), ("d", "3", 1), ("d", "4", 2)], "chunk_id string, content_sha string, seq int")
