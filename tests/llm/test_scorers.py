@@ -1,4 +1,5 @@
 import random
+import re
 
 import public_tokenizers
 import pytest
@@ -155,6 +156,31 @@ def test_long_words_are_not_remembered():
 # --- licenses ---------------------------------------------------------------------------------------
 
 
+def test_templates_and_changed_texts_without_a_license_word(spark):
+    """What is searched is what the templates say: no word is asked for besides."""
+    wording = "seven tall ships sail north past cold harbours"
+    rows = ["x y " + wording.upper() + " z", "nothing", None, wording]
+    got = {(r.doc_id, r.license_id, r.n_differences) for r in licenses.license_blocks(cases.frame(spark, rows), templates={"ships": wording}).collect()}
+    assert got == {(0, "ships", 0), (3, "ships", 0)}
+    changed = []
+    names = [n for n in licenses.TEXTS if n.split("-")[0] in ("MPL", "Unlicense", "Zlib")]
+    for name in names:
+        text = re.sub(r"(?i)licen[cs]e|copyright|public|permission|redistribut\w*", "thing", licenses.TEXTS[name], count=len(licenses.words(licenses.TEXTS[name])) // 20)
+        changed.append(text)
+    found = {(r.doc_id, r.license_id) for r in licenses.license_blocks(cases.frame(spark, changed), templates=((licenses.TEXTS, 0.1),)).collect()}
+    assert len(names) >= 3 and {(k, n) for k, n in enumerate(names)} <= found
+
+
+def test_sizes_decide_between_overlapping_templates(monkeypatch):
+    scanner = licenses.Scanner((({"a-short": "the quick brown fox", "b-long": "the quick brown fox jumps over one lazy dog"}, 0.0),))
+    text = "see: the quick brown fox jumps over one lazy dog today"
+    assert [r[2] for r in scanner.scan(text, False)] == ["b-long"]
+    # without sizes the rank falls back on equal words; turned round, it takes the shorter one
+    real = scanner.bytes_saved
+    monkeypatch.setattr(scanner, "bytes_saved", lambda block, some: {k: -n for k, n in real(block, some).items()})
+    assert [r[2] for r in scanner.scan(text, False)] != ["b-long"]
+
+
 def test_license_blocks(spark):
     rows = ["text\nReleased under the MIT License.\nmore", "LICENSED UNDER CC BY 4.0", "Licensed under CC BY-NC 4.0.", "Released under the MIT Lisence, a licence", None, "", "license"]
     got = {(r.doc_id, r.line): r for r in licenses.license_blocks(cases.frame(spark, rows), unconfirmed=True).collect()}
