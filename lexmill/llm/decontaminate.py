@@ -49,9 +49,9 @@ SPAN = 10
 #: substituted word in units of an equal one.
 MIN_WORDS, MIN_SIMILARITY, SUBSTITUTED = 13, 0.8, 2
 #: Equal words that make up for another one at MIN_SIMILARITY, words of the stretches that are looked
-#: at around a hit, and hits looked at together.
+#: at around a hit, hits held at once, turns that look at one hit of each diagonal, and hits looked at together.
 OTHER = round(MIN_SIMILARITY / (1 - MIN_SIMILARITY))
-NEAR, HITS = 2 * MIN_WORDS - 1, 1 << 14
+NEAR, HITS, ASKED, TOGETHER = 2 * MIN_WORDS - 1, 1 << 18, 4, 1 << 14
 #: Benchmark bytes of a pass at most.
 BLOCK_BYTES = 8_000_000
 _BITS = 22
@@ -127,36 +127,74 @@ class Index:
                 k = np.searchsorted(stops, n, side="right")
                 yield np.stack([at[k], places[high[k] - stops[k] + n]], axis=1)
 
+    def _near(self, hits: np.ndarray, text: np.ndarray, item: np.ndarray, edges: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Whether each hit lies near a stretch within the limits."""
+        around = np.arange(-NEAR, NEAR)
+        size = self.edges[item + 1] - self.edges[item]
+        good = (size < SPAN) & (hits[:, 0] + size <= edges[text + 1])
+        p, q = hits[:, :1] + around, hits[:, 1:] + around
+        inside = (p >= edges[text, None]) & (p < edges[text + 1, None]) & (q >= self.edges[item, None]) & (q < self.edges[item + 1, None])
+        equal = words[np.where(inside, p, 0)] == self.words[np.where(inside, q, 0)]
+        total = np.zeros((len(hits), 2 * NEAR + 1), np.int32)
+        np.cumsum(np.where(inside, np.where(equal, 1, -OTHER), -NEAR), axis=1, out=total[:, 1:])
+        for n in range(SPAN, NEAR + 1):
+            good |= (size >= SPAN) & (n >= np.minimum(MIN_WORDS, size)) & (total[:, n:] >= total[:, :-n]).any(axis=1)
+        return good
+
     def diagonals(self, words: np.ndarray, edges: np.ndarray) -> np.ndarray:
-        """(text, item, diagonal) of the hits that lie near a stretch within the limits."""
-        found, around = [], np.arange(-NEAR, NEAR)
+        """(text, item, diagonal) of the hits that lie near a stretch within the limits, sorted.
+
+        A diagonal that is known is asked no more, however many of its places are hits.
+        """
+        reach = len(words) + len(self.words) + 1
+        known = np.zeros(0, np.int64)
         for hits in self.hits(words):
             text = np.searchsorted(edges, hits[:, 0], side="right") - 1
             item = self.item[hits[:, 1]]
-            size = self.edges[item + 1] - self.edges[item]
-            good = (size < SPAN) & (hits[:, 0] + size <= edges[text + 1])
-            p, q = hits[:, :1] + around, hits[:, 1:] + around
-            inside = (p >= edges[text, None]) & (p < edges[text + 1, None]) & (q >= self.edges[item, None]) & (q < self.edges[item + 1, None])
-            equal = words[np.where(inside, p, 0)] == self.words[np.where(inside, q, 0)]
-            total = np.zeros((len(hits), 2 * NEAR + 1), np.int32)
-            np.cumsum(np.where(inside, np.where(equal, 1, -OTHER), -NEAR), axis=1, out=total[:, 1:])
-            for n in range(SPAN, NEAR + 1):
-                good |= (size >= SPAN) & (n >= np.minimum(MIN_WORDS, size)) & (total[:, n:] >= total[:, :-n]).any(axis=1)
-            found.append(np.unique(np.stack([text, item, hits[:, 0] - hits[:, 1]], axis=1)[good], axis=0))
-        return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
+            code = (text * len(self.ids) + item) * reach + hits[:, 0] - hits[:, 1] + len(self.words)
+            left = np.flatnonzero(~np.isin(code, known))
+            for turn in range(ASKED + 1):
+                if not len(left):
+                    break
+                # first one hit of each diagonal, some times over; then all that are left
+                asked = left[np.unique(code[left], return_index=True)[1]] if turn < ASKED else left
+                parts = [asked[k : k + TOGETHER] for k in range(0, len(asked), TOGETHER)]
+                near = np.concatenate([self._near(hits[k], text[k], item[k], edges, words) for k in parts])
+                good = np.unique(code[asked[near]])
+                known = np.union1d(known, good)
+                left = np.setdiff1d(left, asked, assume_unique=True) if turn < ASKED else left[:0]
+                left = left[~np.isin(code[left], good)]
+        pair, diagonal = known // reach, known % reach - len(self.words)
+        return np.stack([pair // max(1, len(self.ids)), pair % max(1, len(self.ids)), diagonal], axis=1)
 
     def overlaps(self, words: np.ndarray, edges: np.ndarray):
-        """(text, item, text's word, item's word, words, equal words) of each verified diagonal."""
-        for t, i, diagonal in self.diagonals(words, edges):
-            first = max(self.edges[i], edges[t] - diagonal)
-            last = min(self.edges[i + 1], edges[t + 1] - diagonal)
-            size = int(self.edges[i + 1] - self.edges[i])
-            equal = self.words[first:last] == words[first + diagonal : last + diagonal]
-            if size < SPAN and (len(equal) < size or not equal.all()):
+        """(text, item, text's word, item's word, words, equal words): the best stretch of each text and item,
+        by most equal words, then first in the text, then first in the item."""
+        found = self.diagonals(words, edges)
+        t, i, diagonal = found.T
+        first = np.maximum(self.edges[i], edges[t] - diagonal)
+        size = np.minimum(self.edges[i + 1], edges[t + 1] - diagonal) - first
+        # of a text and item the longest diagonals first, then the earliest in the text: what follows can be left out by its length
+        order = np.lexsort((first + diagonal, -size, i, t))
+        pair, best = None, None
+        for t, i, diagonal, first, size in np.stack([t, i, diagonal, first, size], axis=1)[order].tolist():
+            if (t, i) != pair:
+                if best:
+                    yield pair + best
+                pair, best = (t, i), None
+            if best and (size < best[3] or size == best[3] and first + diagonal - edges[t] > best[0]):
+                continue
+            whole = int(self.edges[i + 1] - self.edges[i])
+            equal = self.words[first : first + size] == words[first + diagonal : first + diagonal + size]
+            if whole < SPAN and (size < whole or not equal.all()):
                 continue
-            if stretch := valid_stretch(equal, min(MIN_WORDS, size)):
+            if stretch := valid_stretch(equal, min(MIN_WORDS, whole)):
                 begin, end = stretch
-                yield int(t), int(i), int(first + diagonal + begin - edges[t]), int(first + begin - self.edges[i]), end - begin, int(equal[begin:end].sum())
+                one = (int(first + diagonal + begin - edges[t]), int(first + begin - self.edges[i]), end - begin, int(equal[begin:end].sum()))
+                if not best or (one[3], -one[0], -one[1]) > (best[3], -best[0], -best[1]):
+                    best = one
+        if best:
+            yield pair + best
 
 
 def best_stretch(equal: np.ndarray) -> tuple[int, int]:

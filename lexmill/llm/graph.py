@@ -34,10 +34,10 @@ def _state(edges: DataFrame) -> tuple[bool, int, int]:
     return not odd, most or 0, total or 0
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b", most: int = 60) -> DataFrame:
-    """(node, component): the least node that each node of an edge reaches."""
+def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """(node, component): the least node that each node of an edge reaches. Each round hangs nodes lower, so it ends, however long the chains."""
     now = keep(edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter("a != b").distinct())
-    for _ in range(most):
+    while True:
         done, degree, total = _state(now)
         if done:
             break
@@ -45,7 +45,5 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most: int = 60) ->
         then = keep(_star(_star(now, True, total, hubs), False, total, hubs))
         drop_kept(then.sparkSession, now)
         now = then
-    else:
-        raise RuntimeError("components did not settle")
     sweep(now.sparkSession)
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select("b", "b").distinct())

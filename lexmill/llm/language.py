@@ -3,8 +3,8 @@
 `fit` counts hashed byte trigrams by language on a bounded sample of labelled texts, as a Spark
 aggregation. `predict` gives each whole text its language proportions: expectation-maximisation
 over the n-gram likelihoods, with the set of languages chosen by penalised likelihood. The model is
-an array of (languages, BUCKETS) numbers, bounded by MAX_LANGUAGES, so broadcasting it in the
-closure does not grow with the data. Prediction has no shuffle.
+an array of (languages, BUCKETS) numbers, 256 KB for each label value, so what is broadcast grows with
+the languages and not with the data. Prediction has no shuffle.
 
 Defined results: a text that is null or has no letter is `und` with score 0; training skips null
 texts and null languages; equal texts get equal results; an empty training table makes every text
@@ -21,10 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm.hashing import mix
-from lexmill.llm.tables import hash_fraction, release
+from lexmill.llm.tables import hash_fraction, named, release
 
-#: Hash buckets of the byte trigrams; languages at most; labelled texts expected per language.
-BUCKETS, MAX_LANGUAGES, SAMPLE_PER_LANGUAGE = 1 << 15, 256, 3000
+#: Hash buckets of the byte trigrams; labelled texts expected per language.
+BUCKETS, SAMPLE_PER_LANGUAGE = 1 << 15, 3000
 #: Change of a share at which expectation-maximisation ends; nats that one more language must gain per log of the length.
 TOLERANCE, PENALTY = 1e-5, 2.0
 UNDETERMINED = "und"
@@ -86,9 +86,7 @@ def _em(p: np.ndarray, n: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, fl
 def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     """Learns from about per_language texts of each language, drawn by the hash of their key."""
     rows = labelled.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")).filter("text is not null and lang is not null")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()}
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return Model([], np.zeros((0, BUCKETS)))
     share = F.create_map(*(F.lit(x) for lang_, n in sizes.items() for x in (lang_, min(1.0, per_language / n))))
@@ -137,7 +135,7 @@ def predict(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(sets, pa.list_(out_type)), *batch.columns[3:]], names=["key", "lang_pred", "score", "languages", *carried])
         release()
 
-    rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"), *(F.col(c).alias(k) for c, k in zip(carry, carried)))
+    rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"), *(named(c).alias(k) for c, k in zip(carry, carried)))
     rows = rows.select("key", F.col("text").cast("binary").alias("text"), F.col("text").rlike(r"\p{L}").alias("lettered"), *carried)
     schema = f"key {dict(df.dtypes)[key]}, lang_pred string, score double, languages array<struct<lang: string, share: double>>"
     out = rows.mapInArrow(run, ", ".join([schema, *(f"{k} {dict(df.dtypes)[c]}" for c, k in zip(carry, carried))]))

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from lexmill.llm.graph import components
 from lexmill.llm.hashing import BASE, blocks, mix, shingle_hashes, span_hashes, word_spans
-from lexmill.llm.tables import as_bytes, drop_kept, fresh, hub_join, keep, listed, release, sweep
+from lexmill.llm.tables import as_bytes, columns, drop_kept, fresh, hub_join, keep, listed, release, sweep
 
 WORDS, PERCENT = 5, 80
 #: A shingle in so many prefixes is frequent; the list that orders has so many of them at most.
@@ -382,7 +382,7 @@ def first_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", words:
     marked = df.withColumn(mark, F.xxhash64(as_bytes(text)))
     side = listed(odd.select(F.col("key").alias(odd_key), F.col("mark").alias(odd_mark), F.col("stays").alias(stays)))
     joined = marked.join(side, (F.col(key) == F.col(odd_key)) & (F.col(mark) == F.col(odd_mark)), "left")
-    kept = joined.filter(F.col(stays).isNull()).select(df.columns)
+    kept = joined.filter(F.col(stays).isNull()).select(columns(df))
     if odd.filter("stays").isEmpty():
         return kept
-    return kept.unionByName(joined.filter(F.col(stays)).dropDuplicates([key, mark]).select(df.columns))
+    return kept.unionByName(joined.filter(F.col(stays)).dropDuplicates([key, mark]).select(columns(df)))

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexmill.llm.hashing import BYTE, MIX_A, MIX_B, blocks, mix
-from lexmill.llm.tables import as_bytes, drop_kept, keep, release, shuffles_go, sweep
+from lexmill.llm.tables import as_bytes, drop_kept, fresh, keep, named, release, shuffles_go, sweep
 
 #: Bytes of a repeated string, of an anchor's own string, and window starts that share an anchor at most.
 LENGTH, SHALLOW = 100, 32
@@ -490,7 +490,7 @@ def _shortened(rows: DataFrame, most: int, finish) -> DataFrame:
 def _tagged(df: DataFrame, key: str, text: str) -> tuple[DataFrame, str, bool]:
     """df with a column that numbers its documents in order, that column's name, and whether each
     document has one row."""
-    name = next(n for n in (f"_document{k}" for k in range(len(df.columns) + 1)) if n not in df.columns)
+    name = fresh(df, "_document")
     if isinstance(df.schema[key].dataType, (T.LongType, T.IntegerType, T.ShortType)):
         n = df.agg(F.count("*").alias("n"), F.countDistinct(key).alias("different")).first()
         if n["n"] == n["different"]:
@@ -501,8 +501,10 @@ def _tagged(df: DataFrame, key: str, text: str) -> tuple[DataFrame, str, bool]:
     order = [F.col("key").isNull(), F.col("key"), F.col("sha")]
     # parts are in order and keep the order of their rows, so these numbers do
     numbers = keep(found.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn(name, F.monotonically_increasing_id()))
-    joined = df.join(numbers, df[key].eqNullSafe(numbers["key"]) & (F.unhex(F.sha2(F.coalesce(df[text], F.lit("")).cast("binary"), 256)) == numbers["sha"]))
-    return keep(joined.select(*(df[c] for c in df.columns), numbers[name])), name, False
+    renamed = df.select(*(named(c).alias(f"c{k}") for k, c in enumerate(df.columns)))
+    its_key, its_text = (F.col(f"c{df.columns.index(c)}") for c in (key, text))
+    joined = renamed.join(numbers, its_key.eqNullSafe(F.col("key")) & (F.unhex(F.sha2(F.coalesce(its_text, F.lit("")).cast("binary"), 256)) == F.col("sha")))
+    return keep(joined.select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(df.columns)), name)), name, False
 
 
 def _cut_texts(tagged: DataFrame, name: str, text: str, once: bool, most: int, finish) -> DataFrame:
@@ -540,5 +542,6 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", most:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([k.as_py().decode("utf-8", "ignore") for k in batch.column(2)], pa.string())], names=["id", "kept"])
 
     kept = _cut_texts(tagged, name, text, once, most, lambda cut: cut.filter("n_removed > 0").mapInArrow(decode, "id long, kept string"))
-    joined = tagged.join(kept.select(F.col("id").alias(name), F.col("kept").alias(f"{name}_kept")), name, "left")
-    return joined.select(*(F.coalesce(f"{name}_kept", c).alias(c) if c == text else F.col(c) for c in df.columns))
+    own = fresh(tagged, "_kept")
+    joined = tagged.join(kept.select(F.col("id").alias(name), F.col("kept").alias(own)), name, "left")
+    return joined.select(*(F.coalesce(own, c).alias(c) if c == text else named(c) for c in df.columns))

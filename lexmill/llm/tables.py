@@ -116,6 +116,16 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def columns(df: DataFrame, *but: str) -> list[Column]:
+    """df's columns as they are, whatever their names hold, without some."""
+    return [named(c) for c in df.columns if c not in but]
+
+
+def named(name: str) -> Column:
+    """A column by its exact name: dots and back quotes in it are no syntax."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def release() -> None:
     """At the end of a task: gives free memory back to the system, as Python workers live on."""
     import ctypes

@@ -307,3 +307,14 @@ def test_hashes_of_spans():
         back = np.frombuffer(b"\n\n".join(reversed(words)), np.uint8)
         assert hashing.span_hashes(back, *hashing.word_spans(back))[::-1].tolist() == h.tolist()
         assert not len(hashing.span_hashes(buf, starts[:0], ends[:0]))
+
+
+def test_columns_of_any_name_pass_the_stages(spark):
+    one = cases.words(random.Random(8), 40)
+    df = spark.createDataFrame([(1, one, 0), (1, one + " x", 0), (2, one, 0), (3, "other words", 0)], "doc_id long, text string, `a.b` int")
+    odd = ["_document0_kept", "_DOCUMENT0", "_Document", "_kept", "id", "Mark", "c0", "`q`", "_document", "key", "sha"]
+    names = [n for n in odd if n.lower() not in ("_document",)]
+    df = df.select("*", *(F.lit(7).alias(n) for n in names))
+    for out in (suffix_dedup.remove_repeats(df), near_duplicates.first_of_each(df)):
+        assert out.columns == df.columns and {r["a.b"] for r in out.collect()} == {0} and {r["_DOCUMENT0"] for r in out.collect()} == {7}
+    assert suffix_dedup.remove_repeats(df.filter("text != 'other words'").dropDuplicates(["doc_id"])).count() == 2

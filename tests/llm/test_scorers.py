@@ -476,3 +476,12 @@ def test_five_languages_and_a_small_share():
     assert np.allclose(shares[:5], 0.2, atol=0.02) and shares[5] == 0
     shares, _ = model.proportions((say(0, 9850) + " " + say(1, 150)).encode())
     assert 0.01 < shares[1] < 0.02 and (shares > 0).sum() == 2
+
+
+def test_a_text_of_one_word_takes_linear_time(spark):
+    import time
+
+    bench = spark.createDataFrame([(1, "la " * 400), (2, "la " * 399 + "li")], "item_id long, text string")
+    began = time.time()
+    got = sorted(tuple(r) for r in decontaminate.overlaps(cases.frame(spark, ["la " * 100_000, "la " * 12]), bench).collect())
+    assert [r[:6] for r in got] == [(0, 1, 0, 0, 400, 400), (0, 2, 0, 0, 399, 399)] and time.time() - began < 120
