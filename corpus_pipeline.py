@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.llm import decontaminate, language, near_duplicates, packing, queries, suffix_dedup
-from lexmill.llm.tables import drop_kept, keep, small_batches
+from lexmill.llm.tables import columns, drop_kept, keep, named, small_batches
 
 #: Least share of its main language that a kept document has.
 MAIN_LANGUAGE = 0.5
@@ -23,7 +23,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     model = language.fit(docs)
     found = language.predict(docs, model, carry=tuple(c for c in docs.columns if c not in ("doc_id", "lang")))
     kept = found.filter((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= MAIN_LANGUAGE))
-    return kept.withColumn("lang", F.col("lang_pred")).select(docs.columns)
+    return kept.withColumn("lang", F.col("lang_pred")).select(columns(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Removes repeated substrings from the texts; documents that have no word left go."""
     small_batches(spark)
     out = suffix_dedup.remove_repeats(docs).filter(F.col("text").rlike(r"\S"))
-    return out.select(*(F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
+    return out.select(*(F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else named(c) for c in docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
