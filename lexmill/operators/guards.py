@@ -2,18 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-import ahocorasick
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.functions.text import has_one, norm_text, numbers
-
-
-#: Wordings that one pass over the corpus looks for.
-MOST_WORDINGS = 100_000
+from lexmill.functions.text import norm_text, numbers
+from lexmill.operators.wordings import standing
 
 
 class IntegrityError(ValueError):
@@ -58,32 +51,11 @@ def assert_dim(df: DataFrame, dim: int, vector: str = "embedding") -> DataFrame:
     return df
 
 
-def _present(plain: DataFrame, wordings: list[str]) -> DataFrame:
-    """The wordings that stand in some text of plain (_body)."""
-    shared = plain.sparkSession.sparkContext.broadcast([w for w in wordings if w])
-
-    def run(batches):
-        automaton = ahocorasick.Automaton()
-        for w in shared.value:
-            automaton.add_word(w, w)
-        automaton.make_automaton()
-        found: set[str] = set()
-        for batch in batches:
-            for body in batch.column(0).to_pylist() if shared.value else ():
-                found.update(w for _, w in automaton.iter(body or ""))
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(sorted(found))], names=["_plain"])
-
-    # the empty wording stands in every text
-    empty = plain.select(F.lit("").alias("_plain")).limit(1 if "" in wordings else 0)
-    return plain.mapInArrow(run, "_plain string").unionByName(empty)
-
-
 def missing_keys(questions: DataFrame, corpus: DataFrame, qid: str = "qid", keys: str = "answer_keys", body: str = "text") -> DataFrame:
     """(qid, key): answer keys of which no alternative stands in any single text of the corpus.
 
-    Numeric keys meet the numbers of the texts by equality. Wordings are looked for by an automaton
-    that reads each text once, MOST_WORDINGS at a time, so a larger question set takes more passes.
+    Numeric keys meet the numbers of the texts by equality. Wordings are looked for by their rarest
+    grams (wordings.standing), in two scans of the corpus however many there are.
     """
     from lexmill.functions.text import canon, strip
 
@@ -91,12 +63,8 @@ def missing_keys(questions: DataFrame, corpus: DataFrame, qid: str = "qid", keys
     each = each.withColumn("_c", strip(canon("_one"))).withColumn("_numeric", F.col("_c").rlike(r"^\d+(?:\.\d+)?(?:e-?\d+)?$")).withColumn("_plain", norm_text("_one"))
     present = corpus.select(F.explode(numbers(body)).alias("_c")).distinct()
     by_number = each.filter("_numeric").join(present, "_c", "left_semi").select(qid, "_k")
-    wordings = each.filter("not _numeric and _plain is not null").select("_plain").distinct()
-    passes = -(-wordings.count() // MOST_WORDINGS)
-    part = F.pmod(F.xxhash64("_plain"), F.lit(max(1, passes)))
-    plain = corpus.select(norm_text(body).alias("_body"))
-    blocks = ([r["_plain"] for r in wordings.filter(part == k).collect()] for k in range(passes))
-    found = reduce(DataFrame.unionByName, (_present(plain, some) for some in blocks), wordings.limit(0)).distinct()
+    wordings = each.filter("not _numeric and _plain is not null").select(F.col("_plain").alias("wording")).distinct()
+    found = standing(wordings, corpus.select(norm_text(body).alias("body"))).withColumnRenamed("wording", "_plain")
     by_word = each.filter("not _numeric").join(found, "_plain", "left_semi").select(qid, "_k")
     lost = each.join(by_number.union(by_word).distinct(), [qid, "_k"], "left_anti")
     return lost.groupBy(qid, "_k").agg(F.first(F.array_join("_alternatives", "|")).alias("key")).select(qid, "key")

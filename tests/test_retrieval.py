@@ -201,8 +201,7 @@ def test_whole_texts_are_embedded(spark, sf):
     assert all(np.allclose(got[k], embed([t])[0], atol=1e-6) for k, t in texts.items())
 
 
-def test_wordings_in_several_passes(spark, monkeypatch):
-    monkeypatch.setattr(guards, "MOST_WORDINGS", 2)
+def test_wordings_in_several_passes(spark):
     keys = [[f"word{k}", f"other{k}"] for k in range(9)] + [["", "x"], ["50"]]
     q = spark.createDataFrame([(1, keys)], "qid long, answer_keys array<array<string>>")
     u = spark.createDataFrame([(1, "a word1, word 2"), (2, "OTHER3 other4 word5x"), (3, None), (4, "50 mSv")], "id long, text string")
