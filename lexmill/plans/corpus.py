@@ -405,6 +405,15 @@ S12 = """WITH r AS (SELECT source, (doc_id % 7 = 0)::INT + (doc_id % 13 = 0)::IN
 SELECT count(*) || '건 개정 — ' || array_to_string((list(source ORDER BY source))[1:3], ', ') || ' · 별표 ' || sum(n) || '건' AS subject FROM r"""
 
 
+#: The blocks of the same documents, from the rule by which inputs.statutes makes the later state.
+S12_MARKDOWN = f"""WITH {ARTICLES}, n AS (SELECT doc_id, any_value(d.source) AS source, any_value(d.lang) AS lang, count(*) AS n FROM articles JOIN documents d USING (doc_id) GROUP BY doc_id),
+parts AS (SELECT *, concat_ws(', ', CASE WHEN doc_id % 7 = 0 THEN '제1조' || named END, CASE WHEN doc_id % 13 = 0 THEN '제' || (n + 1) || '조' || named || ' 신설' END) AS arts,
+  concat_ws(chr(10) || '  - ', CASE WHEN doc_id % 7 = 0 THEN '별표1 [별표] 개정 — "table ' || lang || '" → "form ' || lang || '"' END, CASE WHEN doc_id % 13 = 0 THEN '별표2의3 [서식] added — 신설' END) AS forms
+  FROM (SELECT *, CASE WHEN source != '' THEN '(' || source || ')' ELSE '' END AS named FROM n) WHERE doc_id % 11 != 0 AND doc_id % 5 = 0)
+SELECT 'law/' || doc_id || '.md' AS path, '### [law] ' || source || chr(10) || '- 버전 `' || doc_id || '` → `' || (doc_id + 1000000) || '`' || chr(10) || '- 개정 조문: ' || CASE WHEN arts != '' THEN arts ELSE '(조문 변경 없음)' END
+  || CASE WHEN doc_id % 17 = 0 THEN chr(10) || '- 부칙 변경 있음' ELSE '' END || CASE WHEN forms != '' THEN chr(10) || '- **별표·서식**' || chr(10) || '  - ' || forms ELSE '' END || chr(10) || '- `law/' || doc_id || '.md`' AS markdown FROM parts"""
+
+
 def p14_clean_converted(spark, d) -> DataFrame:
     body = F.concat(F.lit("<colgroup><col/></colgroup>\n<table>\n<tbody><tr class='x'><td>"), "p_name", F.lit("\n\n\n\n"), "p_type", F.lit("</td></tr></tbody></table>\n"))
     return table(spark, d, "part").select("p_partkey", markup.clean_converted(body).alias("text"))
@@ -463,5 +472,5 @@ QUERIES = {f.__name__: f for f in (
 ORACLES = {
     "p1_split_header": P1, "p2_p3_header_values": P2, "p4_header_map": P4, "p5_manifest": P5, "p7_p8_articles": P7, "p9_p10_annex_names": P9, "p11_refs": P11, "p12_html_plain": P12, "p12_html_unescape": P12_LENGTH, "p13_table_rows": P13, "p14_clean_converted": P14, "c9_deleted_annexes": C9, "c12_annex_chunks": C12_ANNEX, "p15_sanitize": P15, "p16_sniff": P16,
     "c1_split_articles": C1, "c2_fallback_heading": C2, "c3_drop_deleted": C3, "c4_c6_split_long": C4, "c5_oversize_paragraphs": C5, "c7_annex_segments": C7, "c8_pack_index": C8, "c10_attach_parent": C10, "c11_article_links": C11, "c12_chunks": C12, "c13_chunk_stats": C13, "c14_index_scope": C14,
-    "j1_article_table": J1, "j2_diff_articles": J2, "j3_line_diff": J3, "j4_changed_documents": J4, "j5_manifest_diff": J5, "j6_diff_files": J6, "j7_file_profile": J7, "j8_report": J8, "s12_report_subject": S12, "v1_duplicates": V1, "v2_empty_documents": V2, "v3_orphans": V3,
+    "j1_article_table": J1, "j2_diff_articles": J2, "j3_line_diff": J3, "j4_changed_documents": J4, "j5_manifest_diff": J5, "j6_diff_files": J6, "j7_file_profile": J7, "j8_report": J8, "s12_report_subject": S12, "s12_report_markdown": S12_MARKDOWN, "v1_duplicates": V1, "v2_empty_documents": V2, "v3_orphans": V3,
 }
