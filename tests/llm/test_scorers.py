@@ -278,6 +278,16 @@ def test_notices_over_line_ends_and_beside_each_other(spark):
 # --- URL filters ------------------------------------------------------------------------------------
 
 
+def test_rules_of_one_prefix_in_two_spellings_and_of_equal_times(spark):
+    entries = [("prefix", "A.com/x", "add", "2024-01-02"), ("prefix", "a.com/x", "add", "2024-01-01"), ("prefix", "a.com/x", "remove", "2024-01-03"), ("domain", "com", "add", "2024-01-05"), ("domain", "com", "add", "2024-01-06"), ("host", "a.com", "add", "2024-01-06"), ("host", "a.com", "remove", "2024-01-07")]
+    listed = spark.createDataFrame(entries, "rule string, value string, action string, dated string")
+    captures = [(d, "https://A.com/x/y", f"2024-01-{d:02}") for d in range(1, 9)] + [(20, None, "2024-01-02"), (21, "https://a.com/x", None), (22, "https://b.com/x", "2024-01-05")]
+    df = spark.createDataFrame(captures, "page_id long, url string, fetched string")
+    got = {r.page_id: (r.n_rules, r.first_rule) for r in url_filters.evaluate(df, listed).collect()}
+    spelt, plain = "prefix:A.com/x", "prefix:a.com/x"
+    assert got == {1: (1, plain), 2: (2, spelt), 3: (1, spelt), 4: (1, spelt), 5: (2, "domain:com"), 6: (3, "domain:com"), 7: (2, "domain:com"), 8: (2, "domain:com"), 20: (0, None), 21: (0, None), 22: (1, "domain:com")}
+
+
 def test_url_filters_as_of(spark):
     entries = [("host", "a.example.org", "add", "2024-01-10"), ("host", "a.example.org", "remove", "2024-02-10"), ("domain", "example.com", "add", "2024-01-01"), ("prefix", "p.example.net/x/", "add", "2024-01-01"), ("host", "same.org", "add", "2024-01-01"), ("host", "same.org", "remove", "2024-01-01"), ("host", None, "add", "2024-01-01"), ("host", "n.org", "add", None)]
     captures = [(1, "http://a.example.org/", "2024-01-09"), (2, "http://A.example.org/", "2024-01-10"), (3, "https://a.example.org", "2024-02-10"), (4, "http://www.example.com:80/q", "2024-05-01"), (5, "http://notexample.com/", "2024-05-01"), (6, "http://p.example.net/x/y", "2024-05-01"), (7, "http://p.example.net/y", "2024-05-01"), (8, "http://same.org/", "2024-05-01"), (9, None, "2024-05-01"), (10, "nonsense", "2024-05-01"), (11, "http://www.example.com/", None), (4, "http://www.example.com:80/q", "2024-05-01"), (12, "http://n.org/", "2024-05-01")]
