@@ -1,8 +1,8 @@
 """Operator 6, a compression classifier for text quality.
 
 `fit` builds one zstandard dictionary from good and one from bad labelled texts. The normalised
-difference of the two compressed sizes becomes a score by a logistic curve, calibrated on other
-labelled texts. The difference is a sum over the text, so its noise grows with the root of the
+difference of the two compressed sizes becomes a score by a rising curve, fitted to the shares of good
+texts among other labelled texts. The difference is a sum over the text, so its noise grows with the root of the
 length, by which it is normalised; nothing else enters the score.
 `score` compresses each whole text with both dictionaries: no shuffle, bounded memory.
 
@@ -31,13 +31,16 @@ PER_CLASS, LONGEST, SAMPLE_BYTES = 2000, 65536, 1 << 26
 DICTIONARY_BYTES, LEVEL = 32768, 3
 #: Bytes added to lengths, so that the shortest texts do not stand far out.
 LEAST = 16
+#: Calibrating texts of a bin.
+BIN = 40
 
 
 @dataclass
 class Model:
     good: bytes
     bad: bytes
-    weights: np.ndarray | None = None
+    knots: np.ndarray | None = None
+    shares: np.ndarray | None = None
 
     def compressors(self):
         for raw in (self.good, self.bad):
@@ -46,10 +49,9 @@ class Model:
             yield zstandard.ZstdCompressor(level=LEVEL, dict_data=one, write_content_size=False, write_dict_id=False)
 
 
-def measures(good, bad, text: bytes) -> tuple[float, float]:
-    """1; the difference of the sizes against the root of the length, above 0 where the good dictionary helps more."""
-    g, b = len(good.compress(text)), len(bad.compress(text))
-    return 1.0, (b - g) / np.sqrt(len(text) + LEAST)
+def difference(good, bad, text: bytes) -> float:
+    """The difference of the sizes against the root of the length, above 0 where the good dictionary helps more."""
+    return (len(bad.compress(text)) - len(good.compress(text))) / np.sqrt(len(text) + LEAST)
 
 
 def _dictionary(samples: list[bytes]) -> bytes:
@@ -60,20 +62,26 @@ def _dictionary(samples: list[bytes]) -> bytes:
         return b"".join(samples)[-DICTIONARY_BYTES:]
 
 
-def _logistic(a: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Weights by Newton's method with a light ridge on scaled columns; both classes weigh alike."""
-    scale = np.maximum(a.std(axis=0), 1e-6)
-    scale[0] = 1.0
-    a = a / scale
-    w = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
-    beta = np.zeros(a.shape[1])
-    for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(a @ beta, -30, 30)))
-        step = np.linalg.solve((a * (w * p * (1 - p))[:, None]).T @ a + 1e-3 * np.eye(len(beta)), a.T @ (w * (y - p)) - 1e-3 * beta)
-        beta += step
-        if np.abs(step).max() < 1e-8:
-            break
-    return beta / scale
+def _curve(x: np.ndarray, y: np.ndarray, good: float) -> tuple[np.ndarray, np.ndarray]:
+    """Knots (difference, share of label 1) of a rising curve: bins of at least BIN rows, and neighbours
+    that would fall are pooled. Classes weigh as they are among all labels (good: the share of label 1), however many of each were drawn."""
+    order = np.argsort(x, kind="stable")
+    x, y = x[order], y[order]
+    w = np.where(y == 1, good / max(1, (y == 1).sum()), (1 - good) / max(1, (y == 0).sum()))
+    pools: list[list[float]] = []  # weight, weighted x, weighted y
+    for part in np.array_split(np.arange(len(x)), max(1, len(x) // BIN)):
+        pools.append([w[part].sum(), (w * x)[part].sum(), (w * y)[part].sum()])
+        while len(pools) > 1 and pools[-2][2] * pools[-1][0] >= pools[-1][2] * pools[-2][0]:
+            last = pools.pop()
+            pools[-1] = [a + b for a, b in zip(pools[-1], last)]
+    weight, at, share = np.array(pools).T
+    return at / weight, share / weight
+
+
+def calibrated(x: np.ndarray, model: Model) -> np.ndarray:
+    """The curve between its knots; a hundredth of the score is a logistic curve, so that greater differences always score higher."""
+    spread = max(1e-6, float(model.knots[-1] - model.knots[0]))
+    return 0.99 * np.interp(x, model.knots, model.shares) + 0.01 / (1 + np.exp(-np.clip(8 * (x - model.knots.mean()) / spread, -30, 30)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", per_class: int = PER_CLASS, longest: int = LONGEST) -> Model:
@@ -95,9 +103,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         return Model(b"", b"")
     model = Model(_dictionary(parts[1, True]), _dictionary(parts[0, True]))
     good, bad = model.compressors()
-    x = np.array([measures(good, bad, t) for c in (0, 1) for t in parts[c, False]])
+    x = np.array([difference(good, bad, t) for c in (0, 1) for t in parts[c, False]])
     y = np.array([c for c in (0, 1) for _ in parts[c, False]], float)
-    model.weights = _logistic(x, y)
+    model.knots, model.shares = _curve(x, y, sizes[1] / (sizes[0] + sizes[1]))
     return model
 
 
@@ -107,17 +115,16 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
 
     def run(batches):
         model = shared.value
-        if model.weights is not None:
+        if model.knots is not None:
             good, bad = model.compressors()
         for batch in batches:
             if not batch.num_rows:
                 continue
-            if model.weights is None:
-                p = x = np.zeros(batch.num_rows)
+            if model.knots is None:
+                x, p = np.zeros(batch.num_rows), np.full(batch.num_rows, 0.5)
             else:
-                found = np.array([measures(good, bad, t.as_py()) for t in batch.column(1)])
-                p, x = found @ model.weights, found[:, 1]
-            p = 1 / (1 + np.exp(-np.clip(p, -30, 30)))
+                x = np.array([difference(good, bad, t.as_py()) for t in batch.column(1)])
+                p = calibrated(x, model)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p), pa.array((p >= 0.5).astype(np.int32)), pa.array(x)], names=["key", "score", "predicted", "difference"])
 
     rows = df.select(F.col(key).alias("key"), as_bytes(text).alias("text"))

@@ -76,6 +76,19 @@ def test_quality_on_held_out_documents(spark):
     assert auc > 0.98
 
 
+def test_scores_are_shares_of_good_texts(spark):
+    d = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
+    fold = F.crc32(F.col("doc_id").cast("string")) % 3
+    model = quality.fit(docs, labels.filter(fold != 1))
+    rows = quality.score(docs.join(labels.filter(fold == 1).select("doc_id"), "doc_id", "left_semi"), model).join(labels, "doc_id").collect()
+    for k in range(5):
+        some = [r for r in rows if 0.2 * k <= r.score < 0.2 * (k + 1) or k == 4 and r.score == 1]
+        if len(some) >= 30:
+            assert abs(sum(r.quality for r in some) - sum(r.score for r in some)) < 0.12 * len(some), (k, len(some))
+    assert sum(r.predicted == r.quality for r in rows) > 0.95 * len(rows)
+
+
 def test_quality_sample_is_bounded_where_keys_repeat(spark, monkeypatch):
     rng = random.Random(3)
     rows = [(k % 4, cases.words(rng, 30)) for k in range(400)]
@@ -101,8 +114,10 @@ def test_quality_score_is_the_calibrated_sizes(spark):
     for k, t in enumerate(texts):
         data = (t or "").encode()
         g, b = (len(zstandard.ZstdCompressor(level=quality.LEVEL, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False, write_dict_id=False).compress(data)) for d in (model.good, model.bad))
-        x = np.array([1.0, (b - g) / np.sqrt(len(data) + 16)]) @ model.weights
-        assert abs(got[k].score - 1 / (1 + np.exp(-np.clip(x, -30, 30)))) < 1e-9 and got[k].predicted == int(got[k].score >= 0.5)
+        x, low, high = (b - g) / np.sqrt(len(data) + 16), model.knots[0], model.knots[-1]
+        want = 0.99 * np.interp(x, model.knots, model.shares) + 0.01 / (1 + np.exp(-np.clip(8 * (x - model.knots.mean()) / (high - low), -30, 30)))
+        assert all(np.diff(model.knots) > 0) and all(np.diff(model.shares) > 0)
+        assert abs(got[k].score - want) < 1e-9 and got[k].predicted == int(got[k].score >= 0.5)
 
 
 def test_quality_edges(spark):
