@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,13 +55,36 @@ def impact(changed: DataFrame, edges: DataFrame, key: list[str]) -> DataFrame:
     return found.groupBy(*key, "article", "layer").agg(sorted_articles(F.collect_set("linked")).alias("linked"))
 
 
+def carry_forward(rows: DataFrame, key: list[str], seq: str, value: Column, out: str, parts: int = 16) -> DataFrame:
+    """rows with `out`, the last value that is not null at or before each row in the order of seq within its key.
+
+    A record is dealt out at up to `parts` places of seq, so one with a large share of all rows fills no
+    task: each stretch is filled by itself, and the rows before its first value take what the stretches
+    before it end with. Where seq is no number a record is filled as a whole.
+    """
+    valued = rows.withColumn(out, value)
+    at = F.lit(0)
+    if parts > 1 and dict(rows.dtypes)[seq].split("(")[0] in ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal"):
+        places = sorted(set(rows.select(F.col(seq).cast("double").alias("s")).approxQuantile("s", [k / parts for k in range(1, parts)], 0.01)))
+        at = F.size(F.filter(F.array(*map(F.lit, places)).cast("array<double>"), lambda p: p < F.col(seq).cast("double"))) if places else at
+    dealt = valued.withColumn("_part", at)
+    so_far = Window.partitionBy(*key, "_part").orderBy(seq).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = dealt.withColumn("_own", F.last(out, ignorenulls=True).over(so_far))
+    ends = dealt.groupBy(*key, "_part").agg(F.max_by(out, F.when(F.col(out).isNotNull(), F.col(seq))).alias("_end"))
+    before = Window.partitionBy(*key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.withColumn("_before", F.last("_end", ignorenulls=True).over(before)).filter("_before is not null").select(*key, "_part", "_before")
+    told = filled.filter("_own is not null").withColumn(out, F.col("_own")).select(*rows.columns, out)
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in (*key, "_part")]
+    rest = filled.filter("_own is null").alias("l").join(carried.alias("r"), reduce(and_, same), "left")
+    return told.unionByName(rest.select(*(F.col(f"l.{c}") for c in rows.columns), F.col("_before").alias(out)))
+
+
 def group_fragments(fragments: DataFrame, key: list[str], seq: str = "seq", fragment: str = "text") -> DataFrame:
     """(key..., article, seq, text): a fragment that begins with an article number opens that article;
-    fragments before the first one, and empty ones, go."""
+    fragments before the first one, and empty ones, go. A long record is read by several tasks."""
     plain = fragments.select(*key, seq, F.trim(text(fragment)).alias("text")).filter("text != ''")
     head = F.nullif(first_article(feed_plain("text"), start=True), F.lit(""))
-    so_far = Window.partitionBy(*key).orderBy(seq).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return plain.withColumn("article", F.last(head, ignorenulls=True).over(so_far)).filter("article is not null").select(*key, "article", seq, "text")
+    return carry_forward(plain, key, seq, head, "article").filter("article is not null").select(*key, "article", seq, "text")
 
 
 def align_old_new(grouped: DataFrame, key: list[str], side: str = "side", seq: str = "seq") -> DataFrame:

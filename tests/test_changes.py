@@ -1,3 +1,4 @@
+import random
 import pytest
 from pyspark.sql import functions as F
 
@@ -161,3 +162,19 @@ def test_codes_pass_through(spark):
 
     df = spark.createDataFrame([("보건복지부",), ("다른 곳",), (None,), ("",)], "m string")
     assert [r[0] for r in df.select(fm.map_codes("m", fm.MINISTRIES)).collect()] == ["MOHW", "다른 곳", None, ""]
+
+
+@pytest.mark.parametrize("parts", [1, 2, 7, 64])
+def test_long_records_are_filled_as_one_window_would(spark, parts):
+    rng = random.Random(parts)
+    rows = [(rng.choice(["hot", "hot", "hot", "a", "b", None]), k, rng.choice([None, None, None, None, f"v{k}"])) for k in range(400)]
+    rows += [("empty", k, None) for k in range(50)] + [("first", 999 + k, "x" if k == 0 else None) for k in range(40)]
+    df = spark.createDataFrame(rows, "k string, seq long, v string").repartition(5)
+    want, last = set(), {}
+    for k, seq, v in sorted(rows, key=lambda r: r[1]):
+        last[k] = v if v is not None else last.get(k)
+        want.add((k, seq, v, last[k]))
+    for kind in ("bigint", "double", "string"):
+        turned = df.withColumn("seq", F.col("seq").cast(kind) if kind != "string" else F.lpad(F.col("seq").cast("string"), 6, "0"))
+        out = reconcile.carry_forward(turned, ["k"], "seq", F.col("v"), "filled", parts)
+        assert {(r.k, int(r.seq), r.v, r.filled) for r in out.collect()} == want and out.count() == len(rows)
