@@ -186,14 +186,13 @@ def test_templates_and_changed_texts_without_a_license_word(spark):
     assert len(names) >= 3 and {(k, n) for k, n in enumerate(names)} <= found
 
 
-def test_sizes_decide_between_overlapping_templates(monkeypatch):
-    scanner = licenses.Scanner((({"a-short": "the quick brown fox", "b-long": "the quick brown fox jumps over one lazy dog"}, 0.0),))
-    text = "see: the quick brown fox jumps over one lazy dog today"
-    assert [r[2] for r in scanner.scan(text, False)] == ["b-long"]
-    # without sizes the rank falls back on equal words; turned round, it takes the shorter one
+def test_sizes_decide_between_templates_of_equal_words(monkeypatch):
+    scanner = licenses.Scanner((({"first": "the quick brown fox jumps", "last": "quick brown fox jumps extraordinarily"}, 0.0),))
+    text = "see: the quick brown fox jumps extraordinarily today"
+    assert [r[2] for r in scanner.scan(text, False)] == ["last"]  # saves more bytes
     real = scanner.bytes_saved
-    monkeypatch.setattr(scanner, "bytes_saved", lambda block, some: {k: -n for k, n in real(block, some).items()})
-    assert [r[2] for r in scanner.scan(text, False)] != ["b-long"]
+    monkeypatch.setattr(scanner, "bytes_saved", lambda block, some: dict.fromkeys(real(block, some), 0))
+    assert [r[2] for r in scanner.scan(text, False)] == ["first"]
 
 
 def test_license_blocks(spark):
