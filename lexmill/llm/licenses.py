@@ -2,14 +2,17 @@
 
 Every text is read whole. A template of m words that stands in a text with d differences at most
 (words to add or remove) has some q of its consecutive words there unaltered, q = (m - d) / (d + 1)
-rounded up, wherever the differences are. So the places that share q words with a template, with room
-for the template around them, make the candidate blocks, and none is missed, whatever the templates
+rounded up, wherever the differences are. So the places that share q words with a template, with the
+template's room around them, make the candidate blocks, and none is missed, whatever the templates
 say; a text without any such run of words is left at once, and a block may span any number of lines.
-Stretches of a block that overlap are compressed plainly and with every template of theirs as
-zstandard raw dictionary; the bytes that a template saves rank the templates. Winners are confirmed by
-exact wording differences: every template that may stand in the block is judged, all its occurrences,
-so the rank drops none. Of stretches that overlap by more than half, the one with the most equal words
-stays, then the fewest differences, then the rank.
+
+The words of a candidate block are compressed plainly and with every template as zstandard raw
+dictionary; the bytes that a template saves rank the templates. In this order templates are confirmed
+by exact wording differences, all their occurrences, and the first in the rank wins its best stretch.
+Sizes are off by a few bytes at times, so the exact wording may refuse a winner: when on the same
+words another template has no more differences and no fewer equal words, and is better in one of
+them. Stretches that a winner overlaps by more than half go; what is left of the block is compressed
+and ranked anew, until no stretch is left. So the rank decides between templates and drops none.
 
 d is a share of the template's words, so short notices must be exact and long texts may have names
 and other small changes. There is no shuffle; a task holds one text at a time. The templates are the
@@ -24,7 +27,7 @@ and the number of differing words; only the key and text are read, so other colu
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 import ahocorasick
 import numpy as np
@@ -85,18 +88,22 @@ class Template:
         m = len(self.words)
         self.most = int(m * tolerance)
         self.q = max(1, -(-(m - self.most) // (self.most + 1)))
-        self.seeds = np.unique(shingle_hashes(self.words.astype(np.uint64), self.q)) if m else np.zeros(0, np.uint64)
-        raw = zstandard.ZstdCompressionDict(wording.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        runs = shingle_hashes(self.words.astype(np.uint64), self.q) if m else np.zeros(0, np.uint64)
+        self.seeds, self.first = np.unique(runs, return_index=True)
+        self.last = len(runs) - 1 - np.unique(runs[::-1], return_index=True)[1]
+        raw = zstandard.ZstdCompressionDict(" ".join(words(wording)).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         self.compressor = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, dict_data=raw)
 
     def windows(self, seeds: np.ndarray, n: int) -> list[tuple[int, int]]:
-        """Stretches of the text with n words that may hold the template."""
+        """Stretches of the text with n words that may hold the template, by where its runs stand in it."""
         out: list[tuple[int, int]] = []
-        room = len(self.words) + self.most
-        for at in np.flatnonzero(np.isin(seeds, self.seeds)).tolist():
-            a, b = max(0, at + self.q - room), min(n, at + room)
-            if out and a <= out[-1][1]:
-                out[-1] = (out[-1][0], b)
+        at = np.flatnonzero(np.isin(seeds, self.seeds))
+        run = np.searchsorted(self.seeds, seeds[at])
+        begins = np.maximum(0, at - self.last[run] - self.most)
+        ends = np.minimum(n, at - self.first[run] + len(self.words) + self.most)
+        for a, b in sorted(zip(begins.tolist(), ends.tolist())):
+            if out and a < out[-1][1]:
+                out[-1] = (out[-1][0], max(b, out[-1][1]))
             else:
                 out.append((a, b))
         return out
@@ -118,6 +125,11 @@ class Template:
             parts += [(a + end, b), (a, begin)]
 
 
+def _covers(one: tuple[int, ...], other: tuple[int, ...]) -> bool:
+    """Whether an occurrence overlaps another by more than half of the other."""
+    return 2 * (min(one[2], other[2]) - max(one[1], other[1])) > other[2] - other[1]
+
+
 def _overlapping(found: list[tuple[int, ...]]):
     """Occurrences (template, begin, end, differences) in groups that share words, directly or by others."""
     group, stop = [], 0
@@ -152,18 +164,40 @@ class Scanner:
         plain = b" ".join(lower.encode("utf-8", "surrogatepass").translate(_SPACED).split()).decode()
         return bool(self.templates) and next(self.telling.iter(f" {plain} "), None) is not None
 
-    def saved(self, block: str) -> list[float]:
-        """The share of the block's compressed bytes that each template saves."""
-        data = block.lower().encode("utf-8", "surrogatepass")
-        alone = len(self.plain.compress(data))
-        return [1 - len(t.compressor.compress(data)) / alone for t in self.templates]
-
-    def bytes_saved(self, block: str, some: list[int]) -> dict[int, int]:
-        """The compressed bytes of a stretch that each of some templates saves."""
-        data = block.encode("utf-8", "surrogatepass")
+    def bytes_saved(self, block: str, some: Iterable[int]) -> dict[int, int]:
+        """The compressed bytes of a block's words that each of some templates saves."""
+        data = block.encode()
         alone = len(self.plain.compress(data))
         return {k: alone - len(self.templates[k].compressor.compress(data)) for k in some}
 
+    def ranked(self, block: list[str]) -> tuple[dict[int, int], int]:
+        """The compressed bytes that every template saves, most first, of how many."""
+        wording = " ".join(block)
+        saved = self.bytes_saved(wording, range(len(self.templates)))
+        return dict(sorted(saved.items(), key=lambda s: -s[1])), len(self.plain.compress(wording.encode()))
+
+    def equal(self, one: tuple[int, ...]) -> int:
+        return len(self.templates[one[0]].words) - one[3]
+
+    def refused(self, one: tuple[int, ...], found: list[tuple[int, ...]]) -> bool:
+        """Whether the exact wording speaks for another occurrence on the same words."""
+        return any(self.equal(o) >= self.equal(one) and o[3] <= one[3] and (self.equal(o), o[3]) != (self.equal(one), one[3]) and _covers(o, one) for o in found)
+
+    def winners(self, block: list[str], ids: np.ndarray, some: set[int]):
+        """(template, begin, end, differences, share of the bytes saved) of a block with templates that may stand in it."""
+        parts: list[tuple[int, int, list | None]] = [(0, len(block), None)]
+        while parts:
+            a, b, found = parts.pop()
+            saved, plain = self.ranked(block[a:b])
+            if found is None:
+                found = [(k, *one) for k in saved if k in some for one in self.templates[k].occurrences(ids, a, b)]
+            found.sort(key=lambda f: (-saved[f[0]], -self.equal(f), f))
+            best = next((f for f in found if not self.refused(f, found)), None)
+            if best:
+                yield *best, saved[best[0]] / plain
+                left = [f for f in found if not _covers(best, f)]
+                parts += [(min(f[1] for f in group), max(f[2] for f in group), group) for group in _overlapping(left)]
+
     def scan(self, text: str, unconfirmed: bool):
         """(line, last line, identifier, saved, differences, confirmed) in the order of the text."""
         lower = text.lower()
@@ -185,28 +219,18 @@ class Scanner:
         spans = np.array([m.span() for m in _WORD.finditer(lower)], np.int64).reshape(-1, 2)
         rows, touched = [], set()
         for a, b, *some in blocks:
-            found = [(k, *one) for k in sorted(set(some)) for one in self.templates[k].occurrences(ids, a, b)]
-            if not found:
-                continue
-            for group in _overlapping(found):
-                some = sorted({k for k, *_ in group})
-                stretch = lower[spans[min(f[1] for f in group), 0] : spans[max(f[2] for f in group) - 1, 1]]
-                saved = self.bytes_saved(stretch, some)
-                plain = len(self.plain.compress(stretch.encode("utf-8", "surrogatepass")))
-                taken: list[tuple[int, int]] = []
-                for k, begin, end, n in sorted(group, key=lambda f: (f[3] - len(self.templates[f[0]].words), f[3], -saved[f[0]], f)):
-                    if all(2 * (min(end, e) - max(begin, s)) <= end - begin for s, e in taken):
-                        taken.append((begin, end))
-                        first, last = np.searchsorted(line_ends, [spans[begin, 0], spans[end - 1, 0]]).tolist()
-                        touched.update(range(first, last + 1))
-                        rows.append((first, last, self.templates[k].name, saved[k] / plain, n, True))
+            block = _WORD.findall(lower[spans[a, 0] : spans[b - 1, 1]])
+            for k, begin, end, n, saved in self.winners(block, ids[a:b], set(some)):
+                first, last = np.searchsorted(line_ends, [spans[a + begin, 0], spans[a + end - 1, 0]]).tolist()
+                touched.update(range(first, last + 1))
+                rows.append((first, last, self.templates[k].name, saved, n, True))
         if unconfirmed:
             for k, line in enumerate(text.split("\n")):
                 if k not in touched and re.search(CANDIDATE, line):
-                    saved = self.saved(line)
-                    best = int(np.argmax(saved))
+                    saved, plain = self.ranked(words(line))
+                    best = next(iter(saved))
                     near = np.array([self.ids.get(w, -1) for w in words(line)], np.int64)
-                    rows.append((k, k, self.templates[best].name, saved[best], int(_by_end(near, self.templates[best].words).min()), False))
+                    rows.append((k, k, self.templates[best].name, saved[best] / plain, int(_by_end(near, self.templates[best].words).min()), False))
         return sorted(rows)
 
 

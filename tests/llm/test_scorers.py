@@ -195,6 +195,48 @@ def test_sizes_decide_between_templates_of_equal_words(monkeypatch):
     assert [r[2] for r in scanner.scan(text, False)] == ["first"]
 
 
+def test_the_rank_by_sizes_comes_first_and_decides(monkeypatch):
+    """The exact notice explains more bytes; the other has more equal words, but one is missing."""
+    short = "in as by of to or at so no xx"
+    groups = (({"long": "of to or at so no incomprehensibilities counterrevolutionaries"}, 0.0), ({"short": short}, 0.1))
+    scanner = licenses.Scanner(groups)
+    text = "see: " + short[:-3] + " incomprehensibilities counterrevolutionaries today"
+    steps = []
+    compress, compare = scanner.bytes_saved, licenses.Template.occurrences
+    monkeypatch.setattr(scanner, "bytes_saved", lambda block, some: steps.append(sorted(some)) or compress(block, some))
+    monkeypatch.setattr(licenses.Template, "occurrences", lambda self, *at: steps.append(self.name) or compare(self, *at))
+    assert [r[2] for r in scanner.scan(text, False)] == ["long"]
+    assert steps == [[0, 1], "long", "short"]  # every template is compressed with, then all are confirmed as ranked
+    monkeypatch.setattr(scanner, "bytes_saved", lambda block, some: dict.fromkeys(some, 0))
+    assert [r[2] for r in scanner.scan(text, False)] == ["short"]
+
+
+def test_the_exact_wording_refuses_winners_and_the_rest_is_ranked_anew(monkeypatch):
+    names = ("LGPL-3.0", "GPL-3.0", "AGPL-3.0", "GPL-2.0")
+    scanner = licenses.Scanner(((licenses.TEXTS, 0.1),))
+    text = "\n".join(licenses.TEXTS[n].replace("useful", "of use") for n in names)
+    for sign in (1, 0, -1):  # as they are, none and turned round
+        real = licenses.Scanner.bytes_saved
+        monkeypatch.setattr(scanner, "bytes_saved", lambda block, some, sign=sign: {k: sign * n for k, n in real(scanner, block, some).items()})
+        assert [(r[2], r[4]) for r in scanner.scan(text, False)] == [(n, 3) for n in names]
+
+
+def test_windows_hold_every_occurrence():
+    for seed in range(300):
+        rng = random.Random(seed)
+        abc = "abcdef"[: rng.randint(2, 6)]
+        texts = {str(k): " ".join(rng.choices(abc, k=rng.randint(1, 9))) for k in range(3)}
+        scanner = licenses.Scanner(((texts, rng.choice((0.0, 0.2, 0.4))),))
+        block = rng.choices(abc, k=rng.randint(1, 30))
+        near = {n: brute_differences(block, t.split()) for n, t in texts.items()}
+        best = {t.name: near[t.name] for t in scanner.templates if near[t.name] <= t.most}
+        found = scanner.scan(" ".join(block), False)
+        assert {r[2] for r in found} <= set(best) and bool(found) == bool(best)
+        for t in scanner.templates:
+            alone = licenses.Scanner((({t.name: t.wording}, t.most / len(t.words)),)).scan(" ".join(block), False)
+            assert min((r[4] for r in alone), default=None) == best.get(t.name)
+
+
 def test_license_blocks(spark):
     rows = ["text\nReleased under the MIT License.\nmore", "LICENSED UNDER CC BY 4.0", "Licensed under CC BY-NC 4.0.", "Released under the MIT Lisence, a licence", None, "", "license"]
     got = {(r.doc_id, r.line): r for r in licenses.license_blocks(cases.frame(spark, rows), unconfirmed=True).collect()}
