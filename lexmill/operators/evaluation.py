@@ -9,13 +9,17 @@ from lexmill.functions.text import ARTICLE, has_all, norm_name, propose_keys, te
 from lexmill.operators import names
 
 KS = (1, 3, 5, 10)
+#: How many ids a tile of matches has at each of its two sides.
+SIDE = 2048
 
 
 def match_sources(questions: DataFrame, units: DataFrame, qid: str = "qid", expected: str = "expected_sources", mode: str = "loose") -> DataFrame:
     """(qid, id) of the units that are an expected source.
 
     Expected names are parsed once; the different ones meet the different (law, number) of the units in
-    a trie (names.matched_names), which gives matches only, and these come back to both sides by equality.
+    a trie (names.matched_names), which gives matches only. Questions that ask alike and units that can be asked
+    for alike are matched as one, so a pair of such groups is shuffled and no pair of theirs is: ids go in tiles
+    of SIDE questions and units, dealt out evenly, and become rows where the result is used.
     mode strict: plain containment, and no branch articles.
     """
     strict = mode == "strict"
@@ -26,11 +30,28 @@ def match_sources(questions: DataFrame, units: DataFrame, qid: str = "qid", expe
     e = e.withColumns({"kind": F.when(annex != "", "annex").when(article != "", "article").otherwise("law"), "number": F.when(annex != "", annex).otherwise(article)})
     head = F.when(F.col("kind") == "annex", F.regexp_extract("e", r"^(.*?)별표\d+", 1)).when(F.col("kind") == "article", F.regexp_extract("e", f"^(.*?)(?:{article_pattern})", 1)).otherwise(F.col("e"))
     e = e.withColumn("name", head).filter("name != ''").select("qid", "kind", "number", "name").distinct()
+    asking, asked_by = _alike(e.groupBy("qid").agg(F.array_sort(F.collect_set(F.struct("kind", "number", "name"))).alias("what")), "qid")
+    known, known_by = _alike(units.groupBy("id").agg(F.array_sort(F.collect_set(F.struct("law", "article", "annex"))).alias("what")), "id")
+    numbered = names.by_number(known.select("group", F.explode("what").alias("u")).select("group", "u.*"), "group")
     asked = e.select("kind", "number", "name").distinct()
     wanted = asked.select("kind", "number").distinct()
-    keys = names.by_number(units).distinct().join(wanted, ["kind", "number"], "left_semi")
-    found = e.join(names.matched_names(asked, keys, strict), ["kind", "number", "name"]).select("qid", "kind", "number", "law").distinct()
-    return names.by_number(units, "id").join(found, ["kind", "number", "law"]).select("qid", "id").distinct()
+    keys = numbered.select("kind", "number", "law").distinct().join(wanted, ["kind", "number"], "left_semi")
+    found = asking.select(F.col("group").alias("asking"), F.explode("what").alias("a")).select("asking", "a.*").join(names.matched_names(asked, keys, strict), ["kind", "number", "name"])
+    pairs = found.select("asking", "kind", "number", "law").distinct().join(numbered.withColumnRenamed("group", "known"), ["kind", "number", "law"]).select("asking", "known").distinct()
+    tiles = pairs.join(asked_by.toDF("asking", "qids"), "asking").join(known_by.toDF("known", "ids"), "known").select("qids", "ids")
+    dealt = tiles.repartition(int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return dealt.select(F.explode_outer("qids").alias("q"), "ids").select("q", F.explode_outer("ids").alias("u")).select(F.col("q.qid").alias("qid"), F.col("u.id").alias("id"))
+
+
+def _alike(df: DataFrame, of: str) -> tuple[DataFrame, DataFrame]:
+    """(group, what, n) of the different what of df, and (group, tile) with the ids of each group in arrays of some SIDE.
+
+    A group is named by its least id, as a struct, so that an id may be null. df has an id once.
+    """
+    one = F.struct(of)
+    groups = df.groupBy("what").agg(F.min(one).alias("group"), F.count("*").alias("n"))
+    tile = F.pmod(F.xxhash64(of), F.ceil(F.col("n") / SIDE))
+    return groups, df.join(groups, "what").groupBy("group", tile.alias("_tile")).agg(F.collect_list(one).alias("tile")).select("group", "tile")
 
 
 def best_ranks(rankings: DataFrame, relevant: DataFrame, questions: DataFrame) -> DataFrame:
